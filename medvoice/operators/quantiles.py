@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 QUARTILES = (0.25, 0.5, 0.75)
 # Value ranges the distinct values are cut into; bounds the small tables below.
-RANGES = 1000
+RANGES = 200
 
 
 def exact_quantiles(
@@ -36,9 +36,9 @@ def exact_quantiles(
     )
     steps = [i / RANGES for i in range(1, RANGES)]
     cuts = counts.where(F.col("n") >= 1).agg(F.percentile_approx("v", steps, RANGES * 10)).scalar()
-    ranged = counts.select(
-        "v", "n", F.size(F.filter(cuts, lambda c: c < F.col("v"))).alias("range")
-    )
+    # Never NULL, or Spark would test the join key for NULL on every row of the table.
+    place = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("v"))), F.lit(0))
+    ranged = counts.select("v", "n", cuts.alias("cuts")).select("v", "n", place.alias("range"))
 
     # At most RANGES rows: ranges with the number of rows before each.
     whole = Window.partitionBy(F.lit(0))

@@ -77,6 +77,7 @@ def read_landed(
     """
     schema = StructType([*LANDED.fields, StructField("month_dir", StringType())])
     df = _reader(spark, schema, LANDED_DELIMITER, True).csv(path)
+    df = df.select(*schema.fieldNames())
     return df.where(F.col("month_dir").isin(list(months))) if months is not None else df
 
 

@@ -46,7 +46,9 @@ def encode_messages(reviews: DataFrame) -> DataFrame:
     """Reviews as base64 JSON bodies; a NULL field is a missing key."""
     fields = [c for c in MESSAGE.fieldNames() if c in reviews.columns]
     body = F.to_json(F.struct(*fields))
-    return reviews.select(F.base64(body.cast("binary")).alias("data"))
+    # Long base64 text may come in lines of 76 characters; a message is one line.
+    data = F.translate(F.base64(body.cast("binary")), "\r\n", "")
+    return reviews.select(data.alias("data"))
 
 
 def decode_messages(messages: DataFrame, data: str = "data") -> DataFrame:
