@@ -36,9 +36,18 @@ def exact_quantiles(
     )
     steps = [i / RANGES for i in range(1, RANGES)]
     cuts = counts.where(F.col("n") >= 1).agg(F.percentile_approx("v", steps, RANGES * 10)).scalar()
-    # Never NULL, or Spark would test the join key for NULL on every row of the table.
-    place = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("v"))), F.lit(0))
-    ranged = counts.select("v", "n", cuts.alias("cuts")).select("v", "n", place.alias("range"))
+    # Binary search for the number of cuts below a value. Never NULL, or Spark would
+    # test the join key for NULL on every row of the table.
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(RANGES.bit_length()))])
+    below = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda at, step: at
+        + F.when(F.get("cuts", at + step - 1) < F.col("v"), step).otherwise(F.lit(0)),
+    )
+    ranged = counts.select("v", "n", cuts.alias("cuts")).select(
+        "v", "n", F.coalesce(below, F.lit(0)).alias("range")
+    )
 
     # At most RANGES rows: ranges with the number of rows before each.
     whole = Window.partitionBy(F.lit(0))

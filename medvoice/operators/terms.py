@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medvoice.functions.columns import review_sent
 from medvoice.functions.lexicon import STOPWORDS
 from medvoice.functions.text import tokens
+from medvoice.workspace import materialize
 
 # Fixed value: terms in one cloud.
 MAX_TERMS = 1000
@@ -69,19 +70,36 @@ def word_pairs(df: DataFrame, column: str, stopwords: Sequence[str] = STOPWORDS)
     def bare(t: Column) -> Column:
         return F.when(t.endswith("'s"), F.substring(t, F.lit(1), F.length(t) - 2)).otherwise(t)
 
-    def followed(words: Column) -> Column:
-        return F.transform(
-            words, lambda w, i: F.struct(w.alias("w1"), F.get(words, i + 1).alias("w2"))
-        )
+    def is_number(t: Column) -> Column:
+        # Digits sort before ":" or from U+0660 on; other words skip the pattern.
+        return ((t < ":") | (t >= "\u0660")) & t.rlike(r"^\p{Nd}+$")
 
-    words = F.filter(F.transform(tokens(column), bare), lambda t: ~t.rlike(r"^\p{Nd}+$"))
-    bound = F.transform(F.array(words), followed)
-    pairs = df.select(F.explode(F.get(bound, F.lit(0))).alias("p")).select("p.w1", "p.w2")
-    if stopwords:
-        pairs = pairs.where(~F.col("w1").isin(*stopwords)).withColumn(
-            "w2", F.when(~F.col("w2").isin(*stopwords), F.col("w2"))
+    def counted(word: Column) -> Column:
+        return ~word.isin(*stopwords) if stopwords else word.isNotNull()
+
+    def paired(words: Column) -> Column:
+        # One text per pair, since words hold no blanks: a cheaper key to group by.
+        def pair(word: Column, i: Column) -> Column:
+            follower = F.get(words, i + 1)
+            return F.when(
+                counted(word), F.concat_ws(" ", word, F.when(counted(follower), follower))
+            )
+
+        return F.transform(words, pair)
+
+    words = F.filter(F.transform(tokens(column), bare), lambda t: ~is_number(t))
+    bound = F.transform(F.array(words), paired)
+    return (
+        df.select(F.explode(F.get(bound, F.lit(0))).alias("pair"))
+        .where(F.col("pair").isNotNull())
+        .groupBy("pair")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            F.get(F.split("pair", " "), F.lit(0)).alias("w1"),
+            F.get(F.split("pair", " "), F.lit(1)).alias("w2"),
+            "n",
         )
-    return pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+    )
 
 
 def log_likelihood(both: Column, first: Column, second: Column, total: Column) -> Column:
@@ -117,34 +135,42 @@ def cloud_terms(
 
     A plural counts for its singular where both occur. Two words that follow each
     other far more often than chance become a term of their own, and their
-    occurrences no longer count for the single words. Texts are read once, into
-    pair counts; everything after works on tables of distinct words and pairs.
+    occurrences no longer count for the single words. Starts a job: pair counts
+    are written once to the shared folder, so that the texts are read once and
+    everything after works on the table of distinct pairs.
     """
-    pairs = word_pairs(df, column, stopwords)
+    pairs = materialize(word_pairs(df, column, stopwords), "pairs")
     singles = pairs.groupBy(F.col("w1").alias("term")).agg(F.sum("n").alias("n"))
-    total = singles.where(F.col("n") > 0).agg(F.sum("n").cast("double")).scalar()
-
-    forms = singles.join(
-        singles.select(F.col("term").alias("singular")),
-        _singular("term") == F.col("singular"),
-        "left",
-    ).select("term", F.coalesce("singular", "term").alias("form"), "n")
-    words = forms.groupBy("form").agg(F.sum("n").alias("word_n"))
-    known = forms.join(words, "form").select("term", "form", "word_n")
-
-    phrases = pairs.where(F.col("w2").isNotNull())
-    merged = (
-        phrases.join(
-            phrases.select(F.col("w1").alias("s1"), F.col("w2").alias("s2")),
-            (F.col("w1") == F.col("s1")) & (_singular("w2") == F.col("s2")),
-            "left",
+    total = singles.agg(F.sum("n").cast("double")).scalar()
+
+    # A group holds at most a word and its plural.
+    group = Window.partitionBy("base")
+    merged = F.max(F.col("term") == F.col("base")).over(group)
+    known = singles.withColumn("base", F.coalesce(_singular("term"), "term")).select(
+        "term",
+        F.when(merged, F.col("base")).otherwise(F.col("term")).alias("form"),
+        F.when(merged, F.sum("n").over(group)).otherwise(F.col("n")).alias("form_n"),
+    )
+    words = known.groupBy(F.col("form").alias("term")).agg(F.max("form_n").alias("n"))
+
+    phrases = (
+        pairs.where(F.col("w2").isNotNull())
+        .withColumn("base", F.coalesce(_singular("w2"), "w2"))
+        .groupBy("w1", "base")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.col("w2") == F.col("base")).alias("merged"),
+            F.max("w2").alias("only"),
         )
-        .groupBy("w1", F.coalesce("s2", "w2").alias("w2"))
-        .agg(F.sum("n").alias("n"))
+        .select("w1", F.when(F.col("merged"), F.col("base")).otherwise(F.col("only")).alias("w2"), "n")
+    )
+    scored = phrases.join(
+        known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("form_n").alias("n1")),
+        "w1",
+    ).join(
+        known.select(F.col("term").alias("w2"), F.col("form").alias("f2"), F.col("form_n").alias("n2")),
+        "w2",
     )
-    first = known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("word_n").alias("n1"))
-    second = known.select(F.col("term").alias("w2"), F.col("form").alias("f2"), F.col("word_n").alias("n2"))
-    scored = merged.join(first, "w1").join(second, "w2")
     score = log_likelihood(
         F.col("n").cast("double"), F.col("n1").cast("double"), F.col("n2").cast("double"), total
     )
@@ -162,8 +188,7 @@ def cloud_terms(
         ).alias("t")
     ).select("t.term", "t.n")
     counts = (
-        words.select(F.col("form").alias("term"), F.col("word_n").alias("n"))
-        .unionByName(taken)
+        words.unionByName(taken)
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -31,3 +31,15 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Compute a table once, into the shared folder, and return it read from there.
+
+    For results used several times whose plan Spark would otherwise run again:
+    what is written survives the loss of executors, and its real size is known
+    when the joins after it are planned.
+    """
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
