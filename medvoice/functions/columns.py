@@ -22,9 +22,9 @@ def to_numeric_or_null(column: Column | str) -> Column:
 
 
 def review_sent(rating: Column | str = "rating") -> Column:
-    """1 for a positive rating, 0 for a negative one, NULL without a rating."""
+    """1.0 for a positive rating, 0.0 for a negative one, NULL without a rating."""
     rating = _col(rating)
-    return F.when(rating >= POSITIVE_FROM, 1).when(rating < POSITIVE_FROM, 0)
+    return F.when(rating >= POSITIVE_FROM, 1.0).when(rating < POSITIVE_FROM, 0.0)
 
 
 def round_half_even(column: Column | str) -> Column:

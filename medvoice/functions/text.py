@@ -21,6 +21,8 @@ def tokens(text: Column | str) -> Column:
 
 def is_negator(token: Column, negators: Sequence[str] = NEGATORS) -> Column:
     """True for a negating word; false for any other word and for NULL."""
+    if not negators:
+        return F.lit(False)
     return F.coalesce(token.isin(*negators) | token.endswith("n't"), F.lit(False))
 
 

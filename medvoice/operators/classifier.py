@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import HashingTF, RegexTokenizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medvoice.functions.text import TOKEN_PATTERN
@@ -61,7 +61,7 @@ def label_column(prediction: Column | str = "prediction") -> Column:
 
 def label_sentiment(model: PipelineModel, df: DataFrame, output: str = "sentiment") -> DataFrame:
     """Add the annotation column to each row with a text."""
-    drop = [c for c in ("_tokens", "_counts", "rawPrediction", "probability", "prediction")]
+    drop = ("_tokens", "_counts", "rawPrediction", "probability", "prediction")
     return (
         model.transform(df.where(F.col(model.stages[0].getInputCol()).isNotNull()))
         .withColumn(output, label_column())
@@ -72,3 +72,10 @@ def label_sentiment(model: PipelineModel, df: DataFrame, output: str = "sentimen
 def explode_results(df: DataFrame, column: str = "sentiment") -> DataFrame:
     """One row per result; the annotation column becomes the result text."""
     return df.withColumn(column, F.explode(F.col(f"{column}.result")))
+
+
+def annotate(model: PipelineModel, text: str) -> list[str]:
+    """Labels of a single text."""
+    column = model.stages[0].getInputCol()
+    frame = SparkSession.active().createDataFrame([(text,)], f"{column} string")
+    return [r.result for r in label_sentiment(model, frame).first()["sentiment"]]

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medvoice.functions.lexicon import LEXICON, NEGATION_FACTOR, NEGATORS
 from medvoice.functions.text import is_negator, polarity, tokens
+from medvoice.operators.joins import salted_join
 
 # Up to this many words the lexicon becomes part of the plan; beyond, it is joined.
 MAX_INLINE_WORDS = 5000
-# Copies of a joined lexicon; a hot token is spread over as many tasks.
-SALTS = 16
 
 
 def score_reviews(
@@ -56,36 +55,32 @@ def polarity_by_join(
 ) -> DataFrame:
     """The same scores through a join of tokens with a large lexicon table.
 
-    Tokens are counted per review before they are shuffled. The word side is
-    salted, since natural text has a few words in a large part of all rows. The
-    review text itself is not shuffled with the tokens, only in the last join.
+    Natural text has a few words in a large part of all rows, so the join is
+    salted. Only key, word and mark of each token are shuffled, never its text;
+    the reviews themselves move once, in the last join.
     """
     bound = F.transform(
         F.array(tokens(text)),
         lambda toks: F.transform(
             toks,
             lambda t, i: F.struct(
-                t.alias("word"), is_negator(F.get(toks, i - 1), negators or [""]).alias("negated")
+                t.alias("word"), is_negator(F.get(toks, i - 1), negators).alias("negated")
             ),
         ),
     )
-    words = (
-        df.select(F.col(key), F.explode(F.get(bound, F.lit(0))).alias("t"))
-        .groupBy(key, F.col("t.word").alias("word"), F.col("t.negated").alias("negated"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    )
-    copies = lexicon.select(
-        "word", "polarity", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    words = df.select(F.col(key), F.explode(F.get(bound, F.lit(0))).alias("t")).select(
+        key, "t.word", "t.negated"
     )
+    found = salted_join(words, lexicon.select("word", "polarity"), "word", [key])
     factor = F.when(F.col("negated"), NEGATION_FACTOR).otherwise(1.0)
-    means = (
-        words.join(copies, ["word", "salt"])
-        .groupBy(key)
-        .agg(
-            (F.sum(F.col("polarity") * factor * F.col("n")) / F.sum("n")).alias(output)
-        )
-    )
+    means = found.groupBy(key).agg(F.avg(F.col("polarity") * factor).alias(output))
     return df.join(means, key, "left").withColumn(
         output, F.coalesce(F.col(output), F.lit(0.0))
     )
+
+
+def text_polarity(
+    spark: SparkSession, text: str | None, lexicon: Mapping[str, float] = LEXICON
+) -> float:
+    """Polarity of a single text."""
+    return spark.createDataFrame([(text,)], "t string").select(polarity("t", lexicon)).first()[0]

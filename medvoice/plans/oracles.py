@@ -147,8 +147,8 @@ WHERE condition = 'ECONOMY' AND {bound} AND usefulCount >= 100 GROUP BY drugName
 
 
 ORACLES: dict[str, str] = {
-    "clean_reviews_rows": f"WITH {CLEAN} SELECT * FROM clean",
-    "stage_count_audit": f"""WITH {CLEAN}
+    "clean_reviews": f"WITH {CLEAN} SELECT * FROM clean",
+    "stage_counts": f"""WITH {CLEAN}
 SELECT 'raw' AS stage, COUNT(*) AS n FROM rn
 UNION ALL SELECT 'no_nulls', COUNT(*) FROM rn WHERE condition IS NOT NULL AND rating IS NOT NULL
 UNION ALL SELECT 'clean', COUNT(*) FROM clean""",
@@ -193,8 +193,8 @@ SELECT UniqueID, drugName, condition, review AS text, rating, date, usefulCount
 SELECT UniqueID, CAST(CAST(rating AS VARCHAR) AS DOUBLE) AS rating,
 CAST(usefulCount AS DOUBLE) AS usefulCount, TRY_CAST(condition AS DOUBLE) AS condition FROM rn""",
     "review_sent": f"""WITH {RN}
-SELECT UniqueID, rating, CASE WHEN rating >= 5 THEN 1 WHEN rating < 5 THEN 0 END AS review_sent
-FROM rn""",
+SELECT UniqueID, rating,
+CAST(CASE WHEN rating >= 5 THEN 1 WHEN rating < 5 THEN 0 END AS DOUBLE) AS review_sent FROM rn""",
     "rint_col": f"WITH {RN} SELECT UniqueID, round_even(sentiment*5, 0) AS rounded FROM rn",
     "month_dir_counts": """
 SELECT CAST(month(ts) AS VARCHAR) || '-' || CAST(year(ts) AS VARCHAR) AS month_dir, COUNT(*) AS n
@@ -202,7 +202,7 @@ FROM events GROUP BY 1""",
     "latest_reviews": f"""WITH {RN}
 SELECT review_ts, UniqueID, usefulCount, rating FROM rn
 ORDER BY review_ts DESC, UniqueID, usefulCount, rating NULLS LAST LIMIT 20""",
-    "sample_reviews": f"""WITH {RT}
+    "sample_n": f"""WITH {RT}
 SELECT UniqueID, drugName, rating FROM rt
 ORDER BY md5(CAST(UniqueID AS VARCHAR) || ':1'), UniqueID LIMIT 100""",
     "holdout_split": f"""WITH {RN}, h AS (
@@ -254,6 +254,10 @@ SELECT UniqueID, CAST(usefulCount AS DOUBLE) AS useful_count, sentiment FROM rn"
 SELECT condition, COUNT(*) AS n FROM rn WHERE condition IS NOT NULL GROUP BY condition)
 SELECT condition, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, condition) - 1 AS DOUBLE)
 AS condition_idx, n FROM c""",
+    "index_parts_by_rank": """WITH c AS (
+SELECT 'part ' || CAST(l_partkey AS VARCHAR) AS label, COUNT(*) AS n FROM lineitem GROUP BY 1)
+SELECT label, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS label_idx, n
+FROM c""",
     "decode_event_bodies": """
 SELECT event_id, CAST(json_extract_string(decode(from_base64(base64(encode(props)))), '$.k') AS BIGINT)
 AS k FROM events""",

@@ -27,7 +27,7 @@ from medvoice.schemas import FEATURES, RAW, SCORED
 from medvoice.sources import files, messages
 from medvoice.streaming.landing import land_messages
 from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
-from medvoice.workspace import new_folder
+from medvoice.workspace import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,9 +38,12 @@ DIGITS = 9
 ROW_KEY = ("UniqueID", "usefulCount", "rating")
 
 
-def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+def query(name: str) -> Callable[[Query], Query]:
+    def register(run: Query) -> Query:
+        QUERIES[name] = run
+        return run
+
+    return register
 
 
 def _r(column: Column | str) -> Column:
@@ -54,106 +57,106 @@ def _clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- cleaning and audit ---------------------------------------------------------
 
 
-@query
-def clean_reviews_rows(spark, sf_dir):
+@query("clean_reviews")
+def q_clean_reviews(spark, sf_dir):
     return _clean_numeric(spark, sf_dir)
 
 
-@query
-def stage_count_audit(spark, sf_dir):
+@query("stage_counts")
+def q_stage_counts(spark, sf_dir):
     return stage_counts(numeric_reviews(spark, sf_dir))
 
 
 # --- grouped profiles -------------------------------------------------------------
 
 
-@query
-def rating_histogram(spark, sf_dir):
+@query("rating_histogram")
+def q_rating_histogram(spark, sf_dir):
     return profiling.rating_histogram(_clean_numeric(spark, sf_dir))
 
 
-@query
-def rating_histogram_raw(spark, sf_dir):
+@query("rating_histogram_raw")
+def q_rating_histogram_raw(spark, sf_dir):
     return profiling.rating_histogram(numeric_reviews(spark, sf_dir), ordered=False)
 
 
-@query
-def avg_rating_by_condition(spark, sf_dir):
+@query("avg_rating_by_condition")
+def q_avg_rating_by_condition(spark, sf_dir):
     return profiling.avg_rating_by(_clean_numeric(spark, sf_dir), "condition")
 
 
-@query
-def avg_rating_by_drug(spark, sf_dir):
+@query("avg_rating_by_drug")
+def q_avg_rating_by_drug(spark, sf_dir):
     return profiling.avg_rating_by(_clean_numeric(spark, sf_dir), "drugName")
 
 
-@query
-def rating_percent(spark, sf_dir):
+@query("rating_percent")
+def q_rating_percent(spark, sf_dir):
     return profiling.rating_percent(numeric_reviews(spark, sf_dir)).withColumn(
         "percent", _r("percent")
     )
 
 
-@query
-def condition_value_counts(spark, sf_dir):
+@query("condition_value_counts")
+def q_condition_value_counts(spark, sf_dir):
     return profiling.value_counts(numeric_reviews(spark, sf_dir), "condition")
 
 
-@query
-def top_conditions(spark, sf_dir):
+@query("top_conditions")
+def q_top_conditions(spark, sf_dir):
     return profiling.top_conditions(numeric_reviews(spark, sf_dir))
 
 
-@query
-def top_drugs_gt(spark, sf_dir):
+@query("top_drugs_gt")
+def q_top_drugs_gt(spark, sf_dir):
     return profiling.top_drugs(
         numeric_reviews(spark, sf_dir), CONDITION, 7.0, False, scale=profiling.RATING_SCALE
     )
 
 
-@query
-def top_drugs_ge(spark, sf_dir):
+@query("top_drugs_ge")
+def q_top_drugs_ge(spark, sf_dir):
     return profiling.top_drugs(
         numeric_reviews(spark, sf_dir), CONDITION, 9.0, True, scale=profiling.RATING_SCALE
     )
 
 
-@query
-def drug_rating_crosstab(spark, sf_dir):
+@query("drug_rating_crosstab")
+def q_drug_rating_crosstab(spark, sf_dir):
     return profiling.crosstab(numeric_reviews(spark, sf_dir), "drugName", "rating")
 
 
-@query
-def drug_rating_pairs(spark, sf_dir):
+@query("drug_rating_pairs")
+def q_drug_rating_pairs(spark, sf_dir):
     return profiling.crosstab_long(numeric_reviews(spark, sf_dir), "drugName", "rating")
 
 
-@query
-def sentiment_summary(spark, sf_dir):
+@query("sentiment_summary")
+def q_sentiment_summary(spark, sf_dir):
     row = profiling.summary(numeric_reviews(spark, sf_dir), "sentiment")
     return row.select("count", *[_r(c).alias(c) for c in row.columns if c != "count"])
 
 
-@query
-def sentiment_describe(spark, sf_dir):
+@query("sentiment_describe")
+def q_sentiment_describe(spark, sf_dir):
     row = describe(numeric_reviews(spark, sf_dir), "sentiment")
     return row.select("count", *[_r(c).alias(c) for c in row.columns if c != "count"])
 
 
-@query
-def price_describe(spark, sf_dir):
+@query("price_describe")
+def q_price_describe(spark, sf_dir):
     row = describe(table(spark, sf_dir, "lineitem"), "l_extendedprice")
     return row.select("count", *[F.round(c, 4).alias(c) for c in row.columns if c != "count"])
 
 
-@query
-def rmse_by_drug(spark, sf_dir):
+@query("rmse_by_drug")
+def q_rmse_by_drug(spark, sf_dir):
     rated = numeric_reviews(spark, sf_dir).where(F.col("rating").isNotNull())
     return rated.groupBy("drugName").agg(_r(profiling.rmse("rating", F.lit(5.5))).alias("rmse"))
 
 
-@query
-def rmse_rounded(spark, sf_dir):
+@query("rmse_rounded")
+def q_rmse_rounded(spark, sf_dir):
     guess = 5.5 + 4.5 * F.col("sentiment")
     return _clean_numeric(spark, sf_dir).agg(
         _r(profiling.rmse_rounded("rating", guess)).alias("rmse")
@@ -163,23 +166,23 @@ def rmse_rounded(spark, sf_dir):
 # --- projections and derived columns ------------------------------------------------
 
 
-@query
-def project_features(spark, sf_dir):
+@query("project_features")
+def q_project_features(spark, sf_dir):
     return numeric_reviews(spark, sf_dir).select(*FEATURES)
 
 
-@query
-def drop_columns(spark, sf_dir):
+@query("drop_columns")
+def q_drop_columns(spark, sf_dir):
     return numeric_reviews(spark, sf_dir).drop("review_ts", "document", "token", "class")
 
 
-@query
-def rename_review(spark, sf_dir):
+@query("rename_review")
+def q_rename_review(spark, sf_dir):
     return text_reviews(spark, sf_dir).withColumnRenamed("review", "text")
 
 
-@query
-def to_numeric_cols(spark, sf_dir):
+@query("to_numeric_cols")
+def q_to_numeric_cols(spark, sf_dir):
     as_text = numeric_reviews(spark, sf_dir).select(
         "UniqueID", F.col("rating").cast("string").alias("rating"),
         F.col("usefulCount").cast("string").alias("usefulCount"), "condition",
@@ -192,22 +195,22 @@ def to_numeric_cols(spark, sf_dir):
     )
 
 
-@query
-def review_sent(spark, sf_dir):
+@query("review_sent")
+def q_review_sent(spark, sf_dir):
     return numeric_reviews(spark, sf_dir).select(
         "UniqueID", "rating", C.review_sent("rating").alias("review_sent")
     )
 
 
-@query
-def rint_col(spark, sf_dir):
+@query("rint_col")
+def q_rint_col(spark, sf_dir):
     return numeric_reviews(spark, sf_dir).select(
         "UniqueID", C.round_half_even(F.col("sentiment") * 5).alias("rounded")
     )
 
 
-@query
-def month_dir_counts(spark, sf_dir):
+@query("month_dir_counts")
+def q_month_dir_counts(spark, sf_dir):
     return (
         table(spark, sf_dir, "events")
         .groupBy(C.month_dir("ts").alias("month_dir"))
@@ -218,8 +221,8 @@ def month_dir_counts(spark, sf_dir):
 # --- order, limit, sample, append ----------------------------------------------------
 
 
-@query
-def latest_reviews(spark, sf_dir):
+@query("latest_reviews")
+def q_latest_reviews(spark, sf_dir):
     return (
         numeric_reviews(spark, sf_dir)
         .select("review_ts", "UniqueID", "usefulCount", "rating")
@@ -228,15 +231,15 @@ def latest_reviews(spark, sf_dir):
     )
 
 
-@query
-def sample_reviews(spark, sf_dir):
+@query("sample_n")
+def q_sample_n(spark, sf_dir):
     return sample_n(text_reviews(spark, sf_dir), ["UniqueID"], n=100, seed=1).select(
         "UniqueID", "drugName", "rating"
     )
 
 
-@query
-def holdout_split(spark, sf_dir):
+@query("holdout_split")
+def q_holdout_split(spark, sf_dir):
     return (
         with_split(numeric_reviews(spark, sf_dir), ["UniqueID"])
         .groupBy("holdout")
@@ -247,8 +250,8 @@ def holdout_split(spark, sf_dir):
     )
 
 
-@query
-def union_batches(spark, sf_dir):
+@query("union_batches")
+def q_union_batches(spark, sf_dir):
     numbers = numeric_reviews(spark, sf_dir)
     texts = text_reviews(spark, sf_dir)
     return files.append(
@@ -260,30 +263,30 @@ def union_batches(spark, sf_dir):
 # --- files -----------------------------------------------------------------------------
 
 
-@query
-def tsv_round_trip(spark, sf_dir):
+@query("tsv_round_trip")
+def q_tsv_round_trip(spark, sf_dir):
     folder = new_folder(spark, "tsv")
     files.write_reviews_tsv(text_reviews(spark, sf_dir).select(*RAW.fieldNames()), folder)
     return files.read_reviews_tsv(spark, folder)
 
 
-@query
-def text_typed_round_trip(spark, sf_dir):
+@query("text_typed_round_trip")
+def q_text_typed_round_trip(spark, sf_dir):
     folder = new_folder(spark, "tsv-text")
     files.write_reviews_tsv(text_reviews(spark, sf_dir).select(*RAW.fieldNames()), folder)
     return files.read_text_typed(spark, folder)
 
 
-@query
-def scored_csv_round_trip(spark, sf_dir):
+@query("scored_csv_round_trip")
+def q_scored_csv_round_trip(spark, sf_dir):
     folder = new_folder(spark, "scored")
     scored = score_reviews(text_reviews(spark, sf_dir))
     files.write_scored_csv(scored.select(*SCORED.fieldNames()), folder, 200)
     return files.read_scored_csv(spark, folder).withColumn("sentiment", _r("sentiment"))
 
 
-@query
-def predictions_by_run(spark, sf_dir):
+@query("predictions_by_run")
+def q_predictions_by_run(spark, sf_dir):
     folder = new_folder(spark, "predictions")
     guess = numeric_reviews(spark, sf_dir).select(
         "UniqueID", *FEATURES, (5.5 + 4.5 * F.col("sentiment")).alias("prediction")
@@ -300,47 +303,47 @@ def predictions_by_run(spark, sf_dir):
 # --- text ----------------------------------------------------------------------------------
 
 
-@query
-def term_frequency(spark, sf_dir):
+@query("term_frequency")
+def q_term_frequency(spark, sf_dir):
     return terms.term_frequency(text_reviews(spark, sf_dir), "review")
 
 
-@query
-def term_freq_negative(spark, sf_dir):
+@query("term_freq_negative")
+def q_term_freq_negative(spark, sf_dir):
     return terms.term_frequency_by_sentiment(text_reviews(spark, sf_dir), 0)
 
 
-@query
-def term_freq_positive(spark, sf_dir):
+@query("term_freq_positive")
+def q_term_freq_positive(spark, sf_dir):
     return terms.term_frequency_by_sentiment(text_reviews(spark, sf_dir), 1)
 
 
-@query
-def drug_name_terms(spark, sf_dir):
+@query("drug_name_terms")
+def q_drug_name_terms(spark, sf_dir):
     return terms.term_frequency(numeric_reviews(spark, sf_dir), "drugName", STOPWORDS)
 
 
-@query
-def review_cloud(spark, sf_dir):
+@query("review_cloud")
+def q_review_cloud(spark, sf_dir):
     return terms.cloud_terms(text_reviews(spark, sf_dir), "review")
 
 
-@query
-def drug_name_cloud(spark, sf_dir):
+@query("drug_name_cloud")
+def q_drug_name_cloud(spark, sf_dir):
     return terms.cloud_terms(numeric_reviews(spark, sf_dir), "drugName")
 
 
-@query
-def review_polarity(spark, sf_dir):
+@query("review_polarity")
+def q_review_polarity(spark, sf_dir):
     scored = score_reviews(text_reviews(spark, sf_dir))
     return scored.select("UniqueID", _r("sentiment").alias("sentiment"))
 
 
-@query
-def review_polarity_large_lexicon(spark, sf_dir):
+@query("review_polarity_large_lexicon")
+def q_review_polarity_large_lexicon(spark, sf_dir):
     """Every word of the texts is a lexicon word: the join form."""
     reviews = text_reviews(spark, sf_dir).select("UniqueID", "review")
-    words = terms.explode_tokens(reviews, "review").distinct()
+    words = materialize(terms.explode_tokens(reviews, "review").distinct(), "words")
     lexicon = words.select(
         F.col("term").alias("word"), ((F.length("term") % 5 - 2) / 2.0).alias("polarity")
     )
@@ -348,14 +351,14 @@ def review_polarity_large_lexicon(spark, sf_dir):
     return scored.select("UniqueID", _r("sentiment").alias("sentiment"))
 
 
-@query
-def extract_scored(spark, sf_dir):
+@query("extract_scored")
+def q_extract_scored(spark, sf_dir):
     scored = extract(text_reviews(spark, sf_dir))
     return scored.withColumn("sentiment", _r("sentiment"))
 
 
-@query
-def explode_labels(spark, sf_dir):
+@query("explode_labels")
+def q_explode_labels(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     positive = F.when(F.col("quality") == 1, "positive").otherwise("negative")
     safe = F.when(F.col("toxic") == 0, "positive").otherwise("negative")
@@ -368,8 +371,8 @@ def explode_labels(spark, sf_dir):
     return classifier.explode_results(tagged)
 
 
-@query
-def label_sentiment(spark, sf_dir):
+@query("label_sentiment")
+def q_label_sentiment(spark, sf_dir):
     reviews = text_reviews(spark, sf_dir).select(
         "UniqueID", F.col("review").alias("text"), C.review_sent("rating").alias("label")
     )
@@ -381,8 +384,8 @@ def label_sentiment(spark, sf_dir):
 # --- model ------------------------------------------------------------------------------------
 
 
-@query
-def assemble_features(spark, sf_dir):
+@query("assemble_features")
+def q_assemble_features(spark, sf_dir):
     vector = vector_to_array("features")
     return rating_model.assemble(numeric_reviews(spark, sf_dir)).select(
         "UniqueID",
@@ -391,8 +394,8 @@ def assemble_features(spark, sf_dir):
     )
 
 
-@query
-def index_condition(spark, sf_dir):
+@query("index_condition")
+def q_index_condition(spark, sf_dir):
     reviews = numeric_reviews(spark, sf_dir).select("condition")
     return (
         rating_model.fit_label_index(reviews)
@@ -402,8 +405,20 @@ def index_condition(spark, sf_dir):
     )
 
 
-@query
-def rating_model_predictions(spark, sf_dir):
+@query("index_parts_by_rank")
+def q_index_parts_by_rank(spark, sf_dir):
+    """The index for more labels than one model should hold."""
+    items = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("part "), "l_partkey").alias("label"))
+    ranks = rating_model.label_ranks(items, "label")
+    return (
+        rating_model.index_by_ranks(items, ranks, "label")
+        .groupBy("label", "label_idx")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("rating_model_predictions")
+def q_rating_model_predictions(spark, sf_dir):
     result = train(numeric_reviews(spark, sf_dir))
     return result.predictions.select(
         "UniqueID", *FEATURES, "rating", "prediction",
@@ -411,19 +426,19 @@ def rating_model_predictions(spark, sf_dir):
     )
 
 
-@query
-def rating_model_rmse(spark, sf_dir):
+@query("rating_model_rmse")
+def q_rating_model_rmse(spark, sf_dir):
     return train(numeric_reviews(spark, sf_dir)).report
 
 
-@query
-def prediction_sample(spark, sf_dir):
+@query("prediction_sample")
+def q_prediction_sample(spark, sf_dir):
     predictions = train(numeric_reviews(spark, sf_dir)).predictions
     return sample_n(predictions.drop("features"), [*ROW_KEY, "sentiment"], n=1000, seed=1)
 
 
-@query
-def model_reload_predict(spark, sf_dir):
+@query("model_reload_predict")
+def q_model_reload_predict(spark, sf_dir):
     folder = new_folder(spark, "model")
     reviews = numeric_reviews(spark, sf_dir)
     train(reviews, model_path=folder)
@@ -436,8 +451,8 @@ def model_reload_predict(spark, sf_dir):
 # --- messages and streams -----------------------------------------------------------------------
 
 
-@query
-def decode_event_bodies(spark, sf_dir):
+@query("decode_event_bodies")
+def q_decode_event_bodies(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     data = F.base64(F.col("props").cast("binary"))
     return events.select(
@@ -445,14 +460,14 @@ def decode_event_bodies(spark, sf_dir):
     )
 
 
-@query
-def decode_messages(spark, sf_dir):
+@query("decode_messages")
+def q_decode_messages(spark, sf_dir):
     encoded = messages.encode_messages(text_reviews(spark, sf_dir))
     return messages.decode_messages(encoded).drop("data")
 
 
-@query
-def stream_events_landed(spark, sf_dir):
+@query("stream_events_landed")
+def q_stream_events_landed(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     source = messages.table_source(spark, sf_dir, schema, "events.parquet")
     out = new_folder(spark, "events")
@@ -482,19 +497,19 @@ def _land(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return landed, rejects
 
 
-@query
-def stream_month_land(spark, sf_dir):
+@query("stream_month_land")
+def q_stream_month_land(spark, sf_dir):
     landed, _ = _land(spark, sf_dir)
     return (
         files.read_landed(spark, landed)
         .withColumn("sentiment", _r("sentiment"))
-        .withColumn("month_dir_ok", F.col("month_dir").rlike(r"^[1-9][0-2]?-\d{4}$"))
+        .withColumn("month_dir_ok", F.col("month_dir").rlike(r"^([1-9]|1[0-2])-\d{4}$"))
         .drop("month_dir")
     )
 
 
-@query
-def stream_rejects(spark, sf_dir):
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
     _, rejects = _land(spark, sf_dir)
     bodies = spark.read.schema("value string, month_dir string, batch_id int").text(rejects)
     parsed = C.parse_message(C.decode_body("value"))
@@ -513,13 +528,13 @@ def _score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-@query
-def stream_score_new(spark, sf_dir):
+@query("stream_score_new")
+def q_stream_score_new(spark, sf_dir):
     return _score(spark, sf_dir).select("UniqueID", *FEATURES, "prediction")
 
 
-@query
-def stream_score_audit(spark, sf_dir):
+@query("stream_score_audit")
+def q_stream_score_audit(spark, sf_dir):
     """Each landed row once, with a prediction on the rating scale."""
     scored = _score(spark, sf_dir)
     return scored.groupBy("drugName").agg(
@@ -529,8 +544,8 @@ def stream_score_audit(spark, sf_dir):
     )
 
 
-@query
-def batch_score_landed(spark, sf_dir):
+@query("batch_score_landed")
+def q_batch_score_landed(spark, sf_dir):
     """The landed rows scored as a batch: what the streams must add up to."""
     landed, _ = _land(spark, sf_dir)
     model = train(numeric_reviews(spark, sf_dir)).model

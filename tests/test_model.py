@@ -89,6 +89,17 @@ def test_label_index(spark):
         M.fit_label_index(df, max_labels=2)
 
 
+def test_label_ranks_equal_the_index(spark):
+    labels = [f"l{i % 97}" for i in range(1000)] + ["hot"] * 500 + [None]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(labels)], "condition string, i int")
+    indexed = M.fit_label_index(df).transform(df)
+    ranked = M.index_by_ranks(df, M.label_ranks(df))
+    assert ranked.count() == 1500
+    assert set(map(tuple, ranked.select("i", "condition", "condition_idx").collect())) == set(
+        map(tuple, indexed.select("i", "condition", "condition_idx").collect())
+    )
+
+
 def test_extraction_to_training(spark, tmp_path):
     rows = [(i, "A", "c", text, rating, "d", i % 7) for i, (text, rating) in enumerate(
         [("great relief", 9.0), ("awful pain\n|", 2.0), ("nothing", 5.0)] * 40)]

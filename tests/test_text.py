@@ -157,3 +157,9 @@ def test_text_classifier(spark):
     assert dict(labelled.dtypes)["sentiment"] == "array<struct<result:string>>"
     result = dict(map(tuple, classifier.explode_results(labelled).collect()))
     assert result == {"such relief, great": "positive", "awful!": "negative"}
+    assert classifier.annotate(model, "great relief") == ["positive"]
+
+
+def test_single_text(spark):
+    assert polarity_operators.text_polarity(spark, "This drug is the worst!") == -1.0
+    assert polarity_operators.text_polarity(spark, None) == 0.0
