@@ -91,6 +91,7 @@ def fit_rating_model(
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     seed: int = 42,
+    collapse: bool = False,
     **forest: object,
 ) -> PipelineModel:
     """Fit assembler and random forest, with Spark's default forest unless overridden.
@@ -98,13 +99,20 @@ def fit_rating_model(
     Only the label and the features are kept for the fit: three numbers per row
     whatever the width of the table. They are persisted because the fit passes
     over them several times; lost blocks are computed again.
+
+    A table that arrives in fewer parts than there are cores is spread over all of
+    them first. With more parts, as on any large table, it stays as it is.
     """
-    narrow = train.select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    kept = [train.select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
+        if kept[0].rdd.getNumPartitions() < cores:
+            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
         regressor = RandomForestRegressor(labelCol=label, seed=seed, **forest)
-        return Pipeline(stages=[assembler(features), regressor]).fit(narrow)
+        return Pipeline(stages=[assembler(features), regressor]).fit(kept[-1])
     finally:
-        narrow.unpersist()
+        for frame in kept:
+            frame.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

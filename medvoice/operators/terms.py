@@ -60,11 +60,17 @@ COLLOCATION_THRESHOLD = 30.0
 LOG_FLOOR = 1e-10
 
 
-def word_pairs(df: DataFrame, column: str, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
+def word_pairs(
+    df: DataFrame,
+    column: str,
+    stopwords: Sequence[str] = STOPWORDS,
+    by: Sequence[str] = (),
+) -> DataFrame:
     """Occurrences of each word with its follower in the same text: ``(w1, w2, n)``.
 
     Possessive endings are cut and plain numbers left out first. ``w1`` is never a
-    stop word; ``w2`` is NULL where no word follows or a stop word does.
+    stop word; ``w2`` is NULL where no word follows or a stop word does. Counts
+    can be kept apart ``by`` other columns.
     """
 
     def bare(t: Column) -> Column:
@@ -90,11 +96,12 @@ def word_pairs(df: DataFrame, column: str, stopwords: Sequence[str] = STOPWORDS)
     words = F.filter(F.transform(tokens(column), bare), lambda t: ~is_number(t))
     bound = F.transform(F.array(words), paired)
     return (
-        df.select(F.explode(F.get(bound, F.lit(0))).alias("pair"))
+        df.select(*by, F.explode(F.get(bound, F.lit(0))).alias("pair"))
         .where(F.col("pair").isNotNull())
-        .groupBy("pair")
+        .groupBy(*by, "pair")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
+            *by,
             F.get(F.split("pair", " "), F.lit(0)).alias("w1"),
             F.get(F.split("pair", " "), F.lit(1)).alias("w2"),
             "n",
@@ -140,6 +147,15 @@ def cloud_terms(
     everything after works on the table of distinct pairs.
     """
     pairs = materialize(word_pairs(df, column, stopwords), "pairs")
+    return cloud_of_pairs(pairs, max_terms, threshold)
+
+
+def cloud_of_pairs(
+    pairs: DataFrame,
+    max_terms: int | None = MAX_TERMS,
+    threshold: float = COLLOCATION_THRESHOLD,
+) -> DataFrame:
+    """The cloud of a written table of pair counts, or of some of its rows."""
     singles = pairs.groupBy(F.col("w1").alias("term")).agg(F.sum("n").alias("n"))
     total = singles.agg(F.sum("n").cast("double")).scalar()
 

@@ -232,6 +232,8 @@ SELECT term, COUNT(*) AS n FROM toks GROUP BY term""",
 toks AS (SELECT unnest(regexp_extract_all(lower(drugName), {_quoted(TOKEN_PATTERN)})) AS term FROM rn)
 SELECT term, COUNT(*) AS n FROM toks WHERE term NOT IN {_STOP} GROUP BY term""",
     "review_cloud": _cloud(RT, "rt", "review"),
+    "negative_cloud": _cloud(RT, "rt WHERE rating < 5", "review"),
+    "positive_cloud": _cloud(RT, "rt WHERE rating >= 5", "review"),
     "drug_name_cloud": _cloud(RN, "rn", "drugName"),
     "review_polarity": f"WITH {POLARITY} SELECT UniqueID, ROUND(sentiment, 9) AS sentiment FROM scored",
     "review_polarity_large_lexicon": f"""WITH {TOKENS},

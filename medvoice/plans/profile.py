@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from medvoice.functions.lexicon import STOPWORDS
 from medvoice.functions.columns import review_sent
+from medvoice.functions.lexicon import STOPWORDS
 from medvoice.operators import profiling as P
 from medvoice.operators.cleaning import stage_counts
-from medvoice.operators.terms import MAX_TERMS, cloud_terms
+from medvoice.operators.terms import MAX_TERMS, cloud_of_pairs, cloud_terms, word_pairs
+from medvoice.workspace import materialize
 
 # The two product reports, (condition, rating bound, bound included).
 PRODUCT_REPORTS: Mapping[str, tuple[str, float, bool]] = {
@@ -26,7 +27,13 @@ def reports(
     max_terms: int | None = MAX_TERMS,
     scale: Sequence[float] | None = P.RATING_SCALE,
 ) -> dict[str, DataFrame]:
-    """Each report as a lazy table, by name."""
+    """Each report as a table, by name.
+
+    The review texts are read once for all three review clouds: pairs of words are
+    counted apart by label and written.
+    """
+    labelled = df.withColumn("label", review_sent("rating"))
+    pairs = materialize(word_pairs(labelled, "review", stopwords, ["label"]), "pairs")
     result = {
         "stage_counts": stage_counts(df),
         "rating_histogram": P.rating_histogram(df),
@@ -35,11 +42,10 @@ def reports(
         "rating_percent": P.rating_percent(df),
         "top_conditions": P.top_conditions(df),
         "drug_name_cloud": cloud_terms(df, "drugName", stopwords, max_terms),
-        "review_cloud": cloud_terms(df, "review", stopwords, max_terms),
+        "review_cloud": cloud_of_pairs(pairs, max_terms),
+        "negative_cloud": cloud_of_pairs(pairs.where("label = 0"), max_terms),
+        "positive_cloud": cloud_of_pairs(pairs.where("label = 1"), max_terms),
     }
-    for name, label in (("negative_cloud", 0), ("positive_cloud", 1)):
-        labelled = df.where(review_sent("rating") == label)
-        result[name] = cloud_terms(labelled, "review", stopwords, max_terms)
     for name, (condition, bound, inclusive) in product_reports.items():
         result[name] = P.top_drugs(df, condition, bound, inclusive, scale=scale)
     return result

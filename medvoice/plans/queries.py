@@ -328,6 +328,21 @@ def q_review_cloud(spark, sf_dir):
     return terms.cloud_terms(text_reviews(spark, sf_dir), "review")
 
 
+def _labelled_cloud(spark: SparkSession, sf_dir: str, label: int) -> DataFrame:
+    reviews = text_reviews(spark, sf_dir)
+    return terms.cloud_terms(reviews.where(C.review_sent("rating") == label), "review")
+
+
+@query("negative_cloud")
+def q_negative_cloud(spark, sf_dir):
+    return _labelled_cloud(spark, sf_dir, 0)
+
+
+@query("positive_cloud")
+def q_positive_cloud(spark, sf_dir):
+    return _labelled_cloud(spark, sf_dir, 1)
+
+
 @query("drug_name_cloud")
 def q_drug_name_cloud(spark, sf_dir):
     return terms.cloud_terms(numeric_reviews(spark, sf_dir), "drugName")

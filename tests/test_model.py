@@ -70,6 +70,13 @@ def test_fit_is_repeatable(reviews, trained):
     )
 
 
+def test_collapsed_fit_is_close(reviews, trained):
+    result, _ = trained
+    collapsed = {r.split: r.rmse for r in train(reviews, numTrees=5, collapse=True).report.collect()}
+    for row in result.report.collect():
+        assert collapsed[row.split] == pytest.approx(row.rmse, rel=0.1)
+
+
 def test_given_holdout(reviews):
     left, right = reviews.where("UniqueID % 2 = 0"), reviews.where("UniqueID % 2 = 1")
     report = {r.split: r.n for r in train(left, right, numTrees=2).report.collect()}
