@@ -7,27 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Tasks a single hot key is spread over.
+# A lookup of at most this many rows is broadcast; more rows are shuffled.
+MAX_BROADCAST_ROWS = 500_000
+# Tasks a single hot key is spread over in a shuffled lookup.
 SALTS = 16
 
 
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: str, spread_by: Sequence[str]
+) -> DataFrame:
+    """Inner join of ``rows`` with a narrow table that has each value of ``on`` once.
+
+    The lookup is broadcast if counting shows that it is within the bound, else
+    the join is salted. ``lookup`` should be a stored table, as it is counted first.
+    """
+    counted = lookup.limit(MAX_BROADCAST_ROWS + 1).count()
+    if counted <= MAX_BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), on)
+    return salted_join(rows, lookup, on, spread_by)
+
+
 def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: str,
-    spread: Sequence[str],
-    how: str = "inner",
+    spread_by: Sequence[str],
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``rows`` with a table that has each value of ``on`` once.
+    """The same join by shuffle.
 
-    Each row gets a salt from its ``spread`` columns, the lookup is repeated once
-    per salt, and both meet on key and salt: a hot key then fills ``salts`` tasks
-    instead of one, and no row is left out. There is no broadcast hint; Spark
-    broadcasts the lookup only when it is known to be small.
+    Each row gets a salt from its ``spread_by`` columns, the lookup is repeated
+    once per salt, and both meet on key and salt: a hot key then fills ``salts``
+    tasks instead of one, and no row is left out.
     """
     salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+        "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     )
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [on, "_salt"]).drop("_salt")

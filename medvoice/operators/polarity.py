@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from medvoice.functions.lexicon import LEXICON, NEGATION_FACTOR, NEGATORS
 from medvoice.functions.text import is_negator, polarity, tokens
-from medvoice.operators.joins import salted_join
+from medvoice.operators.joins import lookup_join
 
 # Up to this many words the lexicon becomes part of the plan; beyond, it is joined.
 MAX_INLINE_WORDS = 5000
@@ -55,9 +55,9 @@ def polarity_by_join(
 ) -> DataFrame:
     """The same scores through a join of tokens with a large lexicon table.
 
-    Natural text has a few words in a large part of all rows, so the join is
-    salted. Only key, word and mark of each token are shuffled, never its text;
-    the reviews themselves move once, in the last join.
+    Only key, word and mark of each token take part, never its text; the reviews
+    themselves move once, in the last join. Natural text has a few words in a large
+    part of all rows, which :func:`lookup_join` spreads over several tasks.
     """
     bound = F.transform(
         F.array(tokens(text)),
@@ -71,7 +71,7 @@ def polarity_by_join(
     words = df.select(F.col(key), F.explode(F.get(bound, F.lit(0))).alias("t")).select(
         key, "t.word", "t.negated"
     )
-    found = salted_join(words, lexicon.select("word", "polarity"), "word", [key])
+    found = lookup_join(words, lexicon.select("word", "polarity"), "word", [key])
     factor = F.when(F.col("negated"), NEGATION_FACTOR).otherwise(1.0)
     means = found.groupBy(key).agg(F.avg(F.col("polarity") * factor).alias(output))
     return df.join(means, key, "left").withColumn(

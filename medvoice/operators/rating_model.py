@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from medvoice.operators.joins import salted_join
+from medvoice.operators.joins import lookup_join
 from medvoice.operators.profiling import rmse, rmse_rounded
 from medvoice.schemas import FEATURES, LABEL
-from medvoice.workspace import materialize
+from medvoice.workspace import materialize, spread
 
 # Distinct labels an index model may hold; it is kept whole on driver and tasks.
 MAX_LABELS = 100_000
@@ -83,7 +83,7 @@ def label_ranks(df: DataFrame, column: str = "condition") -> DataFrame:
 def index_by_ranks(df: DataFrame, ranks: DataFrame, column: str = "condition") -> DataFrame:
     """Add the index from such a table; rows with an unknown or NULL label are left out."""
     others = [c for c in df.columns if c != column] or [F.monotonically_increasing_id()]
-    return salted_join(df, ranks, column, others)
+    return lookup_join(df, ranks, column, others)
 
 
 def fit_rating_model(
@@ -106,8 +106,9 @@ def fit_rating_model(
     cores = train.sparkSession.sparkContext.defaultParallelism
     kept = [train.select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        if kept[0].rdd.getNumPartitions() < cores:
-            kept.append(kept[0].repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
+        even = spread(kept[0])
+        if even is not kept[0]:
+            kept.append(even.persist(StorageLevel.MEMORY_AND_DISK))
         regressor = RandomForestRegressor(labelCol=label, seed=seed, **forest)
         return Pipeline(stages=[assembler(features), regressor]).fit(kept[-1])
     finally:

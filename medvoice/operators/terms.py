@@ -176,9 +176,13 @@ def cloud_of_pairs(
         .agg(
             F.sum("n").alias("n"),
             F.max(F.col("w2") == F.col("base")).alias("merged"),
-            F.max("w2").alias("only"),
         )
-        .select("w1", F.when(F.col("merged"), F.col("base")).otherwise(F.col("only")).alias("w2"), "n")
+        # Without its singular the group is a plural alone.
+        .select(
+            "w1",
+            F.when(F.col("merged"), F.col("base")).otherwise(F.concat("base", F.lit("s"))).alias("w2"),
+            "n",
+        )
     )
     scored = phrases.join(
         known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("form_n").alias("n1")),

@@ -27,7 +27,7 @@ from medvoice.schemas import FEATURES, RAW, SCORED
 from medvoice.sources import files, messages
 from medvoice.streaming.landing import land_messages
 from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
-from medvoice.workspace import materialize, new_folder
+from medvoice.workspace import materialize, new_folder, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def _r(column: Column | str) -> Column:
     return F.round(column, DIGITS)
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text reviews for work that is heavy per text."""
+    return spread(text_reviews(spark, sf_dir))
+
+
 def _clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_reviews(numeric_reviews(spark, sf_dir))
 
@@ -305,17 +310,17 @@ def q_predictions_by_run(spark, sf_dir):
 
 @query("term_frequency")
 def q_term_frequency(spark, sf_dir):
-    return terms.term_frequency(text_reviews(spark, sf_dir), "review")
+    return terms.term_frequency(_texts(spark, sf_dir), "review")
 
 
 @query("term_freq_negative")
 def q_term_freq_negative(spark, sf_dir):
-    return terms.term_frequency_by_sentiment(text_reviews(spark, sf_dir), 0)
+    return terms.term_frequency_by_sentiment(_texts(spark, sf_dir), 0)
 
 
 @query("term_freq_positive")
 def q_term_freq_positive(spark, sf_dir):
-    return terms.term_frequency_by_sentiment(text_reviews(spark, sf_dir), 1)
+    return terms.term_frequency_by_sentiment(_texts(spark, sf_dir), 1)
 
 
 @query("drug_name_terms")
@@ -325,11 +330,11 @@ def q_drug_name_terms(spark, sf_dir):
 
 @query("review_cloud")
 def q_review_cloud(spark, sf_dir):
-    return terms.cloud_terms(text_reviews(spark, sf_dir), "review")
+    return terms.cloud_terms(_texts(spark, sf_dir), "review")
 
 
 def _labelled_cloud(spark: SparkSession, sf_dir: str, label: int) -> DataFrame:
-    reviews = text_reviews(spark, sf_dir)
+    reviews = _texts(spark, sf_dir)
     return terms.cloud_terms(reviews.where(C.review_sent("rating") == label), "review")
 
 
@@ -357,7 +362,7 @@ def q_review_polarity(spark, sf_dir):
 @query("review_polarity_large_lexicon")
 def q_review_polarity_large_lexicon(spark, sf_dir):
     """Every word of the texts is a lexicon word: the join form."""
-    reviews = text_reviews(spark, sf_dir).select("UniqueID", "review")
+    reviews = _texts(spark, sf_dir).select("UniqueID", "review")
     words = materialize(terms.explode_tokens(reviews, "review").distinct(), "words")
     lexicon = words.select(
         F.col("term").alias("word"), ((F.length("term") % 5 - 2) / 2.0).alias("polarity")
@@ -388,7 +393,7 @@ def q_explode_labels(spark, sf_dir):
 
 @query("label_sentiment")
 def q_label_sentiment(spark, sf_dir):
-    reviews = text_reviews(spark, sf_dir).select(
+    reviews = _texts(spark, sf_dir).select(
         "UniqueID", F.col("review").alias("text"), C.review_sent("rating").alias("label")
     )
     model = classifier.fit_text_classifier(reviews)

@@ -43,3 +43,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table over all cores if it arrives in fewer parts than there are cores.
+
+    For heavy work per row on small or badly cut files. A table with more parts,
+    as any large one has, is returned as it is, without a shuffle. Meant for
+    tables read from files: asking a plan with shuffles for its parts runs them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

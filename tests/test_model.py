@@ -14,7 +14,9 @@ from medvoice.sources import files
 
 @pytest.fixture(scope="module")
 def reviews(spark, sf_dir):
-    return numeric_reviews(spark, sf_dir).cache()
+    df = numeric_reviews(spark, sf_dir).cache()
+    yield df
+    df.unpersist()  # or later plans would read the cache
 
 
 @pytest.fixture(scope="module")

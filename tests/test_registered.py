@@ -5,6 +5,8 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from medvoice.operators import joins
+from medvoice.workspace import spread
 from tests.check import connect, difference
 
 # Queries that start jobs of their own when built; their plans are only a read.
@@ -69,6 +71,14 @@ def test_only_the_view_join_moves_rows(spark, sf_dir, name):
     assert "BroadcastExchange" in text and "partitioning" not in text
 
 
+def test_spread_leaves_large_tables_alone(spark):
+    many = spark.range(0, 100, 1, 64)
+    assert spread(many) is many
+    few = spread(spark.range(0, 100, 1, 1))
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert few.count() == 100
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     text = plan(spark, sf_dir, "project_features")
     assert "l_extendedprice" not in text and "p_name" not in text
@@ -99,16 +109,11 @@ def test_rating_percent_reuses_its_counts(spark, sf_dir):
     assert "ReusedExchange" in final
 
 
-def test_joined_lexicon_spreads_hot_words(spark, sf_dir):
-    setting = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "-1")  # as with a lexicon too large for a broadcast
-    try:
-        df = queries()["review_polarity_large_lexicon"](spark, sf_dir)
-        text = df._jdf.queryExecution().executedPlan().toString()
-        assert re.search(r"hashpartitioning\(word#\d+, _salt#\d+", text)
-        without_broadcast = set(map(tuple, df.collect()))
-    finally:
-        spark.conf.set(setting, before)
-    df = queries()["review_polarity_large_lexicon"](spark, sf_dir)
-    assert set(map(tuple, df.collect())) == without_broadcast
+def test_large_lookup_spreads_hot_words(spark, sf_dir, monkeypatch):
+    small = queries()["review_polarity_large_lexicon"](spark, sf_dir)
+    assert "BroadcastHashJoin [word" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 100)
+    large = queries()["review_polarity_large_lexicon"](spark, sf_dir)
+    text = large._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(word#\d+, _salt#\d+", text)
+    assert set(map(tuple, large.collect())) == set(map(tuple, small.collect()))
