@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from medvoice.functions.columns import review_sent
 from medvoice.functions.lexicon import STOPWORDS
 from medvoice.functions.text import tokens
+from medvoice.operators.joins import lookup_join
 from medvoice.workspace import materialize
 
 # Fixed value: terms in one cloud.
@@ -156,18 +157,23 @@ def cloud_of_pairs(
     threshold: float = COLLOCATION_THRESHOLD,
 ) -> DataFrame:
     """The cloud of a written table of pair counts, or of some of its rows."""
-    singles = pairs.groupBy(F.col("w1").alias("term")).agg(F.sum("n").alias("n"))
-    total = singles.agg(F.sum("n").cast("double")).scalar()
-
     # A group holds at most a word and its plural.
     group = Window.partitionBy("base")
     merged = F.max(F.col("term") == F.col("base")).over(group)
-    known = singles.withColumn("base", F.coalesce(_singular("term"), "term")).select(
-        "term",
-        F.when(merged, F.col("base")).otherwise(F.col("term")).alias("form"),
-        F.when(merged, F.sum("n").over(group)).otherwise(F.col("n")).alias("form_n"),
+    known = materialize(
+        pairs.groupBy(F.col("w1").alias("term"))
+        .agg(F.sum("n").alias("n"))
+        .withColumn("base", F.coalesce(_singular("term"), "term"))
+        .select(
+            "term",
+            F.when(merged, F.col("base")).otherwise(F.col("term")).alias("form"),
+            "n",
+            F.when(merged, F.sum("n").over(group)).otherwise(F.col("n")).alias("form_n"),
+        ),
+        "words",
     )
-    words = known.groupBy(F.col("form").alias("term")).agg(F.max("form_n").alias("n"))
+    words = known.groupBy(F.col("form").alias("term")).agg(F.sum("n").alias("n"))
+    total = known.agg(F.sum("n").cast("double")).scalar()
 
     phrases = (
         pairs.where(F.col("w2").isNotNull())
@@ -184,13 +190,10 @@ def cloud_of_pairs(
             "n",
         )
     )
-    scored = phrases.join(
-        known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("form_n").alias("n1")),
-        "w1",
-    ).join(
-        known.select(F.col("term").alias("w2"), F.col("form").alias("f2"), F.col("form_n").alias("n2")),
-        "w2",
-    )
+    first = known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("form_n").alias("n1"))
+    second = known.select(F.col("term").alias("w2"), F.col("form").alias("f2"), F.col("form_n").alias("n2"))
+    # A common word begins or ends many different phrases.
+    scored = lookup_join(lookup_join(phrases, first, "w1", ["w2"]), second, "w2", ["w1"])
     score = log_likelihood(
         F.col("n").cast("double"), F.col("n1").cast("double"), F.col("n2").cast("double"), total
     )

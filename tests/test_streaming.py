@@ -11,6 +11,7 @@ from medvoice.streaming.landing import land_messages, landed_columns
 from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
 from medvoice.workspace import materialize, new_folder, shared_root
 
+# The two sample messages.
 GOOD = {
     "UniqueID": 1234, "drugName": "Dolo", "condition": "Fever", "review": "Fantastic",
     "rating": 10, "date": "11-30-2022", "usefulCount": 100,

@@ -6,7 +6,7 @@ import pytest
 
 from medvoice.functions.lexicon import LEXICON, STOPWORDS
 from medvoice.functions.text import polarity, tokens
-from medvoice.operators import classifier
+from medvoice.operators import classifier, joins
 from medvoice.operators import polarity as polarity_operators
 from medvoice.operators.terms import cloud_terms, term_frequency, term_frequency_by_sentiment
 
@@ -131,7 +131,9 @@ def expected_cloud(texts, stopwords, threshold=30.0):
     return {w: n for w, n in counts.items() if n > 0}
 
 
-def test_cloud_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast_rows", [joins.MAX_BROADCAST_ROWS, 3])
+def test_cloud_against_brute_force(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", broadcast_rows)
     texts = [
         "Birth control works. Birth control's cost: 20 dollars; side effects and side effect",
         "side effects of birth controls, hot flashes hot flash 12 34 hot flash",
