@@ -43,3 +43,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.window_dedup import drop_repeated_windows
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_repeated_windows(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op9_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos, len(ws) AS n FROM d),
+k AS (SELECT doc_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+        ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS s FROM t),
+g AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY s) AS c FROM k WHERE pos + 35 <= n),
+x AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS pos FROM g WHERE c > 1),
+r AS (SELECT t.doc_id, count(x.pos) AS n_removed, string_agg(word, ' ' ORDER BY t.pos) FILTER (WHERE x.pos IS NULL) AS kept
+      FROM t LEFT JOIN x ON t.doc_id = x.doc_id AND t.pos = x.pos GROUP BY t.doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
