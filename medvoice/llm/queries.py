@@ -67,3 +67,44 @@ r AS (SELECT t.doc_id, count(x.pos) AS n_removed, string_agg(word, ' ' ORDER BY
 SELECT d.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN r USING (doc_id)
 """
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.decontaminate import find_benchmark, is_contaminated
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_benchmark(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
+ORACLES["op5_benchmark_decontamination"] = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bt AS (SELECT item_id, least(len(ws), 13) AS w, unnest(ws) AS word, unnest(range(len(ws))) AS pos, len(ws) AS n FROM bw),
+bk AS (SELECT item_id, w, pos, n, string_agg(word, ' ') OVER (PARTITION BY item_id ORDER BY pos
+         ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS s FROM bt),
+p AS (SELECT DISTINCT item_id, w, s FROM bk WHERE pos + w <= n),
+dt AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos, len(ws) AS n FROM dw),
+dk AS (SELECT doc_id, pos, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos
+         ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS s FROM dt),
+o AS (SELECT doc_id, pos, w, item_id FROM dk JOIN p USING (s) WHERE w = 13 AND pos + 13 <= n
+      UNION ALL
+      SELECT dk.doc_id, pos, w, item_id FROM dk JOIN p ON (dk.s || ' ') LIKE (p.s || ' %') WHERE w < 13 AND pos + w <= n),
+h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + w)) FROM o) GROUP BY 1),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
