@@ -108,3 +108,11 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM dw LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+
+@query
+def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.mixing import Mix
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return Mix(docs).taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
