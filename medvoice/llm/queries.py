@@ -116,3 +116,11 @@ def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return Mix(docs).taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.near_dedup import NearDuplicates
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return NearDuplicates(docs).documents().select(F.col("id").alias("doc_id"), "class_id", "class_size")
