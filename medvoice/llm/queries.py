@@ -124,3 +124,14 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return NearDuplicates(docs).documents().select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.toxicity import fit, is_held_out, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, field).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted", F.size("toxic_spans").alias("n_spans")
+    )
