@@ -135,3 +135,24 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, field).select(
         "doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted", F.size("toxic_spans").alias("n_spans")
     )
+
+
+@query
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.fingerprints import as_string, edited, fingerprint, similar, with_next
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    changed = with_next(
+        marked, "doc_id", "mark", {"own": fingerprint(F.col("text"))}, ["text", "own"]
+    ).withColumn("edited", edited(F.col("text"), F.col("next.text")))
+    both = changed.withColumn("other", fingerprint(F.col("edited")))
+    return both.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_string(F.col("own")).alias("fingerprint"),
+        as_string(F.col("other")).alias("edited_fingerprint"),
+        similar(F.col("own"), F.col("other")).alias("near_edited"),
+        similar(F.col("own"), F.col("next.own")).alias("near_next"),
+    )
