@@ -156,3 +156,27 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         similar(F.col("own"), F.col("other")).alias("near_edited"),
         similar(F.col("own"), F.col("next.own")).alias("near_next"),
     )
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.secrets import fit
+
+    def labelled(found: DataFrame) -> DataFrame:
+        """Findings whose nature is plain: values given to a key-like name, and known harmless forms."""
+        secret = (F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("length") >= 20)
+        harmless = (
+            F.col("value").rlike(r"^[0-9.:\-/]+$")
+            | F.col("value").rlike(r"@[a-z0-9.\-]+\.[a-z]+\.?$")
+            | (F.col("path") == 1) & F.col("value").rlike("^(https?:|www|/)")
+        )
+        return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label IS NOT NULL")
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (
+        fit(docs, labelled)
+        .scan(docs)
+        .select(
+            F.col("id").alias("doc_id"), "at", "value", "probability", (F.col("probability") >= 0.5).alias("is_secret")
+        )
+    )
