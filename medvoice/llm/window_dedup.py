@@ -118,7 +118,7 @@ def repeated_windows(
     ``starts`` is a list of ``(at, mask)``: bit p of the mask says that the window that
     starts p words after ``at`` is repeated.
     """
-    if not 2 <= width <= 64:
+    if not 2 <= width <= 63:
         raise ValueError("a window has 2 to 64 words")
     spark = docs.sparkSession
     source = docs.select(id_of(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
@@ -141,17 +141,34 @@ def repeated_windows(
     windows = blocks.select("b1", "b2", "n", "windows").mapInArrow(
         _expand, "w1 long, w2 long, b1 long, b2 long, place int, n int"
     )
-    repeated = windows.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("w1", "w2")
+    # Blocks found twice are repeated as a whole; their windows only tell about others'.
+    repeated = (
+        windows.groupBy("w1", "w2")
+        .agg(F.sum("n").alias("all"), F.min("n").alias("least"))
+        .where("all > 1 AND least = 1")
+        .select("w1", "w2", F.xxhash64("w1", "w2").alias("w"))
+    )
     masks = (
-        windows.join(repeated, ["w1", "w2"])
+        windows.where("n = 1")
+        .withColumn("w", F.xxhash64("w1", "w2"))
+        .join(repeated, ["w", "w1", "w2"])
         .groupBy("b1", "b2")
         .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask"))
+        .unionByName(
+            blocks.where("n > 1").select(
+                "b1", "b2", F.expr("shiftleft(1L, CAST(octet_length(windows) DIV 16 AS INT)) - 1").alias("mask")
+            )
+        )
+        .withColumn("b", F.xxhash64("b1", "b2"))
     )
     places = source.mapInArrow(
         lambda b: _occurrences(b, width, sketch.value, False), "b1 long, b2 long, id long, mark long, at int"
     )
+    # The hashes as further keys make both sides of a join be dealt out for it, so that
+    # Spark can split the part of a frequent block or window.
     return (
-        places.join(masks, ["b1", "b2"])
+        places.withColumn("b", F.xxhash64("b1", "b2"))
+        .join(masks, ["b", "b1", "b2"])
         .select("id", places["mark"], F.struct("at", masks["mask"]).alias("start"))
         .groupBy("id", "mark")
         .agg(F.collect_list("start").alias("starts"))
