@@ -180,3 +180,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("id").alias("doc_id"), "at", "value", "probability", (F.col("probability") >= 0.5).alias("is_secret")
         )
     )
+
+
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.suffix_dedup import drop_repeated_strings
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return drop_repeated_strings(docs).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
