@@ -195,3 +195,14 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.suffix_tree import Model, is_held_out
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = Model(docs, ~is_held_out("doc_id")).scores().withColumnRenamed("id", "doc_id")
+    return scores.select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
