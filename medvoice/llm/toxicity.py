@@ -33,11 +33,12 @@ from medvoice.llm import arrays
 from medvoice.llm.frames import stored, unused, with_fields
 
 SAMPLE = 20_000
-RUNS, RUN = 20_000, 32
+RUNS, RUN = 10_000, 32
 HEADS, TAILS = (3, 4, 5, 6), (3, 4, 5)
 PARTS = 1 + len(HEADS) + len(TAILS)
-#: A part is taken if toxic documents hold it this many times as often, and so many do.
-RATIO, LEAST, SHARE = 8.0, 3, 1e-3
+#: A part is taken if at least so many toxic documents (and that share of them) hold it,
+#: so many times as often as others, and too often for chance among all parts tried.
+RATIO, LEAST, SHARE = 4.0, 3, 1e-3
 SLICE = 8 * arrays.PIECE
 
 
@@ -136,24 +137,23 @@ def marginals(evidence: np.ndarray, first: np.ndarray, change: np.ndarray) -> np
     return 1 / (1 + np.exp(-np.clip(evidence + forward + backward, -500, 500)))
 
 
-def fit_field(numbered: np.ndarray, toxic: np.ndarray, known: int, rounds: int = 80) -> tuple[np.ndarray, float, np.ndarray]:
+def fit_field(
+    cell: np.ndarray, part: np.ndarray, toxic: np.ndarray, real: np.ndarray, known: int, rounds: int = 80
+) -> tuple[np.ndarray, float, np.ndarray]:
     """Weights, bias, transitions from runs of words.
 
-    ``numbered`` has the known parts of each word (runs x words x parts, -1 for none, -2
-    in the first place beyond the end of a run), ``toxic`` the states. Penalised maximum
-    likelihood by Adam on the whole sample.
+    Word ``cell`` (run times steps plus step) has the known part ``part``; ``toxic`` has
+    the states, ``real`` is false beyond the end of a run. Penalised maximum likelihood
+    by Adam on the whole sample.
     """
-    runs, steps, _ = numbered.shape
-    real = numbered[:, :, 0] != -2
+    runs, steps = toxic.shape
     theta = np.zeros(known + 5)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    has = numbered >= 0
-    used = numbered[has]
     total = max(1, real.sum())
     pair = real[:, 1:]
     for t in range(1, rounds + 1):
         w, bias, change = theta[:known], theta[known], theta[known + 1 :].reshape(2, 2)
-        e = bias + np.where(has, w[np.maximum(numbered, 0)] if known else 0.0, 0.0).sum(axis=2)
+        e = bias + np.bincount(cell, weights=w[part], minlength=runs * steps).reshape(runs, steps)
         alpha = np.zeros((runs, steps, 2))
         beta = np.zeros((runs, steps, 2))
         alpha[:, 0, 1] = e[:, 0]
@@ -170,8 +170,7 @@ def fit_field(numbered: np.ndarray, toxic: np.ndarray, known: int, rounds: int =
         p1 = np.where(real, np.exp(np.minimum(alpha[:, :, 1] + beta[:, :, 1] - norm, 0)), 0)
         off = np.where(real, p1 - toxic, 0.0)
         grad = np.zeros_like(theta)
-        if known:
-            grad[:known] = np.bincount(used, weights=np.broadcast_to(off[:, :, None], has.shape)[has], minlength=known)
+        grad[:known] = np.bincount(part, weights=off.reshape(-1)[cell], minlength=known)
         grad[known] = off.sum()
         for a in (0, 1):
             for b in (0, 1):
@@ -199,6 +198,15 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return tuple(float(t) for t in theta)
 
 
+def surprise(a: np.ndarray, c: np.ndarray, n_a: int, n_c: int) -> np.ndarray:
+    """Likelihood ratio statistic of a part held by a of n_a and c of n_c documents."""
+    share = (a + c) / (n_a + n_c)
+    out = np.zeros(len(a))
+    for seen, expected in ((a, n_a * share), (c, n_c * share), (n_a - a, n_a * (1 - share)), (n_c - c, n_c * (1 - share))):
+        out += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
+    return out
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, sample: int) -> DataFrame:
     """``(text, toxic, weight)`` of at most ``sample`` rows a class, by least hash of the id."""
     spark = docs.sparkSession
@@ -236,6 +244,12 @@ def _count_parts(batches: Iterable[pa.RecordBatch], known: np.ndarray | None) ->
         yield pa.RecordBatch.from_pydict({"part": values.view(np.int64), "n": n.astype(np.int64)})
 
 
+def _pairs(numbered: np.ndarray) -> bytes:
+    """Word and part of everything known in a run."""
+    word, column = np.nonzero(numbered >= 0)
+    return np.column_stack((word, numbered[word, column])).astype(np.int32).tobytes()
+
+
 def _runs(batches: Iterable[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Runs of words with the states that the labels give them."""
     for batch, texts in arrays.slices(batches, "text"):
@@ -254,7 +268,7 @@ def _runs(batches: Iterable[pa.RecordBatch], known: np.ndarray) -> Iterator[pa.R
         yield pa.RecordBatch.from_pydict(
             {
                 "any": pa.array([bool(toxic[s:e].any()) for s, e in rows]),
-                "parts": pa.array([numbered[s:e].astype(np.int32).tobytes() for s, e in rows], pa.binary()),
+                "parts": pa.array([_pairs(numbered[s:e]) for s, e in rows], pa.binary()),
                 "states": pa.array([toxic[s:e].tobytes() for s, e in rows], pa.binary()),
             }
         )
@@ -295,7 +309,7 @@ def fit(
     ).toArrow()
     of_clean[counted.column("part").to_numpy()] = counted.column("n").to_numpy()
     ratio = ((of_toxic + 0.5) / (n_toxic + 1)) / ((of_clean + 0.5) / (n_clean + 1))
-    known = known[ratio >= RATIO]
+    known = known[(ratio >= RATIO) & (surprise(of_toxic, of_clean, n_toxic, n_clean) >= 2 * np.log(len(known) + 1) - 2)]
     if not len(known):
         return Field(none, np.zeros(0), -30.0, np.zeros((2, 2)), (float(np.log(share / (1 - share))), 0.0, 0.0))
     made = stored(rows.mapInArrow(lambda b: _runs(b, known), "any boolean, parts binary, states binary"), "runs")
@@ -304,14 +318,17 @@ def fit(
         for kind in (True, False)
         for r in made.where(F.col("any") == kind).orderBy(F.xxhash64("parts", "states"), "parts").limit(runs).collect()
     ]
-    numbered = np.full((len(chosen), RUN, PARTS), -1, dtype=np.int32)
-    numbered[:, :, 0] = -2
     states = np.zeros((len(chosen), RUN), dtype=np.int8)
+    real = np.zeros((len(chosen), RUN), dtype=bool)
+    cells, parts = [], []
     for i, r in enumerate(chosen):
         own = np.frombuffer(r["states"], dtype=bool)
-        states[i, : len(own)] = own
-        numbered[i, : len(own)] = np.frombuffer(r["parts"], dtype=np.int32).reshape(-1, PARTS)
-    weights, bias, change = fit_field(numbered, states, len(known))
+        states[i, : len(own)], real[i, : len(own)] = own, True
+        pairs = np.frombuffer(r["parts"], dtype=np.int32).reshape(-1, 2)
+        cells.append(i * RUN + pairs[:, 0].astype(np.int64))
+        parts.append(pairs[:, 1])
+    del chosen
+    weights, bias, change = fit_field(np.concatenate(cells), np.concatenate(parts), states, real, len(known))
     field = Field(known, weights, bias, change, (0.0, 0.0, 0.0))
     seen = tagged(rows.select("text", "toxic", "weight"), field, spans=False).select(
         "toxic", "weight", *_inputs("expected", "top")
