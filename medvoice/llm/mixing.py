@@ -33,6 +33,8 @@ from medvoice.llm.frames import stored
 BLOCK = 64
 SHARD = 1 << 14
 LIMIT = 3
+#: Slots made by one task, about.
+TASK = 500_000
 SEED = 20240607
 #: Documents of one source that share a packing bucket, about.
 BUCKET = 2_000
@@ -172,7 +174,7 @@ class Mix:
             .mapInPandas(
                 lambda frames: _drawn(frames, shards, seed), "number int, blocks long, shard long, base long, n long"
             )
-            .repartition("number", "shard")
+            .repartition(max(1, -(-slots // TASK)), "number", "shard")
             .mapInPandas(lambda frames: _slots(frames, seed), "shard long, number int, slot long, block long")
         )
         known = sized.join(
@@ -193,7 +195,7 @@ class Mix:
                 "at",
                 F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             )
-            .join(bases, ["number", "bucket"])
+            .join(bases.hint("merge"), ["number", "bucket"])
             .withColumn("at", F.col("at") + F.col("base"))
             .select("id", "mark", "source", "number", "size", "source_size", "target", "at")
         )
@@ -214,18 +216,22 @@ class Mix:
         )
 
     def taken(self) -> DataFrame:
-        """``(id, mark, source, size, source_size, target, taken)`` for every document."""
+        """``(id, mark, source, size, source_size, target, taken)`` for every document.
+
+        The joins by block and place are merge joins: their sides grow with the words,
+        and are made by functions whose output size Spark cannot foresee.
+        """
         times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
         used = (
             self.blocks_of_docs()
-            .join(times, ["number", "block"])
+            .join(times.hint("merge"), ["number", "block"])
             .groupBy("number", "at")
             .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
             .withColumn("filled", F.lit(True))
         )
         return (
             self.places.withColumn("filled", F.col("size") > 0)
-            .join(used, ["number", "at", "filled"], "left")
+            .join(used.hint("merge"), ["number", "at", "filled"], "left")
             .select(
                 "id", "mark", "source", "size", "source_size", "target",
                 F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
