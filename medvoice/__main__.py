@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame, SparkSession
+
+from medvoice.functions.lexicon import LEXICON
+from medvoice.operators.polarity import read_lexicon
 from medvoice.operators.rating_model import load_model
 from medvoice.plans import extraction
 from medvoice.plans.profile import reports
@@ -24,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("raw")
     job.add_argument("scored")
     job.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    job.add_argument("--lexicon", help="CSV files with the columns word, polarity")
 
     job = jobs.add_parser("profile", help="raw TSV -> one Parquet table per report")
     job.add_argument("raw")
@@ -34,6 +39,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("holdout")
     job.add_argument("model")
     job.add_argument("--seed", type=int, default=42)
+    job.add_argument("--format", default="csv", choices=["csv", "parquet"])
 
     job = jobs.add_parser("land", help="message files -> landed files by month")
     job.add_argument("messages")
@@ -41,6 +47,9 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("rejects")
     job.add_argument("checkpoint")
     job.add_argument("--forever", action="store_true")
+    job.add_argument("--lexicon", help="CSV files with the columns word, polarity")
+    job.add_argument("--max-files", type=int, help="files in a micro-batch")
+    job.add_argument("--max-bytes", help="bytes in a micro-batch, such as 1g")
 
     job = jobs.add_parser("score", help="landed files -> predictions, inputs archived")
     job.add_argument("model")
@@ -48,35 +57,45 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("predictions")
     job.add_argument("checkpoint")
     job.add_argument("--archive")
+    job.add_argument("--max-files", type=int, help="files in a micro-batch")
+    job.add_argument("--index-column", action="store_true", help="landed files have an index first")
     return top
 
 
+def scored_table(spark: SparkSession, path: str, file_format: str) -> DataFrame:
+    """A scored table as the extract job wrote it."""
+    return spark.read.parquet(path) if file_format == "parquet" else read_scored_csv(spark, path)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"medvoice-{args.job}")
+    lexicon = read_lexicon(spark, args.lexicon) if getattr(args, "lexicon", None) else LEXICON
     if args.job == "extract":
-        extraction.run(spark, args.raw, args.scored, file_format=args.format)
+        extraction.run(spark, args.raw, args.scored, lexicon, file_format=args.format)
     elif args.job == "profile":
         raw = as_parquet(read_reviews_tsv(spark, args.raw), new_folder(spark, "reviews"))
         for name, report in reports(raw).items():
             report.write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "train":
         result = train(
-            read_scored_csv(spark, args.train),
-            read_scored_csv(spark, args.holdout),
+            scored_table(spark, args.train, args.format),
+            scored_table(spark, args.holdout, args.format),
             seed=args.seed,
             model_path=args.model,
         )
         result.report.show()
     elif args.job == "land":
         land_messages(
-            message_source(spark, args.messages),
-            args.landed, args.rejects, args.checkpoint, once=not args.forever,
+            message_source(spark, args.messages, args.max_files, args.max_bytes),
+            args.landed, args.rejects, args.checkpoint, lexicon, once=not args.forever,
         ).awaitTermination()
     else:
         score_landed(
             load_model(args.model),
-            landed_source(spark, args.landed, args.archive),
+            landed_source(
+                spark, args.landed, args.archive, args.max_files, args.index_column
+            ),
             args.predictions, args.checkpoint,
         ).awaitTermination()
 

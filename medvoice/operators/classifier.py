@@ -14,12 +14,13 @@ from medvoice.functions.text import TOKEN_PATTERN
 # The labels a text can get.
 NEGATIVE, POSITIVE = "negative", "positive"
 # Size of the hashed vocabulary: the model is two rows of this many numbers,
-# whatever the number of distinct words.
-VOCABULARY = 1 << 16
+# whatever the number of distinct words. Words beyond it share places.
+VOCABULARY = 1 << 20
 
 
 def text_classifier(
-    text: str = "text", label: str = "label", estimator: Estimator | None = None
+    text: str = "text", label: str = "label", estimator: Estimator | None = None,
+    vocabulary: int = VOCABULARY,
 ) -> Pipeline:
     """Tokens, hashed counts, classifier.
 
@@ -33,7 +34,7 @@ def text_classifier(
                 inputCol=text, outputCol="_tokens", pattern=TOKEN_PATTERN,
                 gaps=False, toLowercase=True,
             ),
-            HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=VOCABULARY),
+            HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=vocabulary),
             estimator or NaiveBayes(labelCol=label, featuresCol="_counts", smoothing=1.0),
         ]
     )
@@ -44,10 +45,11 @@ def fit_text_classifier(
     text: str = "text",
     label: str = "label",
     estimator: Estimator | None = None,
+    vocabulary: int = VOCABULARY,
 ) -> PipelineModel:
     """Fit on the labelled rows that have a text."""
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    return text_classifier(text, label, estimator).fit(
+    return text_classifier(text, label, estimator, vocabulary).fit(
         labelled.select(text, F.col(label).cast("double").alias(label))
     )
 

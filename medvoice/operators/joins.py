@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup of at most this many rows is broadcast; more rows are shuffled.
+# A lookup of at most this many rows and bytes of keys is broadcast; a larger one is shuffled.
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 32 << 20
 # Tasks a single hot key is spread over in a shuffled lookup.
 SALTS = 16
 
@@ -21,8 +22,15 @@ def lookup_join(
     The lookup is broadcast if counting shows that it is within the bound, else
     the join is salted. ``lookup`` should be a stored table, as it is counted first.
     """
-    counted = lookup.limit(MAX_BROADCAST_ROWS + 1).count()
-    if counted <= MAX_BROADCAST_ROWS:
+    size = (
+        lookup.limit(MAX_BROADCAST_ROWS + 1)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(F.octet_length(F.col(on).cast("string"))), F.lit(0)).alias("bytes"),
+        )
+        .first()
+    )
+    if size["n"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES:
         return rows.join(F.broadcast(lookup), on)
     return salted_join(rows, lookup, on, spread_by)
 

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 # Fixed values of the two product reports.
 MIN_USEFUL = 100
 TOP_CONDITIONS = 5
-# The rating scale, 0 to 10.
-RATING_SCALE = tuple(float(r) for r in range(0, 11))
 # Columns a crosstab may get from looked-up values.
 MAX_CROSSTAB_COLUMNS = 1000
 
@@ -64,13 +62,15 @@ def top_conditions(df: DataFrame, k: int = TOP_CONDITIONS) -> DataFrame:
 
 
 def crosstab(
-    df: DataFrame, row: str, column: str, values: Sequence[float | int | str] | None = None
+    df: DataFrame, row: str, column: str, values: Sequence[float | int | str] | None = None,
+    always: Sequence[float | int | str] = (),
 ) -> DataFrame:
     """Contingency counts: one row per ``row`` value, one column per ``column`` value.
 
     NULL keys are left out and an absent pair counts 0. One conditional count per
     value needs a single shuffle; a pivot would need two. Give ``values`` when
-    they are known, or only some are wanted; otherwise they are looked up first.
+    they are known, or only some are wanted; otherwise they are looked up first, and
+    those in ``always`` are added.
     """
     kept = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
     if values is None:
@@ -79,9 +79,11 @@ def crosstab(
             raise ValueError(
                 f"{column} has over {MAX_CROSSTAB_COLUMNS} values; crosstab_long has no such bound"
             )
-        values = sorted(r[0] for r in head)
+        values = sorted({*(r[0] for r in head), *always})
     else:
         kept = kept.where(F.col(column).isin(list(values)))
+    if not values:
+        return kept.select(row).distinct()
     return kept.groupBy(row).agg(
         *[F.count_if(F.col(column) == F.lit(v)).alias(_label(v)) for v in values]
     )
@@ -102,22 +104,19 @@ def top_drugs(
     min_rating: float,
     inclusive: bool,
     min_useful: int = MIN_USEFUL,
-    scale: Sequence[float] | None = None,
+    always: Sequence[float] = (),
 ) -> DataFrame:
     """Product x rating counts for well rated, useful reviews of one condition.
 
-    With a ``scale`` the rating columns are fixed beforehand and no lookup job is
-    needed; ratings off that scale are then not counted.
+    Every rating that occurs gets its column, also one between whole numbers; those in
+    ``always`` get one in any case.
     """
     rating = F.col("rating")
     bound = (rating >= min_rating) if inclusive else (rating > min_rating)
     kept = df.where(
         (F.col("condition") == condition) & bound & (F.col("usefulCount") >= min_useful)
     )
-    values = None
-    if scale is not None:
-        values = [v for v in scale if (v >= min_rating if inclusive else v > min_rating)]
-    return crosstab(kept, "drugName", "rating", values)
+    return crosstab(kept, "drugName", "rating", always=always)
 
 
 def summary(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:

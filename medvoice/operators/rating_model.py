@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,10 +14,13 @@ from pyspark.storagelevel import StorageLevel
 from medvoice.operators.joins import lookup_join
 from medvoice.operators.profiling import rmse, rmse_rounded
 from medvoice.schemas import FEATURES, LABEL
-from medvoice.workspace import materialize, spread
+from medvoice.workspace import materialize
 
 # Distinct labels an index model may hold; it is kept whole on driver and tasks.
 MAX_LABELS = 100_000
+# Parts a fit deals its rows out to; the forest depends on it and on nothing else of
+# the cluster.
+FIT_PARTITIONS = 16
 
 
 def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
@@ -91,7 +94,8 @@ def fit_rating_model(
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     seed: int = 42,
-    collapse: bool = False,
+    indexed: Sequence[str] = (),
+    partitions: int = FIT_PARTITIONS,
     **forest: object,
 ) -> PipelineModel:
     """Fit assembler and random forest, with Spark's default forest unless overridden.
@@ -100,20 +104,37 @@ def fit_rating_model(
     whatever the width of the table. They are persisted because the fit passes
     over them several times; lost blocks are computed again.
 
-    A table that arrives in fewer parts than there are cores is spread over all of
-    them first. With more parts, as on any large table, it stays as it is.
+    Spark draws each tree's rows part by part. Rows are dealt out by a hash of the whole
+    row to a fixed number of ``partitions`` and ordered inside them, so the same rows
+    and seed give the same forest on any cluster; raise the number for large tables.
+
+    ``indexed`` names text columns that get a number by frequency (``<name>_idx``, the
+    most frequent 0, unknown and missing ones the number of labels), for use among the
+    features. The number is an ordinary one, not a category.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    kept = [train.select(label, *features).persist(StorageLevel.MEMORY_AND_DISK)]
+    row = F.xxhash64(*train.columns).alias("_row")
+    plain = [f for f in features if f not in {f"{c}_idx" for c in indexed}]
+    kept = (
+        train.select(label, *plain, *indexed, row)
+        .repartition(partitions, "_row")
+        .sortWithinPartitions("_row", label, *plain, *indexed)
+        .drop("_row")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
-        even = spread(kept[0])
-        if even is not kept[0]:
-            kept.append(even.persist(StorageLevel.MEMORY_AND_DISK))
+        stages = [stage for c in indexed for stage in label_stages(kept, c)]
         regressor = RandomForestRegressor(labelCol=label, seed=seed, **forest)
-        return Pipeline(stages=[assembler(features), regressor]).fit(kept[-1])
+        return Pipeline(stages=[*stages, assembler(features), regressor]).fit(kept)
     finally:
-        for frame in kept:
-            frame.unpersist()
+        kept.unpersist()
+
+
+def label_stages(df: DataFrame, column: str) -> list:
+    """Pipeline stages that add ``<column>_idx``; unknown labels get the number of labels."""
+    index = fit_label_index(df, column).setHandleInvalid("keep").setOutputCol(f"_{column}_label")
+    # The sum leaves out the marks of a category, which would cost a bin per label.
+    plain = SQLTransformer(statement=f"SELECT *, _{column}_label + 0.0D AS {column}_idx FROM __THIS__")
+    return [index, plain]
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

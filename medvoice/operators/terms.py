@@ -17,6 +17,15 @@ from medvoice.workspace import materialize
 MAX_TERMS = 1000
 
 
+def weighted_values(df: DataFrame, column: str) -> DataFrame:
+    """Each value of a column once, with the number of its rows as ``weight``.
+
+    For columns of few different values: their texts are then tokenised once each
+    rather than once per row.
+    """
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("weight"))
+
+
 def explode_tokens(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """One row per token, with the named other columns."""
     return df.select(*keep, F.explode(tokens(column)).alias("term"))
@@ -27,16 +36,19 @@ def term_frequency(
     column: str,
     stopwords: Sequence[str] = (),
     max_terms: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Occurrences of each token over all rows, optionally the most frequent only.
 
+    A row counts as many times as its ``weight`` column says, once without one.
+
     Texts are never put together: tokens are counted inside each task first, and
     one row per task and distinct token is shuffled, however hot the token.
     """
-    terms = explode_tokens(df, column)
+    terms = explode_tokens(df, column, *([weight] if weight else []))
     if stopwords:
         terms = terms.where(~F.col("term").isin(*stopwords))
-    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = terms.groupBy("term").agg(_occurrences(weight).alias("n"))
     if max_terms is None:
         return counts
     return counts.orderBy(F.desc("n"), F.asc("term")).limit(max_terms)
@@ -66,12 +78,13 @@ def word_pairs(
     column: str,
     stopwords: Sequence[str] = STOPWORDS,
     by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Occurrences of each word with its follower in the same text: ``(w1, w2, n)``.
 
     Possessive endings are cut and plain numbers left out first. ``w1`` is never a
     stop word; ``w2`` is NULL where no word follows or a stop word does. Counts
-    can be kept apart ``by`` other columns.
+    can be kept apart ``by`` other columns; rows count by ``weight`` if it is given.
     """
 
     def bare(t: Column) -> Column:
@@ -97,10 +110,10 @@ def word_pairs(
     words = F.filter(F.transform(tokens(column), bare), lambda t: ~is_number(t))
     bound = F.transform(F.array(words), paired)
     return (
-        df.select(*by, F.explode(F.get(bound, F.lit(0))).alias("pair"))
+        df.select(*by, *([weight] if weight else []), F.explode(F.get(bound, F.lit(0))).alias("pair"))
         .where(F.col("pair").isNotNull())
         .groupBy(*by, "pair")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_occurrences(weight).alias("n"))
         .select(
             *by,
             F.get(F.split("pair", " "), F.lit(0)).alias("w1"),
@@ -138,6 +151,7 @@ def cloud_terms(
     stopwords: Sequence[str] = STOPWORDS,
     max_terms: int | None = MAX_TERMS,
     threshold: float = COLLOCATION_THRESHOLD,
+    weight: str | None = None,
 ) -> DataFrame:
     """Terms of a word cloud with their weights: words and two-word phrases.
 
@@ -147,7 +161,7 @@ def cloud_terms(
     are written once to the shared folder, so that the texts are read once and
     everything after works on the table of distinct pairs.
     """
-    pairs = materialize(word_pairs(df, column, stopwords), "pairs")
+    pairs = materialize(word_pairs(df, column, stopwords, weight=weight), "pairs")
     return cloud_of_pairs(pairs, max_terms, threshold)
 
 
@@ -221,6 +235,10 @@ def cloud_of_pairs(
     return counts.orderBy(F.desc("n"), F.asc("term")).limit(max_terms)
 
 
+def _occurrences(weight: str | None) -> Column:
+    return F.sum(weight) if weight else F.count(F.lit(1))
+
+
 def _singular(name: str) -> Column:
     word = F.col(name)
     plural = word.endswith("s") & ~word.endswith("ss")

@@ -77,7 +77,7 @@ scored AS (
 _CLEAN_TEXT = (
     "condition IS NOT NULL AND review IS NOT NULL AND NOT contains(condition, '</span>')"
 )
-_INT_ID = "CAST(UniqueID AS INTEGER) AS UniqueID"
+_INT_ID = "UniqueID"
 
 
 def _term_frequency(label_condition: str) -> str:
@@ -87,6 +87,14 @@ SELECT term, COUNT(*) AS n FROM toks WHERE term NOT IN {_STOP}
 GROUP BY term ORDER BY n DESC, term LIMIT 1000"""
 
 
+def _sides(columns: str) -> str:
+    """Cleaned rows by side of the split."""
+    return f"""WITH {CLEAN}, s AS (
+SELECT CASE WHEN CAST('0x' || substr(md5(CAST(UniqueID AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
+            / 4294967296.0 < 0.25 THEN 'holdout' ELSE 'train' END AS split FROM clean)
+SELECT {columns} FROM s GROUP BY split"""
+
+
 def _summary(source: str, column: str, quantile: str, digits: int) -> str:
     quantiles = ", ".join(
         f"ROUND({quantile.format(q=q, x=column)}, {digits}) AS q{round(q * 100)}"
@@ -235,6 +243,9 @@ SELECT term, COUNT(*) AS n FROM toks WHERE term NOT IN {_STOP} GROUP BY term""",
     "negative_cloud": _cloud(RT, "rt WHERE rating < 5", "review"),
     "positive_cloud": _cloud(RT, "rt WHERE rating >= 5", "review"),
     "drug_name_cloud": _cloud(RN, "rn", "drugName"),
+    "benchmark_cloud": _cloud(
+        "bt AS (SELECT text FROM benchmark UNION ALL SELECT text FROM benchmark)", "bt", "text"
+    ),
     "review_polarity": f"WITH {POLARITY} SELECT UniqueID, ROUND(sentiment, 9) AS sentiment FROM scored",
     "review_polarity_large_lexicon": f"""WITH {TOKENS},
 scores AS (
@@ -278,4 +289,26 @@ SELECT {_INT_ID}, drugName, condition FROM rt WHERE condition IS NULL OR review
     "stream_score_audit": f"""WITH {RT}
 SELECT drugName, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum, COUNT(*) AS n_on_scale
 FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL GROUP BY drugName""",
+    "top_drugs_half_ratings": f"""WITH {RN}, h AS (
+SELECT drugName, condition, usefulCount, rating - (UniqueID % 2) * 0.5 AS rating FROM rn)
+SELECT drugName, {", ".join(f"COUNT(*) FILTER (WHERE rating = {v}) AS {c}"
+    for v, c in ((8.5, "r8_5"), (9, "r9"), (9.5, "r9_5"), (10, "r10")))}
+FROM h WHERE condition = 'ECONOMY' AND rating > 8.0 AND usefulCount >= 100 GROUP BY drugName""",
+    "rating_model_audit": _sides("split, COUNT(*) AS n, TRUE AS better"),
+    "rating_model_three_features": _sides(
+        "split, COUNT(*) AS n, TRUE AS better, CAST(3 AS INTEGER) AS features"
+    ),
+    "model_reload_audit": f"""SELECT n, n AS n_equal FROM ({_sides("split, COUNT(*) AS n")})
+WHERE split = 'holdout'""",
+    "label_sentiment_audit": f"""WITH {RT}
+SELECT UniqueID, CAST(1 AS BIGINT) AS n_allowed, CAST(1 AS BIGINT) AS n FROM rt WHERE review IS NOT NULL""",
+    "polarity_duplicate_keys": f"WITH {POLARITY} SELECT UniqueID AS doc, ROUND(sentiment, 9) AS sentiment FROM scored",
+    "long_ids_landed": f"""WITH {RT}
+SELECT UniqueID + 3000000000 AS UniqueID, drugName FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL""",
+    "stream_two_sources": f"""WITH {RT}
+SELECT drugName, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum
+FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL GROUP BY drugName""",
+    "landed_index_round_trip": f"""WITH {POLARITY}
+SELECT review, {_INT_ID}, drugName, condition, date, usefulCount,
+ROUND(sentiment, 9) AS sentiment FROM scored WHERE condition IS NOT NULL""",
 }

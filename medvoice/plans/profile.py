@@ -10,7 +10,7 @@ from medvoice.functions.columns import review_sent
 from medvoice.functions.lexicon import STOPWORDS
 from medvoice.operators import profiling as P
 from medvoice.operators.cleaning import stage_counts
-from medvoice.operators.terms import MAX_TERMS, cloud_of_pairs, cloud_terms, word_pairs
+from medvoice.operators.terms import MAX_TERMS, cloud_of_pairs, cloud_terms, weighted_values, word_pairs
 from medvoice.workspace import materialize
 
 # The two product reports, (condition, rating bound, bound included).
@@ -25,7 +25,6 @@ def reports(
     product_reports: Mapping[str, tuple[str, float, bool]] = PRODUCT_REPORTS,
     stopwords: Sequence[str] = STOPWORDS,
     max_terms: int | None = MAX_TERMS,
-    scale: Sequence[float] | None = P.RATING_SCALE,
 ) -> dict[str, DataFrame]:
     """Each report as a table, by name.
 
@@ -41,11 +40,13 @@ def reports(
         "avg_rating_by_drug": P.avg_rating_by(df, "drugName"),
         "rating_percent": P.rating_percent(df),
         "top_conditions": P.top_conditions(df),
-        "drug_name_cloud": cloud_terms(df, "drugName", stopwords, max_terms),
+        "drug_name_cloud": cloud_terms(
+            weighted_values(df, "drugName"), "drugName", stopwords, max_terms, weight="weight"
+        ),
         "review_cloud": cloud_of_pairs(pairs, max_terms),
         "negative_cloud": cloud_of_pairs(pairs.where("label = 0"), max_terms),
         "positive_cloud": cloud_of_pairs(pairs.where("label = 1"), max_terms),
     }
     for name, (condition, bound, inclusive) in product_reports.items():
-        result[name] = P.top_drugs(df, condition, bound, inclusive, scale=scale)
+        result[name] = P.top_drugs(df, condition, bound, inclusive)
     return result

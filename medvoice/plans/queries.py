@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medvoice.functions import columns as C
-from medvoice.functions.lexicon import STOPWORDS
+from medvoice.functions.lexicon import LEXICON, STOPWORDS
 from medvoice.operators import classifier, profiling, rating_model, terms
 from medvoice.operators.cleaning import clean_reviews, stage_counts
 from medvoice.operators.polarity import polarity_by_join, score_reviews
@@ -23,7 +23,7 @@ from medvoice.operators.sampling import sample_n, with_split
 from medvoice.plans.extraction import extract
 from medvoice.plans.training import train
 from medvoice.plans.views import numeric_reviews, table, text_reviews
-from medvoice.schemas import FEATURES, RAW, SCORED
+from medvoice.schemas import FEATURES, LANDED, RAW, SCORED
 from medvoice.sources import files, messages
 from medvoice.streaming.landing import land_messages
 from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
@@ -114,16 +114,20 @@ def q_top_conditions(spark, sf_dir):
 
 @query("top_drugs_gt")
 def q_top_drugs_gt(spark, sf_dir):
-    return profiling.top_drugs(
-        numeric_reviews(spark, sf_dir), CONDITION, 7.0, False, scale=profiling.RATING_SCALE
-    )
+    return profiling.top_drugs(numeric_reviews(spark, sf_dir), CONDITION, 7.0, False, always=(8.0, 9.0, 10.0))
 
 
 @query("top_drugs_ge")
 def q_top_drugs_ge(spark, sf_dir):
-    return profiling.top_drugs(
-        numeric_reviews(spark, sf_dir), CONDITION, 9.0, True, scale=profiling.RATING_SCALE
-    )
+    return profiling.top_drugs(numeric_reviews(spark, sf_dir), CONDITION, 9.0, True, always=(9.0, 10.0))
+
+
+@query("top_drugs_half_ratings")
+def q_top_drugs_half_ratings(spark, sf_dir):
+    """Ratings between the whole numbers are counted like all others."""
+    half = F.col("rating") - F.col("UniqueID") % 2 * 0.5
+    reviews = numeric_reviews(spark, sf_dir).withColumn("rating", half)
+    return profiling.top_drugs(reviews, CONDITION, 8.0, False, always=(8.5, 9.0, 9.5, 10.0))
 
 
 @query("drug_rating_crosstab")
@@ -325,7 +329,8 @@ def q_term_freq_positive(spark, sf_dir):
 
 @query("drug_name_terms")
 def q_drug_name_terms(spark, sf_dir):
-    return terms.term_frequency(numeric_reviews(spark, sf_dir), "drugName", STOPWORDS)
+    names = terms.weighted_values(numeric_reviews(spark, sf_dir), "drugName")
+    return terms.term_frequency(names, "drugName", STOPWORDS, weight="weight")
 
 
 @query("review_cloud")
@@ -350,7 +355,15 @@ def q_positive_cloud(spark, sf_dir):
 
 @query("drug_name_cloud")
 def q_drug_name_cloud(spark, sf_dir):
-    return terms.cloud_terms(numeric_reviews(spark, sf_dir), "drugName")
+    names = terms.weighted_values(numeric_reviews(spark, sf_dir), "drugName")
+    return terms.cloud_terms(names, "drugName", weight="weight")
+
+
+@query("benchmark_cloud")
+def q_benchmark_cloud(spark, sf_dir):
+    """A cloud of many terms by weighted values: the texts of the benchmark."""
+    texts = table(spark, sf_dir, "benchmark").unionByName(table(spark, sf_dir, "benchmark"))
+    return terms.cloud_terms(terms.weighted_values(texts, "text"), "text", weight="weight")
 
 
 @query("review_polarity")
@@ -572,3 +585,116 @@ def q_batch_score_landed(spark, sf_dir):
     return predicted_columns(model, files.read_landed(spark, landed)).select(
         "UniqueID", *FEATURES, "prediction"
     )
+
+
+# --- audits: what must hold whatever the model, and awkward inputs -------------------------------
+
+
+@query("rating_model_audit")
+def q_rating_model_audit(spark, sf_dir):
+    """Rows per side, and whether the model beats the mean on each."""
+    reviews = numeric_reviews(spark, sf_dir)
+    spread_ = clean_reviews(reviews).agg(F.stddev_samp("rating")).first()[0]
+    report = train(reviews, numTrees=5).report
+    return report.select("split", "n", (F.col("rmse") < spread_).alias("better"))
+
+
+@query("rating_model_three_features")
+def q_rating_model_three_features(spark, sf_dir):
+    """The same with the condition's index as third feature."""
+    reviews = numeric_reviews(spark, sf_dir)
+    spread_ = clean_reviews(reviews).agg(F.stddev_samp("rating")).first()[0]
+    result = train(
+        reviews, numTrees=5, features=(*FEATURES, "condition_idx"), indexed=("condition",)
+    )
+    return result.report.select(
+        "split", "n", (F.col("rmse") < spread_).alias("better"),
+        F.lit(result.model.stages[-1].numFeatures).alias("features"),
+    )
+
+
+@query("model_reload_audit")
+def q_model_reload_audit(spark, sf_dir):
+    """A stored model predicts what the fitted one does."""
+    folder = new_folder(spark, "model")
+    reviews = numeric_reviews(spark, sf_dir)
+    result = train(reviews, model_path=folder, numTrees=5)
+    held = result.predictions.withColumnRenamed("prediction", "before").drop("features")
+    both = rating_model.predict(rating_model.load_model(folder), held)
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("prediction") == F.col("before")).alias("n_equal"),
+    )
+
+
+@query("label_sentiment_audit")
+def q_label_sentiment_audit(spark, sf_dir):
+    """One of the two labels for every text."""
+    allowed = F.col("sentiment").isin(classifier.NEGATIVE, classifier.POSITIVE)
+    return (
+        q_label_sentiment(spark, sf_dir)
+        .groupBy("UniqueID")
+        .agg(F.count_if(allowed).alias("n_allowed"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("polarity_duplicate_keys")
+def q_polarity_duplicate_keys(spark, sf_dir):
+    """Rows that share a key, or have none, are scored apart by the join form."""
+    reviews = text_reviews(spark, sf_dir).select(
+        F.when(F.col("UniqueID") % 5 != 0, F.col("UniqueID") % 7).alias("UniqueID"),
+        F.col("UniqueID").alias("doc"), "review",
+    )
+    words = spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
+    scored = polarity_by_join(reviews, words)
+    return scored.select("doc", _r("sentiment").alias("sentiment"))
+
+
+LARGE_ID = 3_000_000_000
+
+
+@query("long_ids_landed")
+def q_long_ids_landed(spark, sf_dir):
+    """Identifiers beyond 32 bits through messages, landing and reading."""
+    reviews = text_reviews(spark, sf_dir).withColumn("UniqueID", F.col("UniqueID") + LARGE_ID)
+    published, landed = new_folder(spark, "messages"), new_folder(spark, "landed")
+    messages.encode_messages(reviews).write.text(published)
+    land_messages(
+        messages.message_source(spark, published),
+        landed, new_folder(spark, "rejects"), new_folder(spark, "checkpoint"),
+    ).awaitTermination()
+    return files.read_landed(spark, landed).select("UniqueID", "drugName")
+
+
+@query("stream_two_sources")
+def q_stream_two_sources(spark, sf_dir):
+    """Two streams land in one folder, and a renewed checkpoint adds without replacing."""
+    reviews = text_reviews(spark, sf_dir)
+    landed, rejects = new_folder(spark, "landed"), new_folder(spark, "rejects")
+    for half in (0, 1):
+        published = new_folder(spark, "messages")
+        part = reviews.where(F.col("UniqueID") % 2 == half)
+        messages.encode_messages(part).write.text(published)
+        land_messages(
+            messages.message_source(spark, published),
+            landed, rejects, new_folder(spark, "checkpoint"),
+        ).awaitTermination()
+    return (
+        files.read_landed(spark, landed)
+        .groupBy("drugName")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("UniqueID").alias("id_sum"))
+    )
+
+
+@query("landed_index_round_trip")
+def q_landed_index_round_trip(spark, sf_dir):
+    """Landed files with an unnamed index column first, flat in one folder."""
+    scored = score_reviews(text_reviews(spark, sf_dir)).where("condition IS NOT NULL")
+    folder = new_folder(spark, "indexed")
+    indexed = scored.select(F.monotonically_increasing_id().alias("x"), *LANDED.fieldNames())
+    files.csv_writer(indexed.withColumnRenamed("x", ""), files.LANDED_DELIMITER).csv(folder)
+    return (
+        files.read_landed(spark, folder, index_column=True)
+        .drop("month_dir")
+        .withColumn("sentiment", _r("sentiment"))
+    )

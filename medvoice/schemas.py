@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 
 RAW = StructType(
     [
-        StructField("UniqueID", IntegerType()),
+        StructField("UniqueID", LongType()),
         StructField("drugName", StringType()),
         StructField("condition", StringType()),
         StructField("review", StringType()),
@@ -43,7 +43,7 @@ SCORED = StructType([*RAW.fields, StructField("sentiment", DoubleType())])
 LANDED = StructType(
     [
         StructField("review", StringType()),
-        StructField("UniqueID", IntegerType()),
+        StructField("UniqueID", LongType()),
         StructField("drugName", StringType()),
         StructField("condition", StringType()),
         StructField("date", StringType()),
@@ -60,15 +60,15 @@ FEATURES = ("usefulCount", "sentiment")
 LABEL = "rating"
 
 
-def with_long_ids(schema: StructType) -> StructType:
-    """The same schema with a 64-bit ``UniqueID``, for tables beyond 2**31 reviews.
+def with_int_ids(schema: StructType) -> StructType:
+    """The same schema with a 32-bit ``UniqueID``, for consumers that ask for it.
 
-    Reading a larger identifier through the 32-bit schema would give NULL, and
-    the cleaning step would then drop the row.
+    Everything is read and stored with 64 bits: a larger identifier read through a
+    32-bit schema would be NULL, and the cleaning step would then drop the row.
     """
     return StructType(
         [
-            StructField(f.name, LongType() if f.name == "UniqueID" else f.dataType)
+            StructField(f.name, IntegerType() if f.name == "UniqueID" else f.dataType)
             for f in schema.fields
         ]
     )

@@ -68,16 +68,44 @@ def read_text_typed(
     )
 
 
+def landed_layout(
+    spark: SparkSession, path: str, index_column: bool = False
+) -> tuple[StructType, dict[str, str]]:
+    """Schema and options for landed files, whose header must name the columns.
+
+    With ``index_column`` the files have an unnamed index before them. Without, Spark
+    checks every file's header; with it the header of the first file is checked here,
+    as Spark has no name to compare the first column with.
+    """
+    options = csv_options(LANDED_DELIMITER)
+    if not index_column:
+        return LANDED, {**options, "enforceSchema": "false"}
+    found = spark.read.options(**options, recursiveFileLookup="true").csv(path).columns
+    if found[1:] != LANDED.fieldNames():
+        raise ValueError(f"not a landed file with an index column: {found}")
+    return StructType([StructField("_index", StringType()), *LANDED.fields]), options
+
+
 def read_landed(
-    spark: SparkSession, path: str, months: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    months: Sequence[str] | None = None,
+    index_column: bool = False,
 ) -> DataFrame:
     """All landed files below a folder as one table, with their ``month_dir``.
 
-    Asking for ``months`` reads only their folders.
+    Files may lie in month folders or directly in the folder (``month_dir`` is NULL
+    then). Asking for ``months`` reads only their folders. A header with other columns
+    fails the read.
     """
-    schema = StructType([*LANDED.fields, StructField("month_dir", StringType())])
-    df = _reader(spark, schema, LANDED_DELIMITER, True).csv(path)
-    df = df.select(*schema.fieldNames())
+    schema, options = landed_layout(spark, path, index_column)
+    df = spark.read.schema(schema).options(**options).csv(path)
+    if any(part.startswith("month_dir=") for file in df.inputFiles()[:1] for part in file.split("/")):
+        month = StructField("month_dir", StringType())
+        df = spark.read.schema(StructType([*schema.fields, month])).options(**options).csv(path)
+    else:
+        df = df.withColumn("month_dir", F.lit(None).cast("string"))
+    df = df.select(*LANDED.fieldNames(), "month_dir")
     return df.where(F.col("month_dir").isin(list(months))) if months is not None else df
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from medvoice.functions.columns import month_dir
 from medvoice.functions.lexicon import LEXICON
@@ -16,49 +18,78 @@ from medvoice.sources.files import LANDED_DELIMITER, csv_writer
 from medvoice.sources.messages import decode_messages
 
 
-def landed_columns(messages: DataFrame, lexicon: Mapping[str, float] = LEXICON) -> DataFrame:
+def landed_columns(
+    messages: DataFrame, lexicon: Mapping[str, float] | DataFrame = LEXICON
+) -> DataFrame:
     """Decoded, scored messages with their month folder and the ``usable`` mark.
 
-    Every step is row by row, so the plan is the same on a batch and on a stream
-    and needs no state. On a stream the clock is the micro-batch's logged time,
-    which a repeated batch sees again.
+    ``messages`` is a batch table. A ``month_dir`` it brings along is kept; without one
+    it is the month of the query's start.
     """
-    scored = score_reviews(decode_messages(messages), lexicon)
-    return scored.withColumn("month_dir", month_dir(F.current_timestamp())).select(
+    if "month_dir" not in messages.columns:
+        messages = messages.withColumn("month_dir", month_dir(F.current_timestamp()))
+    decoded = decode_messages(messages, keep=["month_dir"])
+    return score_reviews(decoded, lexicon).select(
         "data", "usable", *LANDED.fieldNames(), "month_dir"
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that a checkpoint belongs to, made with the checkpoint.
+
+    It is lost with the checkpoint: a new one, whose batches count from 0 again, is
+    another stream.
+    """
+    folder = f"{checkpoint}/stream-id"
+    try:
+        return spark.read.text(folder).first()[0]
+    except (AnalysisException, TypeError):
+        name = f"s-{uuid.uuid4().hex}"
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+        return name
+
+
 def land_messages(
     messages: DataFrame,
     landed_path: str,
     rejects_path: str,
     checkpoint: str,
-    lexicon: Mapping[str, float] = LEXICON,
+    lexicon: Mapping[str, float] | DataFrame = LEXICON,
     once: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start landing a stream of messages.
 
-    Files go to ``<landed>/month_dir=<m-yyyy>/batch_id=<n>``. A batch that is
-    repeated after a failure replaces exactly its own folders, so nothing is
-    landed twice. The folder is a plain one, without a stream sink's log, so the
-    scoring job may archive files from it. Unusable messages are kept as received.
+    Files go to ``<landed>/month_dir=<m-yyyy>/stream_id=<s>/batch_id=<n>``. A batch is
+    written aside and then published by renaming its folder, once: a batch that is
+    repeated after a failure finds its folder and leaves it as it is, so no row is landed
+    twice, and files the scoring job may have read already never change. Streams with
+    other checkpoints have other folders. Unusable messages are kept as received.
+
+    The month comes from the clock that Spark logs with the batch, which a repeated
+    batch sees again.
     """
+    spark = messages.sparkSession
+    stream = stream_id(spark, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("batch_id", F.lit(batch_id))
-        stamped.persist()
+        batch.persist()
         try:
-            good = stamped.where("usable").select(*LANDED.fieldNames(), "month_dir", "batch_id")
-            _replace_batch(csv_writer(good, LANDED_DELIMITER), "csv", landed_path)
-            bad = stamped.where(~F.col("usable")).select("data", "month_dir", "batch_id")
-            _replace_batch(bad.write, "text", rejects_path)
+            month = batch.select("month_dir").first()
+            if month is None:
+                return
+            place = f"month_dir={month[0]}/stream_id={stream}/batch_id={batch_id}"
+            scored = landed_columns(batch, lexicon).persist()
+            good = scored.where("usable").select(*LANDED.fieldNames())
+            _publish(spark, csv_writer(good, LANDED_DELIMITER).format("csv"), landed_path, place)
+            bad = scored.where(~F.col("usable")).select("data")
+            _publish(spark, bad.write.format("text"), rejects_path, place)
+            scored.unpersist()
         finally:
-            stamped.unpersist()
+            batch.unpersist()
 
     writer = (
-        landed_columns(messages, lexicon)
+        messages.select("data", month_dir(F.current_timestamp()).alias("month_dir"))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
@@ -66,11 +97,14 @@ def land_messages(
     return writer.trigger(**trigger).start()
 
 
-def _replace_batch(writer, file_format: str, path: str) -> None:
-    (
-        writer.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month_dir", "batch_id")
-        .format(file_format)
-        .save(path)
-    )
+def _publish(spark: SparkSession, writer, root: str, place: str) -> None:
+    """Write to a folder readers pass over, then move it to its place unless that exists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    final, aside = path(f"{root}/{place}"), path(f"{root}/_writing/{place.replace('/', '-')}")
+    store = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(final):
+        return
+    writer.mode("overwrite").save(aside.toString())
+    store.mkdirs(final.getParent())
+    if not store.rename(aside, final) and not store.exists(final):
+        raise OSError(f"{aside.toString()} could not be moved to {final.toString()}")

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from medvoice.functions.columns import run_stamp
 from medvoice.operators.rating_model import predict
 from medvoice.schemas import FEATURES, LANDED
-from medvoice.sources.files import LANDED_DELIMITER, csv_options
+from medvoice.sources.files import landed_layout
+from medvoice.sources.messages import MAX_FILE_AGE
 
 
 def landed_source(
@@ -18,6 +19,8 @@ def landed_source(
     landed_path: str,
     archive_path: str | None = None,
     max_files: int | None = None,
+    index_column: bool = False,
+    max_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Stream of the rows of landed files.
 
@@ -25,16 +28,18 @@ def landed_source(
     committed batch are moved there when the next batch is planned; a file that
     has not been scored is never moved.
     """
+    schema, options = landed_layout(spark, landed_path, index_column)
     reader = (
-        spark.readStream.schema(LANDED)
-        .options(**csv_options(LANDED_DELIMITER))
+        spark.readStream.schema(schema)
+        .options(**options)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", max_age)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_path:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_path)
-    return reader.csv(landed_path)
+    return reader.csv(landed_path).select(*LANDED.fieldNames())
 
 
 def predicted_columns(model: PipelineModel, landed: DataFrame) -> DataFrame:

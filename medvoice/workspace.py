@@ -20,7 +20,7 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="medvoice-")
     spark.conf.set(SETTING, root)

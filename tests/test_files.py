@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
-from medvoice.schemas import LANDED, RAW, SCORED, with_long_ids
+from medvoice.schemas import LANDED, RAW, SCORED, with_int_ids
 from medvoice.sources import files
 
 # Empty first header cell, doubled quotes and a line break, padding, an entity,
@@ -75,10 +75,10 @@ def test_empty_text_reads_as_null(spark, tmp_path):
 def test_long_ids(spark, tmp_path):
     big = 3_000_000_000
     path = str(tmp_path / "raw")
-    wide = with_long_ids(RAW)
-    df = spark.createDataFrame([(big, "A", "c", "r", 1.0, "d", 1)], wide)
+    df = spark.createDataFrame([(big, "A", "c", "r", 1.0, "d", 1)], RAW)
     files.write_reviews_tsv(df, path)
-    assert files.read_reviews_tsv(spark, path, wide).first().UniqueID == big
+    assert files.read_reviews_tsv(spark, path).first().UniqueID == big
+    assert files.read_reviews_tsv(spark, path, with_int_ids(RAW)).first().UniqueID is None
 
 
 def test_landed_folder(spark, tmp_path):
@@ -119,3 +119,24 @@ def test_from_local_and_append(spark):
     assert both.columns == ["usefulCount", "sentiment", "note"]
     assert both.where("usefulCount = 1 AND sentiment = 0.5").count() == 2
     assert both.count() == 4
+
+
+def test_landed_files_are_read_by_name(spark, tmp_path):
+    names = LANDED.fieldNames()
+    plain, indexed, wrong = (tmp_path / n for n in ("plain", "indexed", "wrong"))
+    for folder, header, row in (
+        (plain, ",".join(names), "good,7,d,c,x,5,0.5"),
+        (indexed, "," + ",".join(names), "0,good,7,d,c,x,5,0.5"),
+        (wrong, ",".join(reversed(names)), "0.5,5,x,c,d,7,good"),
+    ):
+        folder.mkdir()
+        (folder / "a.csv").write_text(f"{header}\n{row}\n")
+    want = ("good", 7, "d", "c", "x", 5, 0.5, None)
+    assert tuple(files.read_landed(spark, str(plain)).first()) == want
+    assert tuple(files.read_landed(spark, str(indexed), index_column=True).first()) == want
+    with pytest.raises(Exception):
+        files.read_landed(spark, str(wrong)).collect()
+    with pytest.raises(Exception):
+        files.read_landed(spark, str(indexed)).collect()
+    with pytest.raises(ValueError):
+        files.read_landed(spark, str(plain), index_column=True)

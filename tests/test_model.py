@@ -72,11 +72,23 @@ def test_fit_is_repeatable(reviews, trained):
     )
 
 
-def test_collapsed_fit_is_close(reviews, trained):
-    result, _ = trained
-    collapsed = {r.split: r.rmse for r in train(reviews, numTrees=5, collapse=True).report.collect()}
-    for row in result.report.collect():
-        assert collapsed[row.split] == pytest.approx(row.rmse, rel=0.1)
+def test_fit_does_not_depend_on_parts(reviews):
+    rows = reviews.where("rating IS NOT NULL AND condition IS NOT NULL")
+    forests = [
+        M.fit_rating_model(rows.repartition(n), numTrees=3).stages[-1].toDebugString.split("\n", 1)[1]
+        for n in (1, 5, 16)
+    ]
+    assert forests[0] == forests[1] == forests[2]
+
+
+def test_condition_as_third_feature(reviews):
+    features = ("usefulCount", "sentiment", "condition_idx")
+    result = train(reviews, numTrees=2, features=features, indexed=("condition",))
+    assert result.model.stages[-1].numFeatures == 3
+    unknown = result.predictions.withColumn("condition", F.lit("never seen")).drop(
+        "prediction", "features", "_condition_label", "condition_idx"
+    )
+    assert M.predict(result.model, unknown).where("prediction IS NULL").count() == 0
 
 
 def test_given_holdout(reviews):

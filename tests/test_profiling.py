@@ -65,7 +65,7 @@ def test_crosstab(reviews):
     table = P.top_drugs(reviews, "Fever", 7.0, False)
     assert table.columns == ["drugName", "r8_5", "r9", "r10"]
     assert sorted(map(tuple, table.collect())) == [("a", 0, 1, 2), ("b", 1, 0, 0)]
-    fixed = P.top_drugs(reviews, "Fever", 9.0, True, scale=P.RATING_SCALE)
+    fixed = P.top_drugs(reviews, "Fever", 9.0, True)
     assert list(map(tuple, fixed.collect())) == [("a", 1, 2)]
     pairs = P.crosstab_long(reviews, "drugName", "rating")
     assert pairs.agg(F.sum("n")).first()[0] == 8

@@ -20,7 +20,8 @@ def duck(sf_dir):
 
 
 def test_every_query_without_sql_fits_a_model():
-    assert set(queries()) - set(oracle_sql()) == FIXED
+    own = {n for n in queries() if n in QUERIES}
+    assert own - set(oracle_sql()) == FIXED
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from medvoice.functions.lexicon import LEXICON
 from medvoice.operators import rating_model as M
+from medvoice.operators.polarity import text_polarity
 from medvoice.sources import files, messages
 from medvoice.streaming.landing import land_messages, landed_columns
 from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
@@ -176,10 +178,88 @@ def test_command_line(spark, folders, tmp_path):
     )
     f = {k: str(v) for k, v in folders.items()}
     publish(folders["messages"], "a.txt", encode(GOOD), encode(BAD))
+    lexicon = tmp_path / "lexicon.csv"
+    lexicon.write_text("word,polarity\nfantastic,1.0\nworst,-1.0\ngreat,0.5\nawful,-0.5\n")
+    main(["extract", raw, scored, "--format", "parquet", "--lexicon", str(lexicon)])
+    assert {r.sentiment for r in spark.read.parquet(scored).collect()} == {0.5, -0.5}
+    main(["train", scored, scored, model, "--format", "parquet"])
     main(["extract", raw, scored])
     main(["train", scored, scored, model])
-    main(["land", f["messages"], f["landed"], f["rejects"], f["landing"]])
+    main(["land", f["messages"], f["landed"], f["rejects"], f["landing"], "--lexicon", str(lexicon), "--max-files", "5"])
     main(["score", model, f["landed"], f["predictions"], f["scoring"], "--archive", f["archive"]])
     assert spark.read.parquet(f["predictions"]).count() == 2
     main(["profile", raw, str(tmp_path / "profile")])
     assert spark.read.parquet(str(tmp_path / "profile" / "rating_percent")).count() == 2
+
+
+def test_old_files_are_landed(spark, folders):
+    publish(folders["messages"], "new.txt", encode(GOOD))
+    publish(folders["messages"], "old.txt", encode(BAD))
+    long_ago = os.path.getmtime(folders["messages"] / "new.txt") - 400 * 86_400
+    os.utime(folders["messages"] / "old.txt", (long_ago, long_ago))
+    land(spark, folders)
+    publish(folders["messages"], "older.txt", encode(dict(GOOD, UniqueID=5)))
+    os.utime(folders["messages"] / "older.txt", (long_ago - 86_400, long_ago - 86_400))
+    land(spark, folders)
+    landed = files.read_landed(spark, str(folders["landed"]))
+    assert {r.UniqueID for r in landed.collect()} == {1234, 1235, 5}
+
+
+def test_long_ids_through_landing_and_scoring(spark, folders):
+    big = 3_000_000_000
+    publish(folders["messages"], "a.txt", encode(dict(GOOD, UniqueID=big)))
+    land(spark, folders)
+    model = M.fit_rating_model(
+        spark.createDataFrame([(i, 0.5, 6.0) for i in range(9)], "usefulCount int, sentiment double, rating double"),
+        numTrees=1,
+    )
+    score_landed(
+        model, landed_source(spark, str(folders["landed"])), str(folders["predictions"]), str(folders["scoring"])
+    ).awaitTermination()
+    assert [r.UniqueID for r in spark.read.parquet(str(folders["predictions"])).collect()] == [big]
+
+
+def test_two_streams_and_a_renewed_checkpoint(spark, folders, tmp_path):
+    for i, checkpoint in enumerate(("one", "two", "renewed")):
+        folder = tmp_path / f"messages{i}"
+        publish(folder, "a.txt", encode(dict(GOOD, UniqueID=i)), encode("junk"))
+        land_messages(
+            messages.message_source(spark, str(folder)),
+            str(folders["landed"]), str(folders["rejects"]), str(tmp_path / checkpoint),
+        ).awaitTermination()
+    landed = files.read_landed(spark, str(folders["landed"]))
+    assert sorted(r.UniqueID for r in landed.collect()) == [0, 1, 2]
+
+
+def test_repeated_batch_is_not_scored_again(spark, folders):
+    model = M.fit_rating_model(
+        spark.createDataFrame([(i, 0.5, 6.0) for i in range(9)], "usefulCount int, sentiment double, rating double"),
+        numTrees=1,
+    )
+
+    def score():
+        score_landed(
+            model, landed_source(spark, str(folders["landed"])), str(folders["predictions"]), str(folders["scoring"])
+        ).awaitTermination()
+        return spark.read.parquet(str(folders["predictions"])).count()
+
+    publish(folders["messages"], "a.txt", encode(GOOD), encode(BAD))
+    land(spark, folders)
+    assert score() == 2
+    for name in ("0", ".0.crc"):
+        path = folders["landing"] / "commits" / name
+        if path.exists():
+            path.unlink()
+    land(spark, folders)
+    assert score() == 2
+
+
+def test_large_lexicon_on_a_stream(spark, folders):
+    padded = {**LEXICON, **{f"unused{i}": 0.5 for i in range(5_001)}}
+    publish(folders["messages"], "a.txt", encode(GOOD), encode(BAD))
+    land_messages(
+        messages.message_source(spark, str(folders["messages"])),
+        str(folders["landed"]), str(folders["rejects"]), str(folders["landing"]), padded,
+    ).awaitTermination()
+    rows = {r.UniqueID: r.sentiment for r in files.read_landed(spark, str(folders["landed"])).collect()}
+    assert rows == {1234: text_polarity(spark, GOOD["review"]), 1235: text_polarity(spark, BAD["review"])}

@@ -165,3 +165,20 @@ def test_text_classifier(spark):
 def test_single_text(spark):
     assert polarity_operators.text_polarity(spark, "This drug is the worst!") == -1.0
     assert polarity_operators.text_polarity(spark, None) == 0.0
+
+
+def test_lexicon_size_does_not_change_scores(spark):
+    rows = [(1, "good"), (1, "bad"), (None, "good"), (None, None), (2, "not good")]
+    df = spark.createDataFrame(rows, "UniqueID int, review string")
+    padded = {**LEXICON, **{f"unused{i}": 0.5 for i in range(polarity_operators.MAX_INLINE_WORDS + 1)}}
+    small = polarity_operators.score_reviews(df)
+    large = polarity_operators.score_reviews(df, padded)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.select(*small.columns).collect()))
+
+
+def test_lexicon_with_a_word_twice(spark):
+    df = spark.createDataFrame([(1, "good")], "UniqueID int, review string")
+    table = spark.createDataFrame([("good", 1.0), ("good", 0.5), ("x", None)], "word string, polarity double")
+    for score in (polarity_operators.score_reviews, polarity_operators.polarity_by_join):
+        with pytest.raises(ValueError):
+            score(df, table).collect()
