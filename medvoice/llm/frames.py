@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +47,6 @@ def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Stru
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in fields])
 
 
-def arrow_map(
-    df: DataFrame,
-    function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-    schema: T.StructType | str,
-) -> DataFrame:
-    return df.mapInArrow(function, schema)
-
-
 def rows(schema: list[tuple[str, pa.DataType]], columns: list) -> pa.RecordBatch:
     """A batch from columns given in the order of ``schema``."""
     return pa.RecordBatch.from_arrays(

@@ -10,11 +10,12 @@ as high. Two documents agree in a coordinate with the probability of their weigh
 Jaccard similarity. Weights are 1 in the queries here, so that this is the plain one.
 
 Bands of ``rows`` coordinates give buckets. Equal sets are one node before banding. In
-each bucket all nodes are compared with its first and its last node, never with all: a
-big group of near copies costs a comparison or two per member and bucket. Buckets whose
-nodes are not all linked then are cut finer by a second band, and the finer buckets
-handled alike. A comparison counts the shared runs exactly; ``similarity`` or more is
-a link, and linked nodes form a class, named by its smallest document id.
+each bucket all nodes are compared with two centres, never with all: a big group of near
+copies costs two comparisons per member and bucket. Buckets whose nodes are not all of
+one class then get other centres, and so do their cuts by each second shared band, until
+a round finds no further link (``ROUNDS`` at most). A comparison counts the shared runs
+exactly; ``similarity`` or more is a link, and linked nodes form a class, named by its
+smallest document id.
 
 Texts without words (null, empty) are classes of their own. A null id is last; a class
 of null ids has a null name. Repeated ids are separate documents.
@@ -26,17 +27,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medvoice.llm import arrays
 from medvoice.llm.arrays import mix
-from medvoice.llm.frames import NO_ID, id_of, stored
+from medvoice.llm.frames import NO_ID, forget, id_of, stored
 from medvoice.llm.sketch import build
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
+ROUNDS = 4
 BITS = 27
 
 
@@ -122,6 +125,7 @@ class NearDuplicates:
         bands: int = BANDS,
         rows: int = ROWS,
         bits: int = BITS,
+        rounds: int = ROUNDS,
     ):
         self.shingle, self.similarity, self.bits = shingle, similarity, bits
         self.source = docs.select(id_of(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
@@ -145,82 +149,132 @@ class NearDuplicates:
                         pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), flat),
                     ],
-                    names=["id", "mark", "node", "keys"],
+                    names=["id", "mark", "name", "keys"],
                 )
 
-        #: ``(id, mark, node, keys)``: a row per document.
+        #: ``(id, mark, name, keys)``: a row per document.
         self.rows = stored(
-            self.source.mapInArrow(sign, "id long, mark long, node binary, keys array<long>"), "signed"
+            self.source.mapInArrow(sign, "id long, mark long, name binary, keys array<long>"), "signed"
         )
-        #: ``(node, first, keys)``: a row per different set.
+        #: ``(node, name, first, keys)``: a row per different set, numbered as it is written.
         self.nodes = stored(
-            self.rows.where("node IS NOT NULL")
-            .groupBy("node")
-            .agg(F.min("id").alias("first"), F.first("keys").alias("keys")),
+            self.rows.where("name IS NOT NULL")
+            .groupBy("name")
+            .agg(F.min("id").alias("first"), F.first("keys").alias("keys"))
+            .withColumn("node", F.monotonically_increasing_id()),
             "nodes",
         )
-        members = self.nodes.select("node", F.explode("keys").alias("key"))
-        self.links = self._linked(self._stars(members, "key"), None)
+        members = self._members()
+        sets = self._sets(members)
+        self.links = self._linked(self._stars(members, 0), sets)
         self.classes = self._components(self.links)
-        # Buckets that are not one class yet, cut by each later band of their members.
-        split = (
-            members.join(self.classes, "node", "left")
-            .withColumn("class", F.coalesce("class", "node"))
-            .groupBy("key")
-            .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-            .where("low < high")
-            .select("key")
+        for turn in range(1, rounds):
+            # Buckets that are not one class yet, and their cuts by a second shared key.
+            split = (
+                members.join(self.classes.hint("merge"), "node", "left")
+                .withColumn("class", F.coalesce("class", "node"))
+                .groupBy("key")
+                .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+                .where("low < high")
+                .select("key")
+            )
+            open_ = members.join(split.hint("merge"), "key")
+            finer = (
+                open_.join(members.select("node", F.col("key").alias("other")).hint("merge"), "node")
+                .where("key <> other")
+                .select("node", "degree", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
+                .distinct()
+            )
+            more = self._stars(open_.select("node", "degree", "key").unionByName(finer), turn)
+            name = lambda side: self.classes.select(
+                F.col("node").alias(side), F.col("class").alias(f"class_{side}")
+            ).hint("merge")
+            more = (
+                more.join(name("a"), "a", "left")
+                .join(name("b"), "b", "left")
+                .where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
+                .select("a", "b")
+            )
+            found = self._linked(more, sets)
+            if not found.limit(1).count():
+                break
+            self.links = self.links.unionByName(found)
+            self.classes = self._components(self.links)
+
+    def _members(self) -> DataFrame:
+        """``(node, degree, key)`` of the buckets that may hold two nodes, by a sketch of all keys.
+
+        ``degree`` is the number of such buckets of the node.
+        """
+
+        def every(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+            for batch in batches:
+                yield batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+
+        sketch = self.nodes.sparkSession.sparkContext.broadcast(
+            build(self.nodes.select("keys"), every, self.bits, 2)
         )
-        finer = (
-            self.nodes.select("node", "keys", F.posexplode("keys").alias("place", "key"))
-            .join(split, "key")
-            .select("node", "key", F.explode(F.slice("keys", F.col("place") + 2, F.lit(bands))).alias("other"))
-            .select("node", F.xxhash64("key", "other").alias("key"))
+
+        def shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                each = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pa.compute.list_value_length(batch.column(1)))
+                yes = sketch.value.repeated(keys.view(np.uint64))
+                degree = yes.reshape(batch.num_rows, -1).sum(axis=1).astype(np.int32)
+                yield pa.RecordBatch.from_pydict(
+                    {"node": each[yes], "degree": np.repeat(degree, degree), "key": keys[yes]}
+                )
+
+        return stored(
+            self.nodes.select("node", "keys").mapInArrow(shared, "node long, degree int, key long"), "members"
         )
-        again = self._linked(self._stars(finer, "key"), self.classes)
-        if again is not None and again.limit(1).count():
-            self.links = self.links.unionByName(again)
-            self.classes = self._components(self.links)
 
-    def _stars(self, members: DataFrame, key: str) -> DataFrame:
-        """Pairs ``(a, b)`` of each bucket's first or last node and its other nodes."""
-        ends = (
-            members.groupBy(key)
-            .agg(F.min("node").alias("first"), F.max("node").alias("last"))
-            .where("first < last")
-            .withColumn("spread", F.xxhash64(key))
+    def _stars(self, members: DataFrame, turn: int) -> DataFrame:
+        """Pairs ``(a, b)`` of each bucket's two centres and its other nodes.
+
+        One centre is the node that shares most buckets, as the original of many
+        separately edited copies does; the other is drawn, anew in each bucket and turn.
+        """
+        drawn = F.xxhash64("node", "key", F.lit(turn))
+        centres = (
+            members.groupBy("key")
+            .agg(
+                F.max_by("node", F.struct(F.col("degree"), drawn)).alias("most"),
+                F.min_by("node", drawn).alias("other"),
+                F.min("node").alias("low"),
+                F.max("node").alias("high"),
+            )
+            .where("low < high")
+            .select("key", "most", "other", F.xxhash64("key").alias("spread"))
         )
         return (
-            members.withColumn("spread", F.xxhash64(key))
-            .join(ends, [key, "spread"])
-            .select("node", F.explode(F.array("first", "last")).alias("end"))
-            .where("node <> end")
-            .select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b"))
+            members.withColumn("spread", F.xxhash64("key"))
+            .join(centres.hint("merge"), ["key", "spread"])
+            .select("node", F.explode(F.array("most", "other")).alias("centre"))
+            .where("node <> centre")
+            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
             .distinct()
         )
 
-    def _linked(self, pairs: DataFrame, classes: DataFrame | None) -> DataFrame | None:
-        """The pairs that are similar enough, by their whole sets; pairs of one class are skipped."""
-        if classes is not None:
-            name = lambda side: classes.select(F.col("node").alias(side), F.col("class").alias(f"class_{side}"))
-            pairs = (
-                pairs.join(name("a"), "a", "left")
-                .join(name("b"), "b", "left")
-                .where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
-                .select("a", "b")
-            )
-        pairs = stored(pairs, "pairs")
-        if classes is not None and not pairs.limit(1).count():
-            return None
-        shingle, similarity = self.shingle, self.similarity
+    def _sets(self, members: DataFrame) -> DataFrame:
+        """``(node, elements)``: the whole sets of the members, made again from the texts.
+
+        A filter of fixed size over their names tells which texts to take; those it
+        takes wrongly go in the join.
+        """
+        named = stored(
+            self.nodes.select("node", "name").join(members.select("node").distinct().hint("merge"), "node"), "named"
+        )
+        shingle = self.shingle
 
         def twice(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
             for batch in batches:
                 names = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64)[::2]
                 yield np.repeat(names, 2)
 
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        filter_ = pairs.sparkSession.sparkContext.broadcast(build(wanted, twice, min(self.bits, 24), 2, shared=True))
+        filter_ = members.sparkSession.sparkContext.broadcast(build(named.select("name"), twice, self.bits, 2, shared=True))
 
         def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, texts in arrays.slices(batches, "text"):
@@ -233,16 +287,22 @@ class NearDuplicates:
                             pa.array([n for n, y in zip(names, yes) if y], pa.binary()),
                             pa.array([s.tobytes() for s, y in zip(sets, yes) if y], pa.binary()),
                         ],
-                        names=["node", "elements"],
+                        names=["name", "elements"],
                     )
 
-        sets = stored(
-            self.source.mapInArrow(sets_of, "node binary, elements binary")
-            .groupBy("node")
-            .agg(F.first("elements").alias("elements")),
+        return stored(
+            self.source.mapInArrow(sets_of, "name binary, elements binary")
+            .groupBy("name")
+            .agg(F.first("elements").alias("elements"))
+            .join(named.hint("merge"), "name")
+            .select("node", "elements"),
             "sets",
         )
 
+    def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs that are similar enough, by their whole sets."""
+        similarity = self.similarity
+
         def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 a, b = (
@@ -251,15 +311,12 @@ class NearDuplicates:
                 yes = pa.array([jaccard(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
                 yield batch.select(["a", "b"]).filter(yes)
 
-        joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("of_a")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("elements").alias("of_b")), "b"
-        )
-        return stored(
-            joined.select("a", "b", "of_a", "of_b").mapInArrow(similar, "a binary, b binary"), "links"
-        )
+        side = lambda name: sets.select(F.col("node").alias(name), F.col("elements").alias(f"of_{name}")).hint("merge")
+        joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
+        return stored(joined.mapInArrow(similar, "a long, b long"), "links")
 
     def _components(self, links: DataFrame) -> DataFrame:
-        """``(node, class)`` for all linked nodes: the least node that can be reached.
+        """``(node, class)`` for all linked nodes: the least number that can be reached.
 
         Each round takes the least name among the neighbours' and then the name of
         that name, so chains shorten by half; it ends when nothing changes.
@@ -284,6 +341,7 @@ class NearDuplicates:
                 ),
                 "names",
             )
+            forget(names)
             names = new.select("node", "class")
             if not new.where("old <> class").limit(1).count():
                 return names
@@ -293,29 +351,68 @@ class NearDuplicates:
 
         ``class_id`` is the smallest id in the class, null if that is missing.
         """
-        named = (
-            self.nodes.select("node", "first")
-            .join(self.classes, "node", "left")
-            .withColumn("class", F.coalesce("class", "node"))
-        )
-        size = self.rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("n"))
-        heads = named.join(size, "node").groupBy("class").agg(
+        named = self._named()
+        size = self.rows.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("n"))
+        heads = named.join(size.hint("merge"), "name").groupBy("class").agg(
             F.min("first").alias("class_id"), F.sum("n").alias("class_size")
         )
-        of_node = (
-            named.join(heads, "class")
-            .select("node", "class_id", "class_size")
-            .withColumn("spread", F.xxhash64("node"))
-        )
-        own = F.lit(1).cast("long")
-        found = (
-            self.rows.select("id", "mark", "node")
-            .withColumn("spread", F.xxhash64("node"))
-            .where("node IS NOT NULL")
-            .join(of_node, ["node", "spread"])
-            .select("id", "mark", "class_id", "class_size")
+        of_name = named.join(heads.hint("merge"), "class").select("name", "class_id", "class_size")
+        found = self._by_name(of_name).select("id", "mark", "class_id", "class_size")
+        alone = self.rows.where("name IS NULL").select(
+            "id", "mark", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size")
         )
-        alone = self.rows.where("node IS NULL").select("id", "mark", F.col("id").alias("class_id"), own.alias("class_size"))
         return found.unionByName(alone).select(
             F.nullif("id", F.lit(NO_ID)).alias("id"), "mark", F.nullif("class_id", F.lit(NO_ID)).alias("class_id"), "class_size"
         )
+
+    def kept(self) -> DataFrame:
+        """``(id, mark, alone)``: the first document of each class, by id and text hash.
+
+        Documents without words are all kept (``alone``). Missing ids are ``NO_ID`` here.
+        """
+        first = (
+            self._by_name(self._named().select("name", "class"))
+            .groupBy("class")
+            .agg(F.min(F.struct("id", "mark")).alias("least"))
+            .select("least.id", "least.mark", F.lit(False).alias("alone"))
+        )
+        return first.unionByName(
+            self.rows.where("name IS NULL").select("id", "mark", F.lit(True).alias("alone")).distinct()
+        )
+
+    def _named(self) -> DataFrame:
+        return (
+            self.nodes.select("node", "name", "first")
+            .join(self.classes.hint("merge"), "node", "left")
+            .withColumn("class", F.coalesce("class", "node"))
+        )
+
+    def _by_name(self, names: DataFrame) -> DataFrame:
+        """The rows with what is known of their sets' names.
+
+        The hash as a further key makes both sides be dealt out for the join, so that
+        Spark can split the part of a text with very many copies.
+        """
+        return (
+            self.rows.select("id", "mark", "name")
+            .withColumn("spread", F.xxhash64("name"))
+            .where("name IS NOT NULL")
+            .join(names.withColumn("spread", F.xxhash64("name")).hint("merge"), ["name", "spread"])
+        )
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The documents without all but the first of each class, their columns unchanged."""
+    kept = NearDuplicates(docs, text, doc_id, **options).kept().select(
+        F.col("id").alias("_kept_id"), F.col("mark").alias("_kept_mark"), F.col("alone").alias("_alone")
+    )
+    copy = F.row_number().over(Window.partitionBy("_kept_id", "_kept_mark").orderBy("_alone"))
+    return (
+        docs.join(
+            kept.hint("merge"),
+            (id_of(doc_id) == F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_mark")),
+        )
+        .withColumn("_copy", copy)
+        .where("_alone OR _copy = 1")
+        .select(*docs.columns)
+    )

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medvoice.llm import arrays
-from medvoice.llm.frames import stored
+from medvoice.llm.frames import forget, stored
 
 SYMBOL, CONTEXT, JOINT = 2e-6, 2e-4, 1e-6
 DEPTH, LEAST, GAIN, SMOOTH = 3, 5, 20.0, 5.0
@@ -242,12 +242,14 @@ class Model:
                 counts = np.zeros(size, dtype=np.int64)
                 counts[got.column("key").to_numpy()] = got.column("n").to_numpy()
                 self.tree.counts = counts
+                forget(counted)
                 self._count_other_words()
                 usable = np.flatnonzero(counts >= max(LEAST, context * self.tokens)).astype(np.int64)
                 usable = usable[usable != len(words)]  # nothing follows the end
                 continue
             totals = counted.groupBy(F.expr(f"key div {size}").alias("c")).agg(F.sum("n").alias("n")).toArrow()
             pairs = counted.where(F.col("n") >= max(LEAST, joint * self.tokens)).toArrow()
+            forget(counted)
             order = np.argsort(pairs.column("key").to_numpy())
             key, n = pairs.column("key").to_numpy()[order], pairs.column("n").to_numpy()[order]
             all_ = {int(usable[c]): t for c, t in zip(totals.column("c").to_pylist(), totals.column("n").to_pylist())}

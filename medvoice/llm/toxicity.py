@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medvoice.llm import arrays
-from medvoice.llm.frames import stored, unused, with_fields
+from medvoice.llm.frames import forget, stored, unused, with_fields
 
 SAMPLE = 20_000
 RUNS, RUN = 10_000, 32
@@ -334,6 +334,8 @@ def fit(
         "toxic", "weight", *_inputs("expected", "top")
     ).toArrow()
     x = np.column_stack((seen.column("x1").to_numpy(), seen.column("x2").to_numpy()))
+    forget(made)
+    forget(rows)
     field.curve = fit_curve(x, seen.column("toxic").to_numpy().astype(float), seen.column("weight").to_numpy())
     return field
 
