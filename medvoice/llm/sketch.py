@@ -9,6 +9,7 @@ only costs later steps work. The size is a parameter and does not grow with the
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -64,6 +65,13 @@ class Sketch:
         self.bits, self.depth, self.shared = bits, depth, shared
         self.twice = np.zeros(((1 if shared else depth) << bits) // 8, dtype=np.uint8)
 
+    def __getstate__(self) -> dict:
+        # Broadcast compressed: most bits are 0 unless the sketch is crowded.
+        return {**self.__dict__, "twice": zlib.compress(self.twice.tobytes(), 1)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = {**state, "twice": np.frombuffer(zlib.decompress(state["twice"]), dtype=np.uint8)}
+
     def repeated(self, hashes: np.ndarray) -> np.ndarray:
         """True for every hash that was added twice or more, and for some others."""
         out = np.ones(len(hashes), dtype=bool)

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from medvoice.llm import arrays
 from medvoice.llm.frames import id_of, stored, unused, with_fields
-from medvoice.llm.sketch import Sketch, build
+from medvoice.llm.sketch import SEGMENT_BITS, Sketch, build
 
 LENGTH, GRAM = 50, 20
 BITS, DEPTH = 27, 3
@@ -291,7 +291,10 @@ def repeated_strings(
         for batch in batches:
             yield batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
 
-    several = spark.sparkContext.broadcast(build(counted.select("key"), keys_again, bits, DEPTH))
+    # Contexts are a tenth of all keys or less, so a quarter of the counters do.
+    several = spark.sparkContext.broadcast(
+        build(counted.select("key"), keys_again, max(bits - 2, SEGMENT_BITS), DEPTH)
+    )
     spelled = (
         source.mapInArrow(
             lambda b: _rows(b, length, gram, several.value, "text"), "key long, hash long, context binary"
