@@ -72,7 +72,8 @@ def targets(sizes: DataFrame, weight_of: Callable[[Column], Column], limit: floa
         .withColumn(
             "level",
             F.min_by(
-                F.when(~F.col("full"), F.col("left") / F.col("weights")), F.when(~F.col("full"), F.col("ratio"))
+                F.when(~F.col("full"), F.col("left") / F.col("weights")),
+                F.when(~F.col("full"), F.struct("ratio", "number")),
             ).over(every),
         )
         .withColumn("target", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * F.col("level")))
