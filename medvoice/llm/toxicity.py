@@ -362,7 +362,10 @@ def tagged(docs: DataFrame, field: Field, text: str = "text", spans: bool = True
         f = model.value
         for batch, texts in arrays.slices(batches, text, SLICE):
             found, number, parts = parts_of(texts)
-            p = marginals(f.emissions(parts)[number], chains(texts, found), f.change)
+            first = chains(texts, found)
+            p = marginals(f.emissions(parts)[number], first, f.change)
+            begins = np.zeros(len(p), dtype=bool)
+            begins[first] = True
             n = len(texts)
             top = np.zeros(n)
             np.maximum.at(top, found.doc, p)
@@ -371,14 +374,14 @@ def tagged(docs: DataFrame, field: Field, text: str = "text", spans: bool = True
                 hot = np.flatnonzero(p >= 0.5)
                 for i, w in enumerate(hot):
                     d = found.doc[w]
-                    if i and hot[i - 1] == w - 1 and found.doc[w - 1] == d:
+                    if i and hot[i - 1] == w - 1 and not begins[w]:
                         ranges[d][-1]["end"] = int(found.end[w])
                     else:
                         ranges[d].append({"start": int(found.start[w]), "end": int(found.end[w])})
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(i) for i in range(batch.num_columns)),
-                    pa.array(np.bincount(found.doc, weights=p, minlength=n)),
+                    pa.array(np.bincount(found.doc, weights=p, minlength=n).astype(float)),
                     pa.array(top),
                     pa.array(ranges, span_type),
                 ],
