@@ -76,10 +76,12 @@ def repeated_lines(
         suspect.groupBy("key")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
         .where("first < last")
-        .select("key", "first")
+        .select(F.sha2("key", 256).alias("digest"), "first")
     )
+    # By digest both sides are dealt out anew, so Spark can split a frequent line's part.
     return (
-        suspect.join(first.hint("merge"), "key")
+        suspect.select("id", "mark", F.sha2("key", 256).alias("digest"), "lines")
+        .join(first.hint("merge"), "digest")
         .where("id > first")
         .groupBy("id", "mark")
         .agg(F.flatten(F.collect_list("lines")).alias("lines"))
