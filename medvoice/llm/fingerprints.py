@@ -48,6 +48,8 @@ def run_hashes(text: Column, shingle: int = SHINGLE) -> Column:
 
 def sketch(hashes: Column, fraction: int = FRACTION) -> Column:
     """The hashes below the threshold; ascending if they were."""
+    if fraction == 1:
+        return hashes
     limit = -(1 << 63) + (1 << 64) // fraction
     return F.filter(hashes, lambda h: h < F.lit(limit))
 
@@ -128,7 +130,8 @@ def with_next(docs: DataFrame, key: str, tie: str, more: dict[str, Column], colu
         .join(F.broadcast(links), F.col("_order") == F.col("_head"))
         .select(*put.columns[:-1], F.col("_to").alias("_bucket"), F.lit(True).alias("_copy"))
     )
-    both = put.withColumn("_copy", F.lit(False)).unionByName(copies).withColumns(more)
+    # Dealt out before the further columns are made, so that these are not shuffled.
+    both = put.withColumn("_copy", F.lit(False)).unionByName(copies).repartition("_bucket").withColumns(more)
     turn = Window.partitionBy("_bucket").orderBy("_copy", F.desc_nulls_last(key), F.desc(tie))
     return (
         both.withColumn("next", F.lead(F.struct(*columns)).over(turn)).where(~F.col("_copy")).drop("_bucket", "_copy")
