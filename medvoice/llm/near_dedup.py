@@ -12,10 +12,9 @@ Jaccard similarity. Weights are 1 in the queries here, so that this is the plain
 Bands of ``rows`` coordinates give buckets. Equal sets are one node before banding. In
 each bucket all nodes are compared with two centres, never with all: a big group of near
 copies costs two comparisons per member and bucket. Buckets whose nodes are not all of
-one class then get other centres, and so do their cuts by each second shared band, until
-a round finds no further link (``ROUNDS`` at most). A comparison counts the shared runs
-exactly; ``similarity`` or more is a link, and linked nodes form a class, named by its
-smallest document id.
+one class then get other centres, until a round finds no further link (``ROUNDS`` at most).
+A comparison counts the shared runs exactly; ``similarity`` or more is a link, and
+linked nodes form a class, named by its smallest document id.
 
 Texts without words (null, empty) are classes of their own. A null id is last; a class
 of null ids has a null name. Repeated ids are separate documents.
@@ -39,7 +38,7 @@ from medvoice.llm.sketch import build
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
-ROUNDS = 4
+ROUNDS = 3
 BITS = 27
 
 
@@ -169,7 +168,7 @@ class NearDuplicates:
         self.links = self._linked(self._stars(members, 0), sets)
         self.classes = self._components(self.links)
         for turn in range(1, rounds):
-            # Buckets that are not one class yet, and their cuts by a second shared key.
+            # Buckets that are not one class yet get other centres.
             split = (
                 members.join(self.classes.hint("merge"), "node", "left")
                 .withColumn("class", F.coalesce("class", "node"))
@@ -178,14 +177,7 @@ class NearDuplicates:
                 .where("low < high")
                 .select("key")
             )
-            open_ = members.join(split.hint("merge"), "key")
-            finer = (
-                open_.join(members.select("node", F.col("key").alias("other")).hint("merge"), "node")
-                .where("key <> other")
-                .select("node", "degree", F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"))
-                .distinct()
-            )
-            more = self._stars(open_.select("node", "degree", "key").unionByName(finer), turn)
+            more = self._stars(members.join(split.hint("merge"), "key"), turn)
             name = lambda side: self.classes.select(
                 F.col("node").alias(side), F.col("class").alias(f"class_{side}")
             ).hint("merge")
@@ -236,12 +228,14 @@ class NearDuplicates:
 
         One centre is the node that shares most buckets, as the original of many
         separately edited copies does; the other is drawn, anew in each bucket and turn.
+        Later turns draw both.
         """
         drawn = F.xxhash64("node", "key", F.lit(turn))
+        rank = F.col("degree") if not turn else F.xxhash64("node", "key", F.lit(-turn))
         centres = (
             members.groupBy("key")
             .agg(
-                F.max_by("node", F.struct(F.col("degree"), drawn)).alias("most"),
+                F.max_by("node", F.struct(rank, drawn)).alias("most"),
                 F.min_by("node", drawn).alias("other"),
                 F.min("node").alias("low"),
                 F.max("node").alias("high"),
