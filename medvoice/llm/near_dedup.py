@@ -10,9 +10,12 @@ as high. Two documents agree in a coordinate with the probability of their weigh
 Jaccard similarity. Weights are 1 in the queries here, so that this is the plain one.
 
 Bands of ``rows`` coordinates give buckets. Equal sets are one node before banding. In
-each bucket all nodes are compared with two centres, never with all: a big group of near
-copies costs two comparisons per member and bucket. Buckets whose nodes are not all of
-one class then get other centres, until a round finds no further link (``ROUNDS`` at most).
+each bucket all nodes are first compared with two centres: a big group of near copies
+costs two comparisons per member and bucket. Buckets whose nodes are not all of one class
+then get other centres, until a round finds no further link (``ROUNDS`` at most). Where
+nodes that were no centre are still of several classes, all pairs of them from different
+classes are compared, in cells of two pieces of the bucket each; a cell gives links, not
+pairs. So every two nodes of a bucket end in one class or have been compared.
 A comparison counts the shared runs exactly; ``similarity`` or more is a link, and
 linked nodes form a class, named by its smallest document id.
 
@@ -27,7 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medvoice.llm import arrays
@@ -40,6 +43,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 ROUNDS = 3
 BITS = 27
+#: Bytes of sets in a piece of a bucket, and about how many bits of a set's outline one of its elements has.
+PIECE, OUTLINE = 1 << 20, 4
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -111,6 +116,67 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
+def _runs(batches: Iterable[pa.RecordBatch], columns: int) -> Iterator[pa.Table]:
+    """The runs of rows that are equal in the first columns (whole numbers)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(columns)])
+        cuts = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+        if held and any(held[-1].column(c)[0] != batch.column(c)[0] for c in range(columns)):
+            yield pa.Table.from_batches(held)
+            held = []
+        for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            held.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def outlines(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set, in words of 64: one is set if an element falls on it.
+
+    Sets whose rows differ in d bits differ in d elements at least.
+    """
+    words = 1 << max(0, int(np.median([len(s) for s in sets]) * OUTLINE) // 64).bit_length()
+    out = np.zeros((len(sets), words), dtype=np.uint64)
+    for row, elements in zip(out, sets):
+        place = mix(elements) % np.uint64(64 * words)
+        np.bitwise_or.at(row, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out
+
+
+def linked_classes(cell: pa.Table, similarity: float) -> dict[str, np.ndarray]:
+    """Links of a cell's nodes, enough to join all of its classes that are linked.
+
+    Nodes of two pieces are compared across; a piece alone, among themselves.
+    """
+    own, node, label = (cell.column(c).to_numpy() for c in ("own", "node", "class"))
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in cell.column("elements").to_pylist()]
+    across = cell.column("first")[0] != cell.column("second")[0]
+    sizes = np.array([len(s) for s in sets])
+    rows = outlines(sets)
+    now = np.unique(label, return_inverse=True)[1]
+    found = []
+    for i in range(len(sets)):
+        others = np.flatnonzero(own > own[i]) if across else np.arange(i + 1, len(sets))
+        others = others[now[others] != now[i]]
+        # At this similarity, two sets differ in so many elements at most.
+        most = (1 - similarity) / (1 + similarity) * (sizes[i] + sizes[others]) + 1e-6
+        others = others[np.abs(sizes[others] - sizes[i]) <= most]
+        most = (1 - similarity) / (1 + similarity) * (sizes[i] + sizes[others]) + 1e-6
+        others = others[np.bitwise_count(rows[others] ^ rows[i]).sum(axis=1) <= most]
+        for j in others:
+            if now[j] != now[i] and jaccard(sets[i], sets[j]) >= similarity:
+                found.append((i, j))
+                now[now == now[j]] = now[i]
+    i, j = np.array(found, dtype=np.int64).reshape(-1, 2).T
+    return {"class_a": label[i], "class_b": label[j], "a": node[i], "b": node[j]}
+
+
 class NearDuplicates:
     """Classes of near duplicates; intermediate tables are below the shared folder."""
 
@@ -165,33 +231,51 @@ class NearDuplicates:
         )
         members = self._members()
         sets = self._sets(members)
-        self.links = self._linked(self._stars(members, 0), sets)
-        self.classes = self._components(self.links)
-        for turn in range(1, rounds):
+        self.classes = self._components(self._linked(self._stars(members, 0), sets))
+        turn, more = 1, True
+        while turn < rounds and more:
             # Buckets that are not one class yet get other centres.
-            split = (
-                members.join(self.classes.hint("merge"), "node", "left")
-                .withColumn("class", F.coalesce("class", "node"))
-                .groupBy("key")
-                .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-                .where("low < high")
-                .select("key")
-            )
-            more = self._stars(members.join(split.hint("merge"), "key"), turn)
-            name = lambda side: self.classes.select(
-                F.col("node").alias(side), F.col("class").alias(f"class_{side}")
-            ).hint("merge")
-            more = (
-                more.join(name("a"), "a", "left")
-                .join(name("b"), "b", "left")
-                .where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
-                .select("a", "b")
-            )
-            found = self._linked(more, sets)
-            if not found.limit(1).count():
-                break
-            self.links = self.links.unionByName(found)
-            self.classes = self._components(self.links)
+            split = members.join(self._split(members).hint("merge"), "key")
+            more = self._joined(self._linked(self._apart(self._stars(split, turn)), sets))
+            turn += 1
+        self._joined(self._others(members, sets, turn))
+
+    def _classed(self, members: DataFrame) -> DataFrame:
+        return members.join(self.classes.hint("merge"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+
+    def _split(self, members: DataFrame) -> DataFrame:
+        """``key`` of the buckets of several classes."""
+        return (
+            self._classed(members)
+            .groupBy("key")
+            .agg(F.min("class").alias("low"), F.max("class").alias("high"))
+            .where("low < high")
+            .select("key")
+        )
+
+    def _apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of different classes."""
+        name = lambda side: self.classes.select(
+            F.col("node").alias(side), F.col("class").alias(f"class_{side}")
+        ).hint("merge")
+        return (
+            pairs.join(name("a"), "a", "left")
+            .join(name("b"), "b", "left")
+            .where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b"))
+            .select(F.coalesce("class_a", "a").alias("class_a"), F.coalesce("class_b", "b").alias("class_b"), "a", "b")
+        )
+
+    def _joined(self, links: DataFrame) -> bool:
+        """Whether there are links between classes; those they link are one from now on."""
+        if not links.limit(1).count():
+            return False
+        names = self._components(links.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct())
+        heads = names.select(F.col("node").alias("class"), F.col("class").alias("head"))
+        old = self.classes
+        new = old.join(heads.hint("merge"), "class", "left").select("node", F.coalesce("head", "class").alias("class"))
+        alone = names.join(old.select("node").hint("merge"), "node", "left_anti").select("node", "class")
+        self.classes = stored(new.unionByName(alone), "names")
+        return True
 
     def _members(self) -> DataFrame:
         """``(node, degree, key)`` of the buckets that may hold two nodes, by a sketch of all keys.
@@ -230,13 +314,12 @@ class NearDuplicates:
         separately edited copies does; the other is drawn, anew in each bucket and turn.
         Later turns draw both.
         """
-        drawn = F.xxhash64("node", "key", F.lit(turn))
-        rank = F.col("degree") if not turn else F.xxhash64("node", "key", F.lit(-turn))
+        most, other = self._centres(turn)
         centres = (
             members.groupBy("key")
             .agg(
-                F.max_by("node", F.struct(rank, drawn)).alias("most"),
-                F.min_by("node", drawn).alias("other"),
+                most.alias("most"),
+                other.alias("other"),
                 F.min("node").alias("low"),
                 F.max("node").alias("high"),
             )
@@ -252,6 +335,75 @@ class NearDuplicates:
             .distinct()
         )
 
+    @staticmethod
+    def _centres(turn: int) -> tuple[Column, Column]:
+        """A bucket's centres of a turn, as aggregates."""
+        drawn = F.xxhash64("node", "key", F.lit(turn))
+        rank = F.col("degree") if not turn else F.xxhash64("node", "key", F.lit(-turn))
+        return F.max_by("node", F.struct(rank, drawn)), F.min_by("node", drawn)
+
+    def _others(self, members: DataFrame, sets: DataFrame, turns: int) -> DataFrame:
+        """Links ``(a, b)`` between the classes of each bucket's nodes that were no centre in any turn.
+
+        A bucket's nodes are dealt out to pieces by hash, and every two pieces meet in a
+        cell, so that a bucket of any size fills many tasks with cells of bounded size.
+        Buckets with the same such nodes are compared once.
+        """
+        mixed = self._classed(members.join(self._split(members).hint("merge"), "key"))
+        centres = mixed.groupBy("key").agg(
+            F.array(*(c for turn in range(turns) for c in self._centres(turn))).alias("centres")
+        )
+        spread = lambda df: df.withColumn("spread", F.xxhash64("key"))
+        left = stored(
+            spread(mixed)
+            .join(spread(centres).hint("merge"), ["key", "spread"])
+            .where(~F.array_contains("centres", F.col("node")))
+            .select("key", "node", "class"),
+            "left",
+        )
+        wide = sets.join(left.select("node").distinct().hint("merge"), "node").select(
+            "node", F.octet_length("elements").cast("long").alias("bytes")
+        )
+        groups = (
+            left.join(wide.hint("merge"), "node")
+            .groupBy("key")
+            .agg(
+                F.min("class").alias("low"),
+                F.max("class").alias("high"),
+                F.count("*").alias("n"),
+                F.bit_xor(F.xxhash64("node")).alias("one"),
+                F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+                F.ceil(F.sum("bytes") / PIECE).alias("pieces"),
+            )
+            .where("low < high")
+            .groupBy("n", "one", "two", "pieces")
+            .agg(F.min("key").alias("key"))
+            .select("key", "pieces")
+        )
+        cells = (
+            spread(left)
+            .join(spread(groups).hint("merge"), ["key", "spread"])
+            .withColumn("own", F.pmod(F.xxhash64("node"), "pieces"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+            .select(
+                "key", F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second"), "own", "node", "class"
+            )
+        )
+        similarity = self.similarity
+
+        def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for cell in _runs(batches, 3):
+                yield pa.RecordBatch.from_pydict(linked_classes(cell, similarity))
+
+        return stored(
+            cells.join(sets.hint("merge"), "node")
+            .select("key", "first", "second", "own", "node", "class", "elements")
+            .repartition("key", "first", "second")
+            .sortWithinPartitions("key", "first", "second")
+            .mapInArrow(compare, "class_a long, class_b long, a long, b long"),
+            "links",
+        )
+
     def _sets(self, members: DataFrame) -> DataFrame:
         """``(node, elements)``: the whole sets of the members, made again from the texts.
 
@@ -294,20 +446,20 @@ class NearDuplicates:
         )
 
     def _linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs that are similar enough, by their whole sets."""
-        similarity = self.similarity
+        """The pairs that are similar enough, by their whole sets; further columns of them stay."""
+        similarity, names = self.similarity, pairs.columns
 
         def similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 a, b = (
-                    [np.frombuffer(x, dtype=np.uint64) for x in batch.column(c).to_pylist()] for c in (2, 3)
+                    [np.frombuffer(x, dtype=np.uint64) for x in batch.column(c).to_pylist()] for c in ("of_a", "of_b")
                 )
                 yes = pa.array([jaccard(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
-                yield batch.select(["a", "b"]).filter(yes)
+                yield batch.select(names).filter(yes)
 
         side = lambda name: sets.select(F.col("node").alias(name), F.col("elements").alias(f"of_{name}")).hint("merge")
-        joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "of_a", "of_b")
-        return stored(joined.mapInArrow(similar, "a long, b long"), "links")
+        joined = pairs.join(side("a"), "a").join(side("b"), "b").select(*names, "of_a", "of_b")
+        return stored(joined.mapInArrow(similar, ", ".join(f"{n} long" for n in names)), "links")
 
     def _components(self, links: DataFrame) -> DataFrame:
         """``(node, class)`` for all linked nodes: the least number that can be reached.

@@ -106,6 +106,29 @@ def test_near_kept(spark):
     assert len(rows) == len(set(with_words)) + len(without)
 
 
+@pytest.mark.parametrize("piece", [1 << 20, 20_000])
+def test_near_copies_among_many_unlike_ones(spark, monkeypatch, piece):
+    """Hundreds of texts of one template, at 0.66 to each other; to each tenth there is a near copy."""
+    import random
+
+    from medvoice.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "PIECE", piece)
+    base = [f"w{n}" for n in range(200)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for at in random.Random(i).sample(range(5, 195, 10), 4):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:
+            rows.append((1000 + i, " ".join([*words[:-1], "end"])))
+    found = NearDuplicates(frame(spark, rows), bands=8, rows=1, bits=BITS)
+    got = sorted((r["id"], r["class_id"]) for r in found.documents().collect())
+    assert got == sorted(zip((i for i, _ in rows), brute.classes(rows)))
+    assert sum(i != c for i, c in got) >= 30
+
+
 def test_signatures_estimate_similarity():
     import numpy as np
 
