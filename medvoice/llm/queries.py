@@ -163,10 +163,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medvoice.llm.secrets import fit
 
     def labelled(found: DataFrame) -> DataFrame:
-        """Findings whose nature is plain: values given to a key-like name, and known harmless forms."""
-        secret = (F.col("key_word") == 1) & (F.col("assigned") == 1) & (F.col("length") >= 20)
+        """Findings whose nature is plain: values given to a key-like name, and known harmless forms, ordinary words among them."""
+        plain = (F.col("digits") == 0) & (F.col("covered") >= 0.75)
+        secret = (F.col("key_word") == 1) & (F.col("assigned") == 1) & ((F.col("length") >= 20) | (F.col("digits") > 0)) & ~plain
         harmless = (
-            F.col("value").rlike(r"^[0-9.:\-/]+$")
+            plain
+            | F.col("value").rlike(r"^[0-9.:\-/]+$")
             | F.col("value").rlike(r"@[a-z0-9.\-]+\.[a-z]+\.?$")
             | (F.col("path") == 1) & F.col("value").rlike("^(https?:|www|/)")
         )

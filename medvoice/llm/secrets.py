@@ -1,7 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long unbroken strings of the characters keys are made of that hold a
-digit. Each is described by its length, the kinds of its characters and the changes
+Candidates are long unbroken strings of the characters keys are made of. Of one that
+begins with a name and ``=`` or ``:`` the value behind it is the candidate; values of
+``SHORT`` characters or more are candidates too where a key word and an assignment
+precede them. Each is described by its length, the kinds of its characters and the changes
 between kinds, the share of it that common words of the corpus cover, path and address
 marks, and the words before and after it. A random forest trained on labelled findings
 gives the probability of a secret.
@@ -27,10 +29,9 @@ from pyspark.sql import functions as F
 from medvoice.llm.fingerprints import let
 
 SAMPLE = 20_000
-LENGTH = 16
+LENGTH, SHORT = 16, 8
 #: What may be a key: no white space, quotes, brackets or sentence marks inside.
 KEY_CHAR = r"[A-Za-z0-9+/=_@:%~\-.]"
-CANDIDATE = rf"(?<!{KEY_CHAR}){KEY_CHAR}{{{LENGTH},}}+"
 CONTEXT = 48
 #: Words of four to twelve letters that at least this share of the documents holds.
 DICTIONARY_SHARE, DICTIONARY_WORDS = 0.002, 5_000
@@ -40,6 +41,21 @@ KEY_WORDS = (
     "access", "api", "apikey", "auth", "authorization", "bearer", "client", "credential", "key", "passphrase",
     "passwd", "password", "private", "pwd", "secret", "session", "signature", "token",
 )
+KEY_WORD = rf"(?i:{'|'.join(KEY_WORDS)})"
+# Names that may stand before a value in one string; bounded, as they are looked for backwards.
+NAME = r"[A-Za-z_][A-Za-z0-9_.\-]{0,63}"
+KEY_NAME = rf"(?:[A-Za-z0-9_.\-]{{0,40}}[0-9_.\-])?{KEY_WORD}(?:[0-9_.\-][A-Za-z0-9_.\-]{{0,40}})?"
+START, ASSIGN = rf"(?<!{KEY_CHAR})", "[=:](?!//|[=:])"
+CANDIDATE = "|".join(
+    (
+        # A value behind a name and an assignment in the same string,
+        rf"(?<=[=:])(?!//|[=:])(?:(?<={START}{NAME}[=:]){KEY_CHAR}{{{LENGTH},}}+|(?<={START}{KEY_NAME}[=:]){KEY_CHAR}{{{SHORT},}}+)",
+        # a whole string without one,
+        rf"{START}(?!{NAME}{ASSIGN}{KEY_CHAR}{{{LENGTH}}}|{KEY_NAME}{ASSIGN}{KEY_CHAR}{{{SHORT}}}){KEY_CHAR}{{{LENGTH},}}+",
+        # a short one behind an assignment; whether a key word precedes it is seen in its surroundings.
+        rf"(?<=[=:\s\"'`]){START}(?<=[=:]\s{{0,8}}[\"'`]?){KEY_CHAR}{{{SHORT},{LENGTH - 1}}}+(?!{KEY_CHAR})",
+    )
+)
 PATH_MARKS = ("://", "/usr/", "/home/", "www.", ".com", ".org", ".html", ".py", ".js")
 
 FEATURES = (
@@ -48,6 +64,13 @@ FEATURES = (
 )
 
 
+def _key_word(before: Column) -> Column:
+    """Whether one of the last three words is a key word."""
+    words = F.regexp_extract_all(F.lower(before), F.lit("[a-z]+"), F.lit(0))
+    last = F.array_join(let(words, lambda w: F.slice(w, F.greatest(F.size(w) - 2, F.lit(1)), 3)), " ")
+    return last.rlike("\\b(" + "|".join(KEY_WORDS) + ")\\b")
+
+
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``(id, text_hash, at, value, before, after)``: every candidate of every text, with its surroundings.
 
@@ -76,7 +99,6 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     return (
         rows.withColumn("starts", starts)
         .select("id", F.xxhash64("text").alias("text_hash"), each.alias("n", "c"))
-        .where(F.col("c.value").rlike("[0-9]"))
         .select(
             "id",
             "text_hash",
@@ -85,6 +107,9 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
             F.right("c.left", F.lit(CONTEXT)).alias("before"),
             F.left("c.right", F.lit(CONTEXT)).alias("after"),
         )
+        .where(
+            (F.char_length("value") >= LENGTH) | _key_word(F.col("before")) | F.col("before").rlike(f"{START}{KEY_NAME}[=:]$")
+        )
     )
 
 
@@ -117,7 +142,6 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
         "A" * 26 + "a" * 26 + "0" * 10 + "-" * 10,
     )
     before, after = F.lower(F.col("before")), F.lower(F.col("after"))
-    last_words = F.array_join(F.slice(F.regexp_extract_all(before, F.lit("[a-z]+"), F.lit(0)), -3, 3), " ")
     known = F.split(F.lit(" ".join(words)), " ")
     letters = F.array_distinct(F.regexp_extract_all(F.lower(value), F.lit("[a-z]{4,}"), F.lit(0)))
     covered = F.aggregate(
@@ -138,7 +162,7 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
         F.coalesce(F.array_max(F.transform(letters, lambda w: F.char_length(w))), F.lit(0)).cast("double").alias("longest_letters"),
         (value.rlike("[/.].*[/.]")).cast("double").alias("path"),
         let(F.lower(value), lambda v: sum((v.contains(m).cast("double") for m in PATH_MARKS), F.lit(0.0)) + v.contains("@").cast("double")).alias("address"),
-        last_words.rlike("\\b(" + "|".join(KEY_WORDS) + ")\\b").cast("double").alias("key_word"),
+        _key_word(F.col("before")).cast("double").alias("key_word"),
         before.rlike("[=:]\\s*[\"'`]?$").cast("double").alias("assigned"),
         (before.rlike("[\"'`]$") & after.rlike("^[\"'`]")).cast("double").alias("quoted"),
         F.regexp_count(before, F.lit("[a-z]+")).cast("double").alias("words_before"),

@@ -149,6 +149,22 @@ def test_secrets(spark):
     assert all((r.probability >= 0.5) == (len(r.value) in (32, 40)) for r in held)
 
 
+def test_secret_candidates(spark):
+    rows = [
+        (1, "set API_KEY=abcdefghijklmnopqrst now"), (2, "password:hunter2x"), (3, 'my password = "tr0ub4dor" ok'),
+        (4, "see https://www.example.org/a/long/page and identifier=ab12"), (5, "the long word counterrevolutionary ends"),
+        (6, 'colour = "lightblue1"'), (7, "x token: correcthorse"), (8, "url=https://example.org/page1"),
+    ]
+    found = secrets.candidates(frame(spark, rows)).collect()
+    assert all(dict(rows)[r.id][r.at :].startswith(r.value) for r in found)
+    assert sorted((r.id, r.value) for r in found) == [
+        (1, "abcdefghijklmnopqrst"), (2, "hunter2x"), (3, "tr0ub4dor"), (4, "https://www.example.org/a/long/page"),
+        (5, "counterrevolutionary"), (7, "correcthorse"), (8, "https://example.org/page1"),
+    ]
+    marks = {r.id: (r.key_word, r.assigned) for r in secrets.described(secrets.candidates(frame(spark, rows)), []).collect()}
+    assert all(marks[i] == (1, 1) for i in (1, 2, 3, 7))
+
+
 def test_secrets_without_labels(spark):
     table = frame(spark, [(1, "x 1234567890123456789 y"), (2, None)])
     model = secrets.fit(table, lambda found: found.withColumn("label", F.lit(1.0)).where("false"))
