@@ -13,7 +13,8 @@ index. Nothing else is: all words of all texts are read.
 Benchmark items come to the tasks in blocks of at most about ``BLOCK`` bytes of text
 (one item at least); documents pass through all blocks one after the other without a
 shuffle. Documents and items without words (null, empty) have no occurrences. Items of
-one id count once. All columns of the documents are kept.
+one id count once, and so do all items without an id: their words are hit as well, and
+stand as one null at the end of the items. All columns of the documents are kept.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ class Index:
 class Phrases:
     """Windows of some items as numbers of known words."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         texts = [t for _, t in items]
         found = arrays.words(texts, arrays.ALNUM, lower=True)
         offsets = found.of_doc(len(texts))
@@ -125,7 +126,7 @@ class Phrases:
         lowered = [t.translate(arrays.LOWER) for t in texts]
         self.spelled = [lowered[found.doc[i]][found.start[i] : found.end[i]] for i in first]
         number = number + 2  # 0 ends a text, 1 separates
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        owners: dict[tuple[int, ...], set[str | None]] = defaultdict(set)
         for d, (item, _) in enumerate(items):
             own = tuple(number[offsets[d] : offsets[d + 1]].tolist())
             for at in range(max(1, len(own) - window + 1) if own else 0):
@@ -133,7 +134,7 @@ class Phrases:
         by_length: dict[int, list[tuple[int, ...]]] = defaultdict(list)
         for phrase in owners:
             by_length[len(phrase)].append(phrase)
-        self.by_length = {n: (np.array(ps, dtype=np.int64), [sorted(owners[p]) for p in ps]) for n, ps in by_length.items()}
+        self.by_length = {n: (np.array(ps, dtype=np.int64), [by_name(owners[p]) for p in ps]) for n, ps in by_length.items()}
         self.shortest = min(by_length, default=0)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
@@ -144,7 +145,7 @@ class Phrases:
         return np.where(self.known[at] == hashes, at + 2, 1)
 
 
-def occurrences(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, list[tuple[int, int, int, list[str]]]]:
+def occurrences(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, list[tuple[int, int, int, list[str | None]]]]:
     """Number of words of each text, and ``(text, first word, end, items)`` of what was found."""
     found = arrays.words(texts, arrays.ALNUM, lower=True)
     offsets = found.of_doc(len(texts))
@@ -153,6 +154,8 @@ def occurrences(texts: list[bytes], phrases: Phrases) -> tuple[np.ndarray, list[
         return counts, []
     number = phrases.numbers(found.hash)
     known = number > 1
+    if not known.any():
+        return counts, []
     starts_run = known & ~np.concatenate(([False], known[:-1] & (found.doc[1:] == found.doc[:-1])))
     run = np.cumsum(starts_run) - 1
     sizes = np.bincount(run[known], minlength=int(starts_run.sum()))
@@ -197,10 +200,15 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+def by_name(items: set[str | None]) -> list[str | None]:
+    """The items in order, null at the end."""
+    return sorted(items, key=lambda x: (x is None, x or ""))
+
+
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str | None, bytes]]]:
     """The items in blocks of bounded size, one block on the driver at a time."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where(
-        "item IS NOT NULL AND text IS NOT NULL"
+        "text IS NOT NULL"
     )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * size // BLOCK))
@@ -220,7 +228,8 @@ def find_benchmark(
     """The documents with ``n_words, n_hit, spans, items``.
 
     ``spans`` are ranges of words (end excluded) inside occurrences, merged; ``items``
-    the ids of the items that occur, sorted as strings. A name that is taken gets an
+    the ids of the items that occur, sorted as strings, with a null at the end if one
+    without an id occurs. A name that is taken gets an
     underscore at its end.
     """
     added = [unused(docs, n) for n in ("n_words", "spans", "items")]
@@ -251,7 +260,7 @@ def find_benchmark(
                         *(batch.column(i) for i in range(base)),
                         pa.array(counts, pa.int64()),
                         pa.array(ranges, span_type),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                        pa.array([by_name(x) for x in items], pa.list_(pa.string())),
                     ],
                     names=names,
                 )

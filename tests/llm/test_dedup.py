@@ -172,6 +172,25 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert merge([(5, 9), (1, 3), (3, 4), (6, 7)]) == [(1, 4), (5, 9)]
 
 
+def test_decontamination_by_items_without_id(spark, tmp_path):
+    import duckdb
+
+    from medvoice.llm.queries import ORACLES, QUERIES
+
+    docs = [(1, "so " + ITEMS[0][1] + " end"), (2, "say paper light 42 now"), (3, "nothing here"), (4, ITEMS[0][1] + " x paper light 42")]
+    items = [(None, ITEMS[0][1]), (7, "paper light 42")]
+    frame(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    name = "op5_benchmark_decontamination"
+    got = QUERIES[name](spark, str(tmp_path))
+    db = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES[name]})").fetchall()
+    assert tidy(got.collect()) == tidy(want)
+    assert {r["doc_id"]: r["n_items"] for r in got.collect()} == {1: 1, 2: 1, 3: 0, 4: 2}
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)]])
 def test_nothing_to_do(spark, rows):
     docs = frame(spark, rows)
