@@ -208,3 +208,87 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", is_held_out("doc_id").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.filter_audit import audit
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit(docs, table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+        + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text))::INT
+        + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * (first < doc_id)::INT AS mask
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT concat(a.letter, b.letter, x.letter, d.letter, e.letter) AS filter_order, [a.bit, b.bit, x.bit, d.bit, e.bit] AS bits
+      FROM f a, f b, f x, f d, f e WHERE a.bit | b.bit | x.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, CAST(step AS INT) AS step, bits[step] AS bit, list_sum(bits[1:step - 1]) AS earlier
+      FROM o, range(1, 6) AS r(step)),
+r AS (SELECT part, filter_order, step, bit,
+        sum(n) FILTER (WHERE mask & (coalesce(earlier, 0)::INT | bit) = 0) AS kept,
+        sum(n) FILTER (WHERE mask & coalesce(earlier, 0)::INT = 0 AND mask & bit > 0) AS removed,
+        sum(n) FILTER (WHERE mask & coalesce(earlier, 0)::INT > 0 AND mask & bit > 0) AS redundant,
+        sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+        sum(good) FILTER (WHERE mask & coalesce(earlier, 0)::INT = 0 AND mask & bit > 0) AS good_lost,
+        sum(toxic) FILTER (WHERE mask & coalesce(earlier, 0)::INT = 0 AND mask & bit > 0) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r
+"""
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.language import fit, is_held_out, predict
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs)
+    return predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from medvoice.llm.fill_middle import fill_in_middle, with_restored
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_restored(fill_in_middle(docs)).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+             regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+h AS (SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+"""
