@@ -29,10 +29,12 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("scored")
     job.add_argument("--format", default="csv", choices=["csv", "parquet"])
     job.add_argument("--lexicon", help="CSV files with the columns word, polarity")
+    job.add_argument("--split", action="store_true", help="read large files by a task per block")
 
     job = jobs.add_parser("profile", help="raw TSV -> one Parquet table per report")
     job.add_argument("raw")
     job.add_argument("out")
+    job.add_argument("--split", action="store_true", help="read large files by a task per block")
 
     job = jobs.add_parser("train", help="scored tables -> stored model and report")
     job.add_argument("train")
@@ -72,9 +74,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"medvoice-{args.job}")
     lexicon = read_lexicon(spark, args.lexicon) if getattr(args, "lexicon", None) else LEXICON
     if args.job == "extract":
-        extraction.run(spark, args.raw, args.scored, lexicon, file_format=args.format)
+        extraction.run(spark, args.raw, args.scored, lexicon, file_format=args.format, split=args.split)
     elif args.job == "profile":
-        raw = as_parquet(read_reviews_tsv(spark, args.raw), new_folder(spark, "reviews"))
+        raw = as_parquet(read_reviews_tsv(spark, args.raw, split=args.split), new_folder(spark, "reviews"))
         for name, report in reports(raw).items():
             report.write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "train":

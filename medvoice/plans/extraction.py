@@ -26,13 +26,15 @@ def run(
     lexicon: Mapping[str, float] | DataFrame = LEXICON,
     file_format: str = "csv",
     max_records_per_file: int | None = 1_000_000,
+    split: bool = False,
 ) -> None:
     """Read raw files, write the scored table.
 
     ``csv`` is the exchange format; ``parquet`` is the one to train from on a
-    cluster, since it is splittable and read by column.
+    cluster, since it is splittable and read by column. ``split`` reads large raw files
+    by a task per block.
     """
-    scored = extract(read_reviews_tsv(spark, raw_path), lexicon)
+    scored = extract(read_reviews_tsv(spark, raw_path, split=split), lexicon)
     if file_format == "csv":
         write_scored_csv(scored, scored_path, max_records_per_file)
     else:

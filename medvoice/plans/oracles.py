@@ -222,6 +222,8 @@ SELECT holdout, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum FROM h GR
 SELECT UniqueID, drugName, rating, sentiment, CAST(NULL AS VARCHAR) AS review FROM rn
 UNION ALL SELECT UniqueID, drugName, rating, CAST(NULL AS DOUBLE), review FROM rt""",
     "tsv_round_trip": f"""WITH {RT}
+SELECT {_INT_ID}, drugName, condition, review, rating, date, usefulCount FROM rt""",
+    "tsv_split_round_trip": f"""WITH {RT}
 SELECT {_INT_ID}, drugName, condition, review, rating, date, usefulCount FROM rt""",
     "text_typed_round_trip": f"""WITH {RT}
 SELECT CAST(UniqueID AS DOUBLE) AS UniqueID, drugName, condition, review, rating, date,

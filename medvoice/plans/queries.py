@@ -286,6 +286,14 @@ def q_text_typed_round_trip(spark, sf_dir):
     return files.read_text_typed(spark, folder)
 
 
+@query("tsv_split_round_trip")
+def q_tsv_split_round_trip(spark, sf_dir):
+    """One file whose reviews span lines, read by a task per block."""
+    folder = new_folder(spark, "tsv-split")
+    files.write_reviews_tsv(text_reviews(spark, sf_dir).select(*RAW.fieldNames()), folder)
+    return files.read_reviews_tsv(spark, folder, split=True)
+
+
 @query("scored_csv_round_trip")
 def q_scored_csv_round_trip(spark, sf_dir):
     folder = new_folder(spark, "scored")

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from medvoice.functions.columns import run_stamp, to_numeric
 from medvoice.schemas import LANDED, RAW, RAW_TEXT, SCORED
+from medvoice.sources.split_csv import read_split_csv
 
 # The file formats of the review tables.
 RAW_DELIMITER = "\t"
@@ -39,51 +40,47 @@ def _reader(
 
 def read_reviews_tsv(
     spark: SparkSession, path: str | Sequence[str], schema: StructType = RAW,
-    multi_line: bool = True,
+    multi_line: bool = True, split: bool = False,
 ) -> DataFrame:
     """Raw reviews from tab-separated files. Columns bind by position.
 
-    A review may span lines, so a file is read by one task: give many files of
-    moderate size, or, when no review holds a line break, ``multi_line=False``,
-    which lets Spark split files.
+    A review may span lines, so a file is read by one task. ``split`` gives the same rows
+    from as many tasks as the file has blocks; where no review holds a line break,
+    ``multi_line=False`` does so with one pass.
     """
+    if split:
+        return read_split_csv(spark, path, schema, csv_options(RAW_DELIMITER))
     return _reader(spark, schema, RAW_DELIMITER, multi_line).csv(path)
 
 
 def read_scored_csv(
     spark: SparkSession, path: str | Sequence[str], schema: StructType = SCORED,
-    multi_line: bool = True,
+    multi_line: bool = True, split: bool = False,
 ) -> DataFrame:
-    """Scored reviews from ``|``-separated files."""
+    """Scored reviews from ``|``-separated files; ``split`` as for raw ones."""
+    if split:
+        return read_split_csv(spark, path, schema, csv_options(SCORED_DELIMITER))
     return _reader(spark, schema, SCORED_DELIMITER, multi_line).csv(path)
 
 
 def read_text_typed(
-    spark: SparkSession, path: str | Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """Raw reviews read as text, numbers cast afterwards: bad numbers fail the job."""
-    df = _reader(spark, RAW_TEXT, RAW_DELIMITER, multi_line).csv(path)
+    df = read_reviews_tsv(spark, path, RAW_TEXT, multi_line, split)
     return df.withColumns(
         {c: to_numeric(c) for c in ("UniqueID", "rating", "usefulCount")}
     )
 
 
-def landed_layout(
-    spark: SparkSession, path: str, index_column: bool = False
-) -> tuple[StructType, dict[str, str]]:
-    """Schema and options for landed files, whose header must name the columns.
+def landed_layout(index_column: bool = False) -> tuple[StructType, dict[str, str]]:
+    """Schema and options for landed files, whose headers must name the columns.
 
-    With ``index_column`` the files have an unnamed index before them. Without, Spark
-    checks every file's header; with it the header of the first file is checked here,
-    as Spark has no name to compare the first column with.
+    With ``index_column`` the files have an unnamed index before them. Spark compares
+    every file's header with the schema, in which the index has no name either.
     """
-    options = csv_options(LANDED_DELIMITER)
-    if not index_column:
-        return LANDED, {**options, "enforceSchema": "false"}
-    found = spark.read.options(**options, recursiveFileLookup="true").csv(path).columns
-    if found[1:] != LANDED.fieldNames():
-        raise ValueError(f"not a landed file with an index column: {found}")
-    return StructType([StructField("_index", StringType()), *LANDED.fields]), options
+    index = [StructField("", StringType())] if index_column else []
+    return StructType([*index, *LANDED.fields]), {**csv_options(LANDED_DELIMITER), "enforceSchema": "false"}
 
 
 def read_landed(
@@ -98,9 +95,9 @@ def read_landed(
     then). Asking for ``months`` reads only their folders. A header with other columns
     fails the read.
     """
-    schema, options = landed_layout(spark, path, index_column)
+    schema, options = landed_layout(index_column)
     df = spark.read.schema(schema).options(**options).csv(path)
-    if any(part.startswith("month_dir=") for file in df.inputFiles()[:1] for part in file.split("/")):
+    if any(part.startswith("month_dir=") for file in df.inputFiles() for part in file.split("/")):
         month = StructField("month_dir", StringType())
         df = spark.read.schema(StructType([*schema.fields, month])).options(**options).csv(path)
     else:

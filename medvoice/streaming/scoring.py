@@ -28,7 +28,7 @@ def landed_source(
     committed batch are moved there when the next batch is planned; a file that
     has not been scored is never moved.
     """
-    schema, options = landed_layout(spark, landed_path, index_column)
+    schema, options = landed_layout(index_column)
     reader = (
         spark.readStream.schema(schema)
         .options(**options)

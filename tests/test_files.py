@@ -138,5 +138,13 @@ def test_landed_files_are_read_by_name(spark, tmp_path):
         files.read_landed(spark, str(wrong)).collect()
     with pytest.raises(Exception):
         files.read_landed(spark, str(indexed)).collect()
-    with pytest.raises(ValueError):
-        files.read_landed(spark, str(plain), index_column=True)
+    with pytest.raises(Exception):
+        files.read_landed(spark, str(plain), index_column=True).collect()
+    # Each file's header counts, not that of the first one listed.
+    for name, text in (("b.csv", f",{','.join(names)}\n0,fine,8,d,c,x,5,0.5\n"), ("c.csv", f"{','.join(names)}\n12,9,Ache,d2,4,3,1\n")):
+        (indexed / name).write_text(text)
+        if name == "b.csv":
+            assert files.read_landed(spark, str(indexed), index_column=True).count() == 2
+    for index in (True, False):
+        with pytest.raises(Exception):
+            files.read_landed(spark, str(indexed), index_column=index).collect()
