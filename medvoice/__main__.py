@@ -16,7 +16,12 @@ from medvoice.session import build_session
 from medvoice.sources.files import as_parquet, read_reviews_tsv, read_scored_csv
 from medvoice.sources.messages import message_source
 from medvoice.streaming.landing import land_messages
-from medvoice.streaming.scoring import landed_source, score_landed
+from medvoice.streaming.scoring import (
+    landed_source,
+    manifest_source,
+    score_landed,
+    score_landed_manifests,
+)
 from medvoice.workspace import new_folder
 
 
@@ -52,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--lexicon", help="CSV files with the columns word, polarity")
     job.add_argument("--max-files", type=int, help="files in a micro-batch")
     job.add_argument("--max-bytes", help="bytes in a micro-batch, such as 1g")
+    job.add_argument("--manifests", action="store_true", help="publish by manifests, not by renaming")
 
     job = jobs.add_parser("score", help="landed files -> predictions, inputs archived")
     job.add_argument("model")
@@ -61,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--archive")
     job.add_argument("--max-files", type=int, help="files in a micro-batch")
     job.add_argument("--index-column", action="store_true", help="landed files have an index first")
+    job.add_argument("--manifests", action="store_true", help="read and publish by manifests")
     return top
 
 
@@ -90,7 +97,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "land":
         land_messages(
             message_source(spark, args.messages, args.max_files, args.max_bytes),
-            args.landed, args.rejects, args.checkpoint, lexicon, once=not args.forever,
+            args.landed, args.rejects, args.checkpoint, lexicon, once=not args.forever, manifests=args.manifests,
+        ).awaitTermination()
+    elif args.manifests:
+        score_landed_manifests(
+            load_model(args.model), manifest_source(spark, args.landed, args.max_files),
+            args.landed, args.predictions, args.checkpoint,
         ).awaitTermination()
     else:
         score_landed(

@@ -154,6 +154,14 @@ def _top_drugs(bound: str, values: tuple[int, ...]) -> str:
 WHERE condition = 'ECONOMY' AND {bound} AND usefulCount >= 100 GROUP BY drugName"""
 
 
+_LANDED = f"""WITH {POLARITY}
+SELECT review, {_INT_ID}, drugName, condition, date, usefulCount,
+ROUND(sentiment, 9) AS sentiment, TRUE AS month_dir_ok FROM scored
+WHERE condition IS NOT NULL AND review IS NOT NULL"""
+_SCORED_AUDIT = f"""WITH {RT}
+SELECT drugName, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum, COUNT(*) AS n_on_scale
+FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL GROUP BY drugName"""
+
 ORACLES: dict[str, str] = {
     "clean_reviews": f"WITH {CLEAN} SELECT * FROM clean",
     "stage_counts": f"""WITH {CLEAN}
@@ -282,15 +290,12 @@ condition IS NOT NULL AND review IS NOT NULL AS usable FROM rt""",
     "stream_events_landed": """
 SELECT event_id, user_id, event_type, value,
 CAST(month(ts) AS VARCHAR) || '-' || CAST(year(ts) AS VARCHAR) AS month_dir FROM events""",
-    "stream_month_land": f"""WITH {POLARITY}
-SELECT review, {_INT_ID}, drugName, condition, date, usefulCount,
-ROUND(sentiment, 9) AS sentiment, TRUE AS month_dir_ok FROM scored
-WHERE condition IS NOT NULL AND review IS NOT NULL""",
+    "stream_month_land": _LANDED,
+    "stream_manifest_landed": _LANDED,
     "stream_rejects": f"""WITH {RT}
 SELECT {_INT_ID}, drugName, condition FROM rt WHERE condition IS NULL OR review IS NULL""",
-    "stream_score_audit": f"""WITH {RT}
-SELECT drugName, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum, COUNT(*) AS n_on_scale
-FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL GROUP BY drugName""",
+    "stream_score_audit": _SCORED_AUDIT,
+    "stream_manifest_scored": _SCORED_AUDIT,
     "top_drugs_half_ratings": f"""WITH {RN}, h AS (
 SELECT drugName, condition, usefulCount, rating - (UniqueID % 2) * 0.5 AS rating FROM rn)
 SELECT drugName, {", ".join(f"COUNT(*) FILTER (WHERE rating = {v}) AS {c}"

@@ -25,8 +25,15 @@ from medvoice.plans.training import train
 from medvoice.plans.views import numeric_reviews, table, text_reviews
 from medvoice.schemas import FEATURES, LANDED, RAW, SCORED
 from medvoice.sources import files, messages
-from medvoice.streaming.landing import land_messages
-from medvoice.streaming.scoring import landed_source, predicted_columns, score_landed
+from medvoice.streaming.landing import land_messages, read_landed_manifests
+from medvoice.streaming.scoring import (
+    landed_source,
+    manifest_source,
+    predicted_columns,
+    read_predictions_manifests,
+    score_landed,
+    score_landed_manifests,
+)
 from medvoice.workspace import materialize, new_folder, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -526,14 +533,14 @@ def q_stream_events_landed(spark, sf_dir):
     )
 
 
-def _land(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+def _land(spark: SparkSession, sf_dir: str, manifests: bool = False) -> tuple[str, str]:
     """Publish the text reviews as messages and land them; (landed, rejects)."""
     published = new_folder(spark, "messages")
     messages.encode_messages(text_reviews(spark, sf_dir)).write.text(published)
     landed, rejects = new_folder(spark, "landed"), new_folder(spark, "rejects")
     land_messages(
         messages.message_source(spark, published),
-        landed, rejects, new_folder(spark, "checkpoint"),
+        landed, rejects, new_folder(spark, "checkpoint"), manifests=manifests,
     ).awaitTermination()
     return landed, rejects
 
@@ -549,6 +556,18 @@ def q_stream_month_land(spark, sf_dir):
     )
 
 
+@query("stream_manifest_landed")
+def q_stream_manifest_landed(spark, sf_dir):
+    """The same, published by manifests."""
+    landed, _ = _land(spark, sf_dir, manifests=True)
+    return (
+        read_landed_manifests(spark, landed)
+        .withColumn("sentiment", _r("sentiment"))
+        .withColumn("month_dir_ok", F.col("month_dir").rlike(r"^([1-9]|1[0-2])-\d{4}$"))
+        .drop("month_dir")
+    )
+
+
 @query("stream_rejects")
 def q_stream_rejects(spark, sf_dir):
     _, rejects = _land(spark, sf_dir)
@@ -585,6 +604,21 @@ def q_stream_score_audit(spark, sf_dir):
     )
 
 
+@query("stream_manifest_scored")
+def q_stream_manifest_scored(spark, sf_dir):
+    """Landing, scoring and predictions by manifests; the second run finds nothing new."""
+    landed, _ = _land(spark, sf_dir, manifests=True)
+    model = train(numeric_reviews(spark, sf_dir)).model
+    out, checkpoint = new_folder(spark, "predictions"), new_folder(spark, "checkpoint")
+    for _ in range(2):
+        score_landed_manifests(model, manifest_source(spark, landed), landed, out, checkpoint).awaitTermination()
+    return read_predictions_manifests(spark, out).groupBy("drugName").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("UniqueID").alias("id_sum"),
+        F.count_if(F.col("prediction").between(1, 10)).alias("n_on_scale"),
+    )
+
+
 @query("batch_score_landed")
 def q_batch_score_landed(spark, sf_dir):
     """The landed rows scored as a batch: what the streams must add up to."""

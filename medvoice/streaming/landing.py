@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,9 @@ from medvoice.functions.columns import month_dir
 from medvoice.functions.lexicon import LEXICON
 from medvoice.operators.polarity import score_reviews
 from medvoice.schemas import LANDED
-from medvoice.sources.files import LANDED_DELIMITER, csv_writer
+from medvoice.sources.files import LANDED_DELIMITER, csv_writer, landed_layout
 from medvoice.sources.messages import decode_messages
+from medvoice.streaming.manifest import commit, read_committed
 
 
 def landed_columns(
@@ -57,6 +58,7 @@ def land_messages(
     lexicon: Mapping[str, float] | DataFrame = LEXICON,
     once: bool = True,
     interval: str = "1 minute",
+    manifests: bool = False,
 ) -> StreamingQuery:
     """Start landing a stream of messages.
 
@@ -66,12 +68,22 @@ def land_messages(
     twice, and files the scoring job may have read already never change. Streams with
     other checkpoints have other folders. Unusable messages are kept as received.
 
+    Where a store cannot rename a folder in one step, use ``manifests``: files get their
+    final names at once, and a manifest publishes them (:mod:`medvoice.streaming.manifest`);
+    read them with :func:`read_landed_manifests`.
+
     The month comes from the clock that Spark logs with the batch, which a repeated
     batch sees again.
     """
     spark = messages.sparkSession
     stream = stream_id(spark, checkpoint)
 
+    def publish(writer, root: str, place: str, batch_id: int) -> None:
+        if manifests:
+            commit(spark, root, place, f"{stream}-{batch_id}", lambda folder: writer.save(folder))
+        else:
+            _publish(spark, writer, root, place)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -81,9 +93,9 @@ def land_messages(
             place = f"month_dir={month[0]}/stream_id={stream}/batch_id={batch_id}"
             scored = landed_columns(batch, lexicon).persist()
             good = scored.where("usable").select(*LANDED.fieldNames())
-            _publish(spark, csv_writer(good, LANDED_DELIMITER).format("csv"), landed_path, place)
+            publish(csv_writer(good, LANDED_DELIMITER).format("csv"), landed_path, place, batch_id)
             bad = scored.where(~F.col("usable")).select("data")
-            _publish(spark, bad.write.format("text"), rejects_path, place)
+            publish(bad.write.format("text"), rejects_path, place, batch_id)
             scored.unpersist()
         finally:
             batch.unpersist()
@@ -97,6 +109,14 @@ def land_messages(
     return writer.trigger(**trigger).start()
 
 
+def read_landed_manifests(
+    spark: SparkSession, path: str, months: Sequence[str] | None = None
+) -> DataFrame:
+    """All rows of published batches as one table, with their ``month_dir``."""
+    schema, options = landed_layout()
+    return read_committed(spark, path, "csv", schema, options, months)
+
+
 def _publish(spark: SparkSession, writer, root: str, place: str) -> None:
     """Write to a folder readers pass over, then move it to its place unless that exists."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -6,12 +6,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from medvoice.functions.columns import run_stamp
 from medvoice.operators.rating_model import predict
 from medvoice.schemas import FEATURES, LANDED
 from medvoice.sources.files import landed_layout
 from medvoice.sources.messages import MAX_FILE_AGE
+from medvoice.streaming.landing import stream_id
+from medvoice.streaming.manifest import MANIFESTS, commit, entries_of, read_committed, read_files
 
 
 def landed_source(
@@ -84,3 +87,50 @@ def score_landed(
     )
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return writer.trigger(**trigger).start(predictions_path)
+
+
+def manifest_source(
+    spark: SparkSession, landed_path: str, max_batches: int | None = None, max_age: str = MAX_FILE_AGE
+) -> DataFrame:
+    """Stream of the manifests of landed batches, one per row."""
+    reader = spark.readStream.format("text").option("wholetext", "true").option("maxFileAge", max_age)
+    if max_batches:
+        reader = reader.option("maxFilesPerTrigger", max_batches)
+    return reader.load(f"{landed_path}/{MANIFESTS}")
+
+
+def score_landed_manifests(
+    model: PipelineModel,
+    manifests: DataFrame,
+    landed_path: str,
+    predictions_path: str,
+    checkpoint: str,
+    once: bool = True,
+    interval: str = "1 hour",
+) -> StreamingQuery:
+    """Start scoring what manifests publish, and publish the predictions by manifests too.
+
+    The checkpoint remembers the manifests. A micro-batch that is repeated finds its own
+    manifest, so each landed file is scored once over all runs; no file is moved.
+    """
+    spark = manifests.sparkSession
+    stream = stream_id(spark, checkpoint)
+    schema, options = landed_layout()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        landed = read_files(spark, landed_path, entries_of(batch), "csv", schema, options)
+        scored = predicted_columns(model, landed)
+        place = f"stream_id={stream}/batch_id={batch_id}"
+        commit(spark, predictions_path, place, f"{stream}-{batch_id}", lambda folder: scored.write.parquet(folder))
+
+    writer = manifests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if once else {"processingTime": interval}
+    return writer.trigger(**trigger).start()
+
+
+def read_predictions_manifests(spark: SparkSession, predictions_path: str) -> DataFrame:
+    """All published predictions."""
+    schema = StructType(
+        [*LANDED.fields, StructField("prediction", DoubleType()), StructField("run_ts", StringType())]
+    )
+    return read_committed(spark, predictions_path, "parquet", schema).drop("month_dir")
