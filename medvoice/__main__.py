@@ -12,6 +12,7 @@ from medvoice.operators.rating_model import load_model
 from medvoice.plans import extraction
 from medvoice.plans.profile import reports
 from medvoice.plans.training import train
+from medvoice.schemas import FEATURES
 from medvoice.session import build_session
 from medvoice.sources.files import as_parquet, read_reviews_tsv, read_scored_csv
 from medvoice.sources.messages import message_source
@@ -46,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("holdout")
     job.add_argument("model")
     job.add_argument("--seed", type=int, default=42)
+    job.add_argument("--indexed", nargs="*", default=[], help="text columns to add to the features, such as condition")
+    job.add_argument("--bins", type=int, help="fit to cells of so many bins a feature, for very large tables")
     job.add_argument("--format", default="csv", choices=["csv", "parquet"])
 
     job = jobs.add_parser("land", help="message files -> landed files by month")
@@ -92,6 +95,9 @@ def main(argv: list[str] | None = None) -> None:
             scored_table(spark, args.holdout, args.format),
             seed=args.seed,
             model_path=args.model,
+            features=(*FEATURES, *(f"{c}_idx" for c in args.indexed)),
+            indexed=args.indexed,
+            bins=args.bins,
         )
         result.report.show()
     elif args.job == "land":

@@ -15,12 +15,13 @@ SALTS = 16
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, on: str, spread_by: Sequence[str]
+    rows: DataFrame, lookup: DataFrame, on: str, spread_by: Sequence[str] | None = None, how: str = "inner"
 ) -> DataFrame:
-    """Inner join of ``rows`` with a narrow table that has each value of ``on`` once.
+    """Join of ``rows`` with a narrow table that has each value of ``on`` once.
 
     The lookup is broadcast if counting shows that it is within the bound, else
     the join is salted. ``lookup`` should be a stored table, as it is counted first.
+    ``how`` is inner, or left to keep the rows without a match.
     """
     size = (
         lookup.limit(MAX_BROADCAST_ROWS + 1)
@@ -31,8 +32,14 @@ def lookup_join(
         .first()
     )
     if size["n"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES:
-        return rows.join(F.broadcast(lookup), on)
-    return salted_join(rows, lookup, on, spread_by)
+        return rows.join(F.broadcast(lookup), on, how)
+    return salted_join(rows, lookup, on, spread_by or _hashable(rows, on), how=how)
+
+
+def _hashable(rows: DataFrame, on: str) -> list:
+    """Columns that tell rows of one key apart; vectors and maps have no hash."""
+    plain = ("vector", "map", "variant")
+    return [c for c, kind in rows.dtypes if c != on and not any(p in kind for p in plain)] or [F.rand(1)]
 
 
 def salted_join(
@@ -41,6 +48,7 @@ def salted_join(
     on: str,
     spread_by: Sequence[str],
     salts: int = SALTS,
+    how: str = "inner",
 ) -> DataFrame:
     """The same join by shuffle.
 
@@ -52,4 +60,4 @@ def salted_join(
         "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     )
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies.hint("merge"), [on, "_salt"]).drop("_salt")
+    return salted.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")

@@ -7,20 +7,23 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from medvoice.operators.joins import lookup_join
+from medvoice.operators.collapse import WEIGHT, collapse
+from medvoice.operators.label_index import LabelIndex
 from medvoice.operators.profiling import rmse, rmse_rounded
+from medvoice.operators.ranks import index_by_ranks, label_ranks
 from medvoice.schemas import FEATURES, LABEL
-from medvoice.workspace import materialize
 
-# Distinct labels an index model may hold; it is kept whole on driver and tasks.
+__all__ = ["index_by_ranks", "label_ranks"]  # asked for here before they had a module
+
+# Distinct labels an index model may hold whole on driver and tasks; beyond, they are a table.
 MAX_LABELS = 100_000
-# Parts a fit deals its rows out to; the forest depends on it and on nothing else of
-# the cluster.
-FIT_PARTITIONS = 16
+# Rows of a part in a fit, and least number of parts. The forest depends on the number
+# of parts, so that is made from the number of rows and nothing else of the cluster.
+PART_ROWS, LEAST_PARTS = 250_000, 16
 
 
 def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
@@ -42,7 +45,7 @@ def fit_label_index(
     found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_labels + 1)
     if found.count() > max_labels:
         raise ValueError(
-            f"{column} has more than {max_labels} values; use label_ranks, which keeps them in a table"
+            f"{column} has more than {max_labels} values; use LabelIndex, which keeps them in a table"
         )
     return StringIndexer(
         inputCol=column,
@@ -52,50 +55,15 @@ def fit_label_index(
     ).fit(df)
 
 
-def label_ranks(df: DataFrame, column: str = "condition") -> DataFrame:
-    """The same index as a table ``(label, index)``, for any number of labels.
-
-    Labels are counted, sorted across tasks and written, so that each one's place
-    in its part is settled; adding the sizes of the parts before gives the index.
-    The table of parts has one row per task of the sort.
-    """
-    index = f"{column}_idx"
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.asc(column))
-    )
-    # The id holds the part above bit 33 and the place in the part below it.
-    placed = materialize(counts.select(column, F.monotonically_increasing_id().alias("id")), "ranks")
-    part = F.shiftright("id", 33)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    place = F.col("id").bitwiseAND((1 << 33) - 1)
-    return (
-        placed.withColumn("part", part)
-        .join(F.broadcast(offsets), "part")
-        .select(column, (F.col("offset") + place).cast("double").alias(index))
-    )
-
-
-def index_by_ranks(df: DataFrame, ranks: DataFrame, column: str = "condition") -> DataFrame:
-    """Add the index from such a table; rows with an unknown or NULL label are left out."""
-    others = [c for c in df.columns if c != column] or [F.monotonically_increasing_id()]
-    return lookup_join(df, ranks, column, others)
-
-
 def fit_rating_model(
     train: DataFrame,
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     seed: int = 42,
     indexed: Sequence[str] = (),
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
+    bins: int | None = None,
+    max_labels: int = MAX_LABELS,
     **forest: object,
 ) -> PipelineModel:
     """Fit assembler and random forest, with Spark's default forest unless overridden.
@@ -105,33 +73,50 @@ def fit_rating_model(
     over them several times; lost blocks are computed again.
 
     Spark draws each tree's rows part by part. Rows are dealt out by a hash of the whole
-    row to a fixed number of ``partitions`` and ordered inside them, so the same rows
-    and seed give the same forest on any cluster; raise the number for large tables.
+    row to a number of ``partitions`` that follows from the number of rows, and ordered
+    inside them, so the same rows and seed give the same forest on any cluster.
+
+    With ``bins`` the rows are first collapsed to weighted cells of binned features
+    (:func:`medvoice.operators.collapse.collapse`), so that the fit has a size of its own.
 
     ``indexed`` names text columns that get a number by frequency (``<name>_idx``, the
     most frequent 0, unknown and missing ones the number of labels), for use among the
     features. The number is an ordinary one, not a category.
     """
-    row = F.xxhash64(*train.columns).alias("_row")
     plain = [f for f in features if f not in {f"{c}_idx" for c in indexed}]
+    rows = train.select(label, *plain, *indexed, F.xxhash64(*train.columns).alias("_row"))
+    stages = [stage for c in indexed for stage in label_stages(rows, c, max_labels)]
+    columns = [label, *features]
+    rows = PipelineModel(stages=stages).transform(rows).select(*columns, "_row")
+    if bins:
+        rows, columns = collapse(rows, features, label, bins), [*columns, WEIGHT]
+        rows = rows.select(*columns, F.xxhash64(*rows.columns).alias("_row"))
+        forest = {"weightCol": WEIGHT, **forest}
+    if partitions is None:
+        partitions = max(LEAST_PARTS, -(-rows.count() // PART_ROWS))
     kept = (
-        train.select(label, *plain, *indexed, row)
-        .repartition(partitions, "_row")
-        .sortWithinPartitions("_row", label, *plain, *indexed)
+        rows.repartition(partitions, "_row")
+        .sortWithinPartitions("_row", *columns)
         .drop("_row")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        stages = [stage for c in indexed for stage in label_stages(kept, c)]
         regressor = RandomForestRegressor(labelCol=label, seed=seed, **forest)
-        return Pipeline(stages=[*stages, assembler(features), regressor]).fit(kept)
+        fitted = Pipeline(stages=[assembler(features), regressor]).fit(kept)
     finally:
         kept.unpersist()
+    return PipelineModel(stages=[*stages, *fitted.stages])
+
 
+def label_stages(df: DataFrame, column: str, max_labels: int = MAX_LABELS) -> list:
+    """Fitted stages that add ``<column>_idx``; unknown and missing labels get the number of labels.
 
-def label_stages(df: DataFrame, column: str) -> list:
-    """Pipeline stages that add ``<column>_idx``; unknown labels get the number of labels."""
-    index = fit_label_index(df, column).setHandleInvalid("keep").setOutputCol(f"_{column}_label")
+    The labels are in the model up to ``max_labels`` of them, and a table stored with it beyond.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_labels + 1).count()
+    if found > max_labels:
+        return [LabelIndex(inputCol=column, outputCol=f"{column}_idx").fit(df)]
+    index = fit_label_index(df, column, max_labels).setHandleInvalid("keep").setOutputCol(f"_{column}_label")
     # The sum leaves out the marks of a category, which would cost a bin per label.
     plain = SQLTransformer(statement=f"SELECT *, _{column}_label + 0.0D AS {column}_idx FROM __THIS__")
     return [index, plain]

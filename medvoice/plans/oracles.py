@@ -281,6 +281,12 @@ AS condition_idx, n FROM c""",
 SELECT 'part ' || CAST(l_partkey AS VARCHAR) AS label, COUNT(*) AS n FROM lineitem GROUP BY 1)
 SELECT label, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS label_idx, n
 FROM c""",
+    "condition_index_stage": """WITH c AS (
+SELECT l_partkey AS k, COUNT(*) AS n FROM lineitem GROUP BY 1),
+r AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY n DESC, 'part ' || CAST(k AS VARCHAR)) - 1 AS DOUBLE) AS label_idx, n FROM c)
+SELECT label_idx, n FROM r UNION ALL
+SELECT CAST((SELECT COUNT(*) FROM c) AS DOUBLE), COUNT(*) FROM orders""",
+    "rating_model_collapsed": _sides("split, COUNT(*) AS n, TRUE AS as_good"),
     "decode_event_bodies": """
 SELECT event_id, CAST(json_extract_string(decode(from_base64(base64(encode(props)))), '$.k') AS BIGINT)
 AS k FROM events""",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from medvoice.functions import columns as C
 from medvoice.functions.lexicon import LEXICON, STOPWORDS
 from medvoice.operators import classifier, profiling, rating_model, terms
 from medvoice.operators.cleaning import clean_reviews, stage_counts
+from medvoice.operators.label_index import LabelIndex
 from medvoice.operators.polarity import polarity_by_join, score_reviews
 from medvoice.operators.quantiles import describe
 from medvoice.operators.sampling import sample_n, with_split
@@ -465,6 +467,32 @@ def q_index_parts_by_rank(spark, sf_dir):
     )
 
 
+@query("condition_index_stage")
+def q_condition_index_stage(spark, sf_dir):
+    """The index as a stage whose labels are a table: stored, loaded, with labels it has not seen."""
+    items = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("part "), "l_partkey").alias("label"))
+    stage = LabelIndex(inputCol="label", outputCol="label_idx").fit(items)
+    folder = new_folder(spark, "index-stage")
+    PipelineModel(stages=[stage]).write().save(folder)
+    asked = items.unionByName(
+        table(spark, sf_dir, "orders").select(
+            F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("order "), "o_orderkey")).alias("label")
+        )
+    )
+    return (
+        PipelineModel.load(folder).transform(asked).groupBy("label_idx").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("rating_model_collapsed")
+def q_rating_model_collapsed(spark, sf_dir):
+    """Rows per side, and whether a fit to cells is as good as one to all rows."""
+    reviews = numeric_reviews(spark, sf_dir)
+    plain, cells = train(reviews).report, train(reviews, bins=64).report
+    both = plain.join(cells.select("split", F.col("rmse").alias("of_cells")), "split")
+    return both.select("split", "n", (F.col("of_cells") < 1.01 * F.col("rmse")).alias("as_good"))
+
+
 @query("rating_model_predictions")
 def q_rating_model_predictions(spark, sf_dir):
     result = train(numeric_reviews(spark, sf_dir))
@@ -637,7 +665,7 @@ def q_rating_model_audit(spark, sf_dir):
     """Rows per side, and whether the model beats the mean on each."""
     reviews = numeric_reviews(spark, sf_dir)
     spread_ = clean_reviews(reviews).agg(F.stddev_samp("rating")).first()[0]
-    report = train(reviews, numTrees=5).report
+    report = train(reviews).report
     return report.select("split", "n", (F.col("rmse") < spread_).alias("better"))
 
 
@@ -647,7 +675,7 @@ def q_rating_model_three_features(spark, sf_dir):
     reviews = numeric_reviews(spark, sf_dir)
     spread_ = clean_reviews(reviews).agg(F.stddev_samp("rating")).first()[0]
     result = train(
-        reviews, numTrees=5, features=(*FEATURES, "condition_idx"), indexed=("condition",)
+        reviews, features=(*FEATURES, "condition_idx"), indexed=("condition",)
     )
     return result.report.select(
         "split", "n", (F.col("rmse") < spread_).alias("better"),
@@ -660,7 +688,7 @@ def q_model_reload_audit(spark, sf_dir):
     """A stored model predicts what the fitted one does."""
     folder = new_folder(spark, "model")
     reviews = numeric_reviews(spark, sf_dir)
-    result = train(reviews, model_path=folder, numTrees=5)
+    result = train(reviews, model_path=folder)
     held = result.predictions.withColumnRenamed("prediction", "before").drop("features")
     both = rating_model.predict(rating_model.load_model(folder), held)
     return both.agg(

@@ -34,6 +34,7 @@ def train(
     model_path: str | None = None,
     features: Sequence[str] = FEATURES,
     indexed: Sequence[str] = (),
+    bins: int | None = None,
     **forest: object,
 ) -> Trained:
     """Clean, fit, evaluate on both sides, optionally store.
@@ -41,7 +42,8 @@ def train(
     Without a holdout table a quarter of the training rows is set aside by key.
     Both sides are cleaned, since a NULL label fails the fit. The report holds
     one row per side. Both sides are one marked table whose columns the model needs are
-    kept while fitting and reporting, so the source is read once for both.
+    kept while fitting and reporting, so the source is read once for both. ``bins`` fits
+    to cells of binned features, whose number does not grow with the table.
     """
     fitting = clean_reviews(train_reviews.drop(*UNUSED))
     if holdout_reviews is None:
@@ -56,7 +58,7 @@ def train(
     narrow = marked.select(*names, LABEL, *used, *indexed, "holdout").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_rating_model(
-            narrow.where(~F.col("holdout")).drop("holdout"), features, seed=seed, indexed=indexed, **forest
+            narrow.where(~F.col("holdout")).drop("holdout"), features, seed=seed, indexed=indexed, bins=bins, **forest
         )
         if model_path:
             save_model(model, model_path)

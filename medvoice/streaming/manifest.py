@@ -98,7 +98,7 @@ def read_files(
     if not paths:
         return spark.createDataFrame([], schema)
     reader = spark.read.format(file_format).schema(schema).options(**(options or {}))
-    return reader.option("basePath", root).load(paths)
+    return reader.option("basePath", root).load(paths).select(*schema.fieldNames())
 
 
 def read_committed(

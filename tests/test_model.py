@@ -136,3 +136,89 @@ def test_extraction_to_training(spark, tmp_path):
     assert table.count() == 120
     report = train(table, table, numTrees=3).report.collect()
     assert all(r.rmse < 1.0 for r in report)
+
+
+# -- Labels as a table, cells instead of rows --------------------------------------
+
+
+def test_label_index_stage(spark, tmp_path, monkeypatch):
+    from pyspark.ml import PipelineModel
+
+    from medvoice.operators import joins
+    from medvoice.operators.label_index import LabelIndex
+
+    labels = [f"l{i % 97}" for i in range(1000)] + ["hot"] * 500 + [None]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(labels)], "condition string, i int")
+    want = {r.condition: r.condition_idx for r in M.fit_label_index(df).transform(df).collect()}
+    stage = LabelIndex(inputCol="condition", outputCol="x").fit(df)
+    path = str(tmp_path / "m")
+    PipelineModel(stages=[stage]).write().overwrite().save(path)
+    PipelineModel(stages=[stage]).write().overwrite().save(path)  # replaces
+    loaded = PipelineModel.load(path)
+    asked = df.unionByName(spark.createDataFrame([("new", 9001)], df.schema))
+    for bound in (joins.MAX_BROADCAST_ROWS, 5):  # broadcast, then salted
+        monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", bound)
+        rows = loaded.transform(asked).collect()
+        assert len(rows) == 1502 and rows[0].__fields__ == ["condition", "i", "x"]
+        assert all(r.x == want.get(r.condition, 98.0) for r in rows)
+        kept = stage.copy().setParams(inputCol="condition", outputCol="x", handleInvalid="skip")
+        assert kept.transform(asked).count() == 1500
+        strict = stage.copy().setParams(inputCol="condition", outputCol="x", handleInvalid="error")
+        with pytest.raises(Exception, match="unknown label"):
+            strict.transform(asked).collect()
+    with pytest.raises(ValueError):
+        loaded.transform(asked.withColumn("x", F.lit(1)))
+
+
+def test_150_000_labels(spark, tmp_path):
+    """Train, store, load and predict with more labels than a model holds; no refusal."""
+    rows = spark.range(200_000).selectExpr(
+        "id AS UniqueID", "concat('c', CASE WHEN id < 150000 THEN id ELSE id % 1000 END) AS condition",
+        "CAST(id % 7 AS int) AS usefulCount", "(id % 11) / 10.0D AS sentiment", "1.0D + id % 10 AS rating",
+    )
+    features = ("usefulCount", "sentiment", "condition_idx")
+    path = str(tmp_path / "m")
+    result = train(rows, model_path=path, features=features, indexed=("condition",), numTrees=1)
+    assert type(result.model.stages[0]).__name__ == "LabelIndexModel"
+    again = M.predict(M.load_model(path), rows.where("UniqueID < 50"))
+    first = M.predict(result.model, rows.where("UniqueID < 50"))
+    assert sorted(r.prediction for r in again.collect()) == sorted(r.prediction for r in first.collect())
+    unknown = rows.limit(3).withColumn("condition", F.lit("never seen"))
+    assert {r.condition_idx for r in M.predict(M.load_model(path), unknown).collect()} == {
+        float(result.model.stages[0].ranks.count())
+    }
+
+
+def test_cells(spark):
+    from medvoice.operators.collapse import collapse
+
+    df = spark.range(30_000).selectExpr("id % 1000 / 7.0D AS a", "CAST(id % 5 AS int) AS b", "id % 3 AS y", "id AS other")
+    cells = collapse(df, ["a", "b"], "y", 16, 4)
+    assert cells.columns == ["a", "b", "y", "weight", "piece"]
+    assert cells.agg(F.sum("weight")).first()[0] == 30_000
+    assert cells.groupBy("a", "b", "y").count().count() <= 16 * 5 * 3 and {r.b for r in cells.collect()} == set(range(5))
+    by_label = {r.y: r.n for r in cells.groupBy("y").agg(F.sum("weight").alias("n")).collect()}
+    assert by_label == {0: 10_000, 1: 10_000, 2: 10_000}
+    assert sorted(map(tuple, cells.collect())) == sorted(map(tuple, collapse(df.repartition(7), ["a", "b"], "y", 16, 4).collect()))
+
+
+def test_collapsed_fit(reviews):
+    rows = clean_reviews(reviews)
+    plain, cells = (train(rows, bins=b) for b in (None, 64))
+    for a, b in zip(plain.report.orderBy("split").collect(), cells.report.orderBy("split").collect()):
+        assert a.n == b.n and b.rmse < 1.02 * a.rmse
+    forests = [
+        M.fit_rating_model(rows.repartition(n), numTrees=3, bins=32).stages[-1].toDebugString.split("\n", 1)[1]
+        for n in (1, 5)
+    ]
+    assert forests[0] == forests[1]
+
+
+def test_parts_follow_the_rows(reviews, monkeypatch):
+    seen = []
+    real = type(reviews).repartition
+    monkeypatch.setattr(type(reviews), "repartition", lambda self, n, *c: (seen.append(n), real(self, n, *c))[1])
+    monkeypatch.setattr(M, "PART_ROWS", 100)
+    rows = clean_reviews(reviews)
+    M.fit_rating_model(rows, numTrees=1)
+    assert seen == [-(-rows.count() // 100)]

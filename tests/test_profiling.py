@@ -93,20 +93,56 @@ def test_rmse(spark):
     assert math.isclose(row[1], math.sqrt((1 + 0) / 2))
 
 
-@pytest.mark.parametrize("kind", ["hot", "distinct", "single", "two"])
-def test_exact_quantiles_against_numpy(spark, kind, monkeypatch):
+@pytest.mark.parametrize("kind", ["hot", "distinct", "single", "two", "wide", "near", "signs", "none"])
+def test_exact_quantiles_against_numpy(spark, kind):
     rng = random.Random(7)
     values = {
         "hot": [0.0] * 700 + [rng.gauss(0, 1) for _ in range(300)],
         "distinct": [rng.random() * 1e6 for _ in range(1500)],
         "single": [3.25],
         "two": [1.0, 2.0],
+        "wide": [10.0 ** rng.uniform(-300, 300) for _ in range(900)] + [1.7e308, 5e-324],
+        "near": [1.0 + k * 2.0**-52 for k in range(300)] + [5e-324 * k for k in range(1, 200)],
+        "signs": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-9, 9) for _ in range(800)] + [0.0, -0.0] * 50,
+        "none": [],
     }[kind]
-    monkeypatch.setattr(quantiles, "RANGES", 7)
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").repartition(3)
     wanted = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
-    row = quantiles.exact_quantiles(df, "x", wanted).first()
-    assert np.allclose(list(row), np.percentile(values, [100 * q for q in wanted]), rtol=1e-12)
+    for cells, keep in ((16, 40), (quantiles.CELLS, quantiles.KEEP)):
+        got = quantiles.exact_quantiles(df, "x", wanted, cells, keep)
+        if values:
+            assert np.allclose(got, np.percentile(values, [100 * q for q in wanted]), rtol=1e-12, atol=1e-323)
+        else:
+            assert got == [None] * 6
+
+
+def test_ordered_values_with_infinities(spark):
+    values = [-math.inf] * 2 + [-1.5, 0.0, 2.5, 2.5] + [math.inf] * 2 + [math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    n, found = quantiles.ordered_values(df, "x", list(range(-1, 12)))
+    assert n == 9 and repr([found[k] for k in range(9)]) == repr(values) and len(found) == 9
+
+
+def test_many_distinct_values_are_not_ordered(spark):
+    """A million distinct values: counters only, at most a row per cell leaves a task."""
+    df = spark.range(1_000_000, numPartitions=8).selectExpr("(id * 7919) % 1000003 AS x")
+    want = np.percentile((np.arange(1_000_000) * 7919) % 1000003, [25, 50, 75])
+    assert quantiles.exact_quantiles(df, "x") == list(want)
+    ranges = [quantiles.Range(0.0, 1000002.0, 0, 1_000_000)]
+    values = df.selectExpr("CAST(x AS double) AS v")
+    numbered = quantiles._numbered(values, ranges)
+    cells = numbered.groupBy("range", quantiles._cell(F.col("v"), F.col("range"), ranges, 1024)).count()
+    assert cells.count() <= 1024 and "Sort" not in cells._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_points(spark):
+    df = spark.range(100_000).selectExpr("CASE WHEN id % 3 = 0 THEN 5.0 ELSE id * 1.0 END AS x")
+    cuts = quantiles.cut_points(df, "x", 16)
+    assert cuts == quantiles.cut_points(df.repartition(5), "x", 16) and 5.0 in cuts and len(cuts) <= 15
+    values = np.where(np.arange(100_000) % 3 == 0, 5.0, np.arange(100_000))
+    parts = np.bincount(np.searchsorted(cuts, values), minlength=len(cuts) + 1)
+    assert parts[1:].max() <= 1.6 * 100_000 / 16 and parts[0] >= 33_333
+    assert quantiles.cut_points(df.where("x IS NULL"), "x", 16) == []
 
 
 def test_describe_and_summary(spark):
