@@ -18,6 +18,7 @@ from medvoice.sources.files import as_parquet, read_reviews_tsv, read_scored_csv
 from medvoice.sources.messages import message_source
 from medvoice.streaming.landing import land_messages
 from medvoice.streaming.scoring import (
+    archive_scored,
     landed_source,
     manifest_source,
     score_landed,
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"medvoice-{args.job}")
     lexicon = read_lexicon(spark, args.lexicon) if getattr(args, "lexicon", None) else LEXICON
     if args.job == "extract":
-        extraction.run(spark, args.raw, args.scored, lexicon, file_format=args.format, split=args.split)
+        print(extraction.run(spark, args.raw, args.scored, lexicon, file_format=args.format, split=args.split))
     elif args.job == "profile":
         raw = as_parquet(read_reviews_tsv(spark, args.raw, split=args.split), new_folder(spark, "reviews"))
         for name, report in reports(raw).items():
@@ -118,6 +119,8 @@ def main(argv: list[str] | None = None) -> None:
             ),
             args.predictions, args.checkpoint,
         ).awaitTermination()
+        if args.archive:
+            archive_scored(spark, args.checkpoint, args.landed, args.archive)
 
 
 if __name__ == "__main__":

@@ -162,6 +162,19 @@ _SCORED_AUDIT = f"""WITH {RT}
 SELECT drugName, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum, COUNT(*) AS n_on_scale
 FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL GROUP BY drugName"""
 
+_LABELS = f"""WITH {TOKENS},
+d AS (SELECT UniqueID, CASE WHEN rating >= 5 THEN 1 ELSE 0 END AS y FROM rt WHERE review IS NOT NULL),
+c AS (SELECT word, COUNT(*) FILTER (WHERE y = 1) AS p, COUNT(*) FILTER (WHERE y = 0) AS n
+      FROM toks JOIN d USING (UniqueID) GROUP BY word),
+a AS (SELECT COUNT(*) AS v, SUM(p) AS p, SUM(n) AS n FROM c),
+w AS (SELECT word, ln((c.p + 1) / CAST(a.p + v AS DOUBLE)) - ln((c.n + 1) / CAST(a.n + v AS DOUBLE)) AS weight FROM c, a),
+prior AS (SELECT ln(COUNT(*) FILTER (WHERE y = 1) + 1) - ln(COUNT(*) FILTER (WHERE y = 0) + 1) AS base FROM d),
+s AS (SELECT UniqueID, SUM(weight) AS score FROM toks JOIN w USING (word) GROUP BY UniqueID)
+SELECT d.UniqueID, CASE WHEN ROUND(COALESCE(score, 0) + base, 9) > 0 THEN 'positive' ELSE 'negative' END AS sentiment
+FROM d LEFT JOIN s USING (UniqueID), prior"""
+_LABEL_AUDIT = f"""WITH {RT}
+SELECT UniqueID, CAST(1 AS BIGINT) AS n_allowed, CAST(1 AS BIGINT) AS n FROM rt WHERE review IS NOT NULL"""
+
 ORACLES: dict[str, str] = {
     "clean_reviews": f"WITH {CLEAN} SELECT * FROM clean",
     "stage_counts": f"""WITH {CLEAN}
@@ -313,8 +326,32 @@ FROM h WHERE condition = 'ECONOMY' AND rating > 8.0 AND usefulCount >= 100 GROUP
     ),
     "model_reload_audit": f"""SELECT n, n AS n_equal FROM ({_sides("split, COUNT(*) AS n")})
 WHERE split = 'holdout'""",
-    "label_sentiment_audit": f"""WITH {RT}
-SELECT UniqueID, CAST(1 AS BIGINT) AS n_allowed, CAST(1 AS BIGINT) AS n FROM rt WHERE review IS NOT NULL""",
+    "label_sentiment": _LABELS,
+    "label_sentiment_audit": _LABEL_AUDIT,
+    "label_sentiment_hashed": _LABEL_AUDIT,
+    "observed_counts": f"""WITH {RT}
+SELECT 'raw' AS stage, COUNT(*) AS n FROM rt
+UNION ALL SELECT 'no_nulls', COUNT(*) FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL
+UNION ALL SELECT stage, COUNT(*) FROM rt, (VALUES ('clean'), ('written')) AS v(stage) WHERE {_CLEAN_TEXT} GROUP BY stage""",
+    "top_parts": """SELECT l_partkey, COUNT(*) AS n FROM lineitem GROUP BY l_partkey
+ORDER BY n DESC, l_partkey LIMIT 50""",
+    "top_parts_by_few": """SELECT CASE WHEN l_partkey % 3 = 0 THEN l_partkey % 20 ELSE l_orderkey + 1000 END AS item,
+COUNT(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, item LIMIT 10""",
+    "sentiment_summary_by_month": f"""WITH {RN}
+SELECT CAST(month(review_ts) AS INTEGER) AS month, COUNT(sentiment) AS count, ROUND(AVG(sentiment), 9) AS mean,
+ROUND(STDDEV_SAMP(sentiment), 9) AS stddev, ROUND(MIN(sentiment), 9) AS min, ROUND(MAX(sentiment), 9) AS max,
+TRUE AS q25_near, TRUE AS q50_near, TRUE AS q75_near FROM rn GROUP BY 1""",
+    "sample_large": """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+ORDER BY md5(CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':1'), l_orderkey, l_linenumber
+LIMIT (SELECT COUNT(*) // 2 FROM lineitem)""",
+    "polarity_sql": f"WITH {POLARITY} SELECT UniqueID, ROUND(sentiment, 9) AS sentiment FROM scored",
+    "archive_audit": f"""WITH {RT}
+SELECT 'archived' AS folder, COUNT(*) AS n, CAST(SUM(UniqueID) AS BIGINT) AS id_sum
+FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL""",
+    "run_stamps": f"WITH {RN} SELECT drugName, COUNT(*) AS n, TRUE AS same FROM rn GROUP BY drugName",
+    "rating_bands": f"""WITH {RN}
+SELECT CASE WHEN rating <= 4 THEN 'low' WHEN rating <= 7 THEN 'middle' ELSE 'high' END AS band, COUNT(*) AS n
+FROM rn WHERE rating IS NOT NULL GROUP BY 1""",
     "polarity_duplicate_keys": f"WITH {POLARITY} SELECT UniqueID AS doc, ROUND(sentiment, 9) AS sentiment FROM scored",
     "long_ids_landed": f"""WITH {RT}
 SELECT UniqueID + 3000000000 AS UniqueID, drugName FROM rt WHERE condition IS NOT NULL AND review IS NOT NULL""",

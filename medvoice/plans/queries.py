@@ -16,19 +16,23 @@ from pyspark.sql import functions as F
 
 from medvoice.functions import columns as C
 from medvoice.functions.lexicon import LEXICON, STOPWORDS
-from medvoice.operators import classifier, profiling, rating_model, terms
+from medvoice.functions.sql import register_polarity
+from medvoice.operators import classifier, profiling, rating_model, sketches, terms
 from medvoice.operators.cleaning import clean_reviews, stage_counts
 from medvoice.operators.label_index import LabelIndex
 from medvoice.operators.polarity import polarity_by_join, score_reviews
 from medvoice.operators.quantiles import describe
-from medvoice.operators.sampling import sample_n, with_split
+from medvoice.operators.sampling import sample_large, sample_n, with_split
+from medvoice.operators.word_bayes import fit_word_bayes, label_by_words
 from medvoice.plans.extraction import extract
+from medvoice.plans.extraction import run as run_extraction
 from medvoice.plans.training import train
 from medvoice.plans.views import numeric_reviews, table, text_reviews
 from medvoice.schemas import FEATURES, LANDED, RAW, SCORED
 from medvoice.sources import files, messages
 from medvoice.streaming.landing import land_messages, read_landed_manifests
 from medvoice.streaming.scoring import (
+    archive_scored,
     landed_source,
     manifest_source,
     predicted_columns,
@@ -81,6 +85,16 @@ def q_stage_counts(spark, sf_dir):
     return stage_counts(numeric_reviews(spark, sf_dir))
 
 
+@query("observed_counts")
+def q_observed_counts(spark, sf_dir):
+    """The same counts from the one job that extracts and writes."""
+    raw, scored = new_folder(spark, "tsv"), new_folder(spark, "scored")
+    files.write_reviews_tsv(text_reviews(spark, sf_dir).select(*RAW.fieldNames()), raw)
+    counts = run_extraction(spark, raw, scored, file_format="parquet")
+    written = spark.read.parquet(scored).agg(F.lit("written").alias("stage"), F.count(F.lit(1)).alias("n"))
+    return files.from_local(spark, list(counts.items()), "stage string, n long").unionByName(written)
+
+
 # --- grouped profiles -------------------------------------------------------------
 
 
@@ -121,6 +135,20 @@ def q_top_conditions(spark, sf_dir):
     return profiling.top_conditions(numeric_reviews(spark, sf_dir))
 
 
+@query("top_parts")
+def q_top_parts(spark, sf_dir):
+    """The most frequent of many values, by a sketch of bounded size and an exact count."""
+    return sketches.top_values(table(spark, sf_dir, "lineitem"), "l_partkey", 50)
+
+
+@query("top_parts_by_few")
+def q_top_parts_by_few(spark, sf_dir):
+    """The same with few values that are far more frequent than the others."""
+    items = table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_partkey") % 3 == 0, F.col("l_partkey") % 20).otherwise(F.col("l_orderkey") + 1000)
+    return sketches.top_values(items.select(key.alias("item")), "item", 10, tracked=500)
+
+
 @query("top_drugs_gt")
 def q_top_drugs_gt(spark, sf_dir):
     return profiling.top_drugs(numeric_reviews(spark, sf_dir), CONDITION, 7.0, False, always=(8.0, 9.0, 10.0))
@@ -161,6 +189,25 @@ def q_sentiment_describe(spark, sf_dir):
     return row.select("count", *[_r(c).alias(c) for c in row.columns if c != "count"])
 
 
+@query("sentiment_summary_by_month")
+def q_sentiment_summary_by_month(spark, sf_dir):
+    """Stored sketches per month and year, merged to months; quartiles by the error of their rank."""
+    reviews = numeric_reviews(spark, sf_dir).select(
+        F.year("review_ts").alias("year"), F.month("review_ts").alias("month"), "sentiment"
+    )
+    parts = materialize(sketches.summary_parts(reviews, "sentiment", ["year", "month"]), "sketches")
+    merged = sketches.summary_of(sketches.merged_parts(parts, ["month"]))
+    near = []
+    for q in (25, 50, 75):
+        below = F.count_if(F.col("sentiment") < F.col(f"q{q}")) / F.count(F.lit(1))
+        upto = F.count_if(F.col("sentiment") <= F.col(f"q{q}")) / F.count(F.lit(1))
+        near.append(((below <= q / 100 + 0.01) & (upto >= q / 100 - 0.01)).alias(f"q{q}_near"))
+    ranks = reviews.join(F.broadcast(merged.select("month", "q25", "q50", "q75")), "month").groupBy("month").agg(*near)
+    return merged.join(ranks, "month").select(
+        "month", "count", *[_r(c).alias(c) for c in ("mean", "stddev", "min", "max")], "q25_near", "q50_near", "q75_near"
+    )
+
+
 @query("price_describe")
 def q_price_describe(spark, sf_dir):
     row = describe(table(spark, sf_dir, "lineitem"), "l_extendedprice")
@@ -256,6 +303,13 @@ def q_sample_n(spark, sf_dir):
     )
 
 
+@query("sample_large")
+def q_sample_large(spark, sf_dir):
+    """Half of all line items, without ordering them."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return sample_large(items, ["l_orderkey", "l_linenumber"], n=items.count() // 2, seed=1)
+
+
 @query("holdout_split")
 def q_holdout_split(spark, sf_dir):
     return (
@@ -389,6 +443,14 @@ def q_review_polarity(spark, sf_dir):
     return scored.select("UniqueID", _r("sentiment").alias("sentiment"))
 
 
+@query("polarity_sql")
+def q_polarity_sql(spark, sf_dir):
+    """The polarity as a function of SQL text."""
+    register_polarity(spark, "review_polarity")
+    text_reviews(spark, sf_dir).createOrReplaceTempView("text_reviews")
+    return spark.sql(f"SELECT UniqueID, round(review_polarity(review), {DIGITS}) AS sentiment FROM text_reviews")
+
+
 @query("review_polarity_large_lexicon")
 def q_review_polarity_large_lexicon(spark, sf_dir):
     """Every word of the texts is a lexicon word: the join form."""
@@ -423,14 +485,26 @@ def q_explode_labels(spark, sf_dir):
 
 @query("label_sentiment")
 def q_label_sentiment(spark, sf_dir):
+    """Labels by word counts, each word with a weight of its own."""
     reviews = _texts(spark, sf_dir).select(
         "UniqueID", F.col("review").alias("text"), C.review_sent("rating").alias("label")
     )
-    model = classifier.fit_text_classifier(reviews)
-    labelled = classifier.label_sentiment(model, reviews.drop("label"))
+    labelled = label_by_words(fit_word_bayes(reviews), reviews.drop("label"))
     return classifier.explode_results(labelled).select("UniqueID", "sentiment")
 
 
+@query("label_sentiment_hashed")
+def q_label_sentiment_hashed(spark, sf_dir):
+    """Labels by a pipeline of Spark ML with a hashed vocabulary; how many rows have one of the two."""
+    reviews = _texts(spark, sf_dir).select(
+        "UniqueID", F.col("review").alias("text"), C.review_sent("rating").alias("label")
+    )
+    model = classifier.fit_text_classifier(reviews)
+    labelled = classifier.explode_results(classifier.label_sentiment(model, reviews.drop("label")))
+    allowed = F.col("sentiment").isin(classifier.NEGATIVE, classifier.POSITIVE)
+    return labelled.groupBy("UniqueID").agg(F.count_if(allowed).alias("n_allowed"), F.count(F.lit(1)).alias("n"))
+
+
 # --- model ------------------------------------------------------------------------------------
 
 
@@ -657,6 +731,44 @@ def q_batch_score_landed(spark, sf_dir):
     )
 
 
+@query("archive_audit")
+def q_archive_audit(spark, sf_dir):
+    """After one run all scored files are in the archive, and none is left."""
+    landed, _ = _land(spark, sf_dir)
+    model = train(numeric_reviews(spark, sf_dir)).model
+    checkpoint, archive, out = (new_folder(spark, n) for n in ("checkpoint", "archive", "predictions"))
+    score_landed(model, landed_source(spark, landed), out, checkpoint).awaitTermination()
+    archive_scored(spark, checkpoint, landed, archive)
+    schema, options = files.landed_layout()
+    rows = [
+        spark.read.schema(schema).options(**options, recursiveFileLookup="true").csv(folder).select(
+            F.lit(name).alias("folder"), "UniqueID"
+        )
+        for name, folder in (("archived", archive), ("waiting", landed))
+    ]
+    return rows[0].unionByName(rows[1]).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("UniqueID").alias("id_sum")
+    )
+
+
+@query("run_stamps")
+def q_run_stamps(spark, sf_dir):
+    """All rows of a run share one sortable stamp."""
+    stamped = numeric_reviews(spark, sf_dir).withColumn("run_ts", C.run_stamp())
+    return stamped.groupBy("drugName").agg(
+        F.count_if(F.col("run_ts").rlike(r"^\d{8}T\d{6}\.\d{6}$")).alias("n"), (F.min("run_ts") == F.max("run_ts")).alias("same")
+    )
+
+
+@query("rating_bands")
+def q_rating_bands(spark, sf_dir):
+    """Reviews by bands that are rows of the program."""
+    bands = files.from_local(spark, [("low", 1.0, 4.0), ("middle", 5.0, 7.0), ("high", 8.0, 99.0)], "band string, least double, most double")
+    reviews = numeric_reviews(spark, sf_dir)
+    joined = reviews.join(F.broadcast(bands), F.col("rating").between(F.col("least"), F.col("most")))
+    return joined.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- audits: what must hold whatever the model, and awkward inputs -------------------------------
 
 

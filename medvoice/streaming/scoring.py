@@ -29,7 +29,7 @@ def landed_source(
 
     With ``archive_path``, which must lie outside ``landed_path``, files of a
     committed batch are moved there when the next batch is planned; a file that
-    has not been scored is never moved.
+    has not been scored is never moved. :func:`archive_scored` moves the rest after a run.
     """
     schema, options = landed_layout(index_column)
     reader = (
@@ -45,6 +45,42 @@ def landed_source(
     return reader.csv(landed_path).select(*LANDED.fieldNames())
 
 
+def committed_sources(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``path`` of the files that committed batches of a file stream have read, from its checkpoint."""
+    entry = F.from_json("value", "path string, timestamp long, batchId long")
+    log = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    done = spark.read.text(f"{checkpoint}/commits").select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)$", 1).cast("long").alias("batchId")
+    )
+    return log.select(entry.alias("e")).select("e.*").join(F.broadcast(done.distinct()), "batchId").select("path").distinct()
+
+
+def archive_scored(spark: SparkSession, checkpoint: str, landed_path: str, archive_path: str) -> int:
+    """Move all landed files that committed batches have scored; the number of files moved.
+
+    What to move is what the stream's log says, so the last batch is included, and a file
+    that arrived meanwhile is not. Files keep their place below the folder. Moving again
+    moves what is left, so a run that was interrupted is made good by the next one.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(landed_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path(f"{checkpoint}/commits")):
+        return 0
+    root = store.makeQualified(path(landed_path)).toUri().getPath()
+    moved = 0
+    for row in committed_sources(spark, checkpoint).collect():
+        source = path(spark._jvm.java.net.URI(row["path"]))
+        place = source.toUri().getPath()
+        if not place.startswith(f"{root}/") or not store.exists(source):
+            continue
+        target = path(f"{archive_path}/{place[len(root) + 1 :]}")
+        store.mkdirs(target.getParent())
+        if not store.rename(source, target):
+            raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
+        moved += 1
+    return moved
+
+
 def predicted_columns(model: PipelineModel, landed: DataFrame) -> DataFrame:
     """Landed rows with their prediction and run stamp, in one pass.
 

@@ -12,7 +12,7 @@ from tests.check import connect, difference
 
 # Queries that start jobs of their own when built; their plans are only a read.
 FIXED = {"rating_model_predictions", "rating_model_rmse", "prediction_sample",
-         "model_reload_predict", "label_sentiment", "stream_score_new", "batch_score_landed"}
+         "model_reload_predict", "stream_score_new", "batch_score_landed"}
 
 
 @pytest.fixture(scope="module")
