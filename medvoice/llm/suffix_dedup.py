@@ -11,13 +11,15 @@ shifts of a difference cover are shared, but with one place in sixteen. Strings
 key that start next to each other form a context.
 
 1. A sketch of all keys drops strings whose key occurs once: they are unique.
-2. Contexts are counted by hash: copies of a context, however many, become one row with
-   their smallest document.
-3. Keys that have several contexts have their contexts' suffixes sorted, a batch of keys
-   at a time. That tells which strings of a context an even earlier document holds.
-   Contexts of a key with more than ``many`` of them are cut into single strings first,
-   which are grouped by themselves.
-4. Every occurrence of a context learns its smallest document, and with that which of its
+2. Neighbouring contexts that are left form blocks, which end where a key's hash says so
+   (about every eighth), so that equal passages have equal blocks but at their ends. Blocks
+   are grouped by 128 bits of their bytes: copies, however many, become one row with their
+   smallest document. In all other documents that hold the block, all its strings go.
+3. What is left to find out is which strings of a distinct block an even earlier document
+   holds in another block. The contexts of distinct blocks whose key occurs in several
+   places meet by key, and their suffixes are sorted, a batch of keys at a time. Contexts of
+   a key with more than ``many`` of them are cut into single strings, which are grouped.
+4. Every occurrence of a block learns its smallest document and, if that is its own, the
    strings to remove; overlapping ones are merged to spans.
 
 Texts are UTF-8 bytes, null is empty. Rows of one id are one document; a missing id
@@ -31,6 +33,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +48,8 @@ BITS, DEPTH = 27, 3
 PIECE = 1 << 21
 SORTED = 1 << 20
 MANY = 10_000
+#: A block ends behind one context in so many, and after the most at the latest.
+CUT, MOST = 8, 64
 
 
 # -- Suffix order -----------------------------------------------------------------
@@ -186,6 +191,19 @@ class _Contexts:
     def texts(self) -> list[bytes]:
         return [self.joined[s : s + m + self.length - 1] for s, m in zip(self.start, self.many)]
 
+    def blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """First context and number of strings of each block of the contexts that are left."""
+        n = len(self.key)
+        if not n:
+            return self.start, self.many
+        apart = np.ones(n, dtype=bool)
+        apart[1:] = (self.start[1:] != self.start[:-1] + self.many[:-1]) | (self.key[:-1] % np.uint64(CUT) == 0)
+        first = np.flatnonzero(apart)
+        # Runs without an end of their own are cut by number.
+        place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+        first = np.flatnonzero(place % MOST == 0)
+        return first, np.add.reduceat(self.many, first)
+
 
 def contexts_of(texts: list[bytes], length: int, gram: int) -> Iterator[_Contexts]:
     """Contexts of whole texts, in pieces; a long text's pieces share ``length - 1`` bytes."""
@@ -206,38 +224,67 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _rows(
-    batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch, what: str
-) -> Iterator[pa.RecordBatch]:
-    """Occurrences of contexts whose keys the sketch reports: places, ids, or texts."""
+def _blocks(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch, spelled: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks of contexts whose keys the sketch reports: with their bytes, or with their places."""
     for batch, texts in arrays.slices(batches, "text", PIECE):
         for found in contexts_of(texts, length, gram):
             found = found.only(sketch.repeated(found.key))
-            if not len(found.key):
+            first, many = found.blocks()
+            if not len(first):
                 continue
-            doc = pa.array(found.doc)
-            columns = {"key": _signed(found.key), "hash": _signed(found.hashes())}
-            if what == "text":
-                columns["context"] = pa.array(found.texts(), pa.binary())
+            start = found.start[first]
+            spell = [found.joined[s : s + m + length - 1] for s, m in zip(start, many)]
+            digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in spell), dtype=np.int64).reshape(-1, 2)
+            doc = pa.array(found.doc[first])
+            columns = {
+                "b1": pa.array(np.ascontiguousarray(digest[:, 0])),
+                "b2": pa.array(np.ascontiguousarray(digest[:, 1])),
+                "id": batch.column(0).take(doc),
+            }
+            if spelled:
+                columns["block"] = pa.array(spell, pa.binary())
             else:
-                columns["id"] = batch.column(0).take(doc)
-            if what == "place":
                 columns["mark"] = batch.column(1).take(doc)
-                columns["at"] = pa.array(found.at)
-                columns["many"] = pa.array(found.many.astype(np.int32))
+                columns["at"] = pa.array(found.at[first])
             yield pa.RecordBatch.from_pydict(columns)
 
 
+def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
+    """Contexts of distinct blocks, of all keys or of those that the sketch reports, with their place."""
+    for batch, blocks in arrays.slices(batches, "block", PIECE):
+        for found in contexts_of(blocks, length, gram):
+            found = found if sketch is None else found.only(sketch.repeated(found.key))
+            if len(found.key):
+                block = pa.array(found.doc)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": _signed(found.key),
+                        "number": batch.column(0).take(block),
+                        "first": batch.column(1).take(block),
+                        "place": pa.array(found.at.astype(np.int32)),
+                        "context": pa.array(found.texts(), pa.binary()),
+                    }
+                )
+
+
+CONTEXTS = "key long, number long, first long, place int, context binary"
+
+
 def _sorted(frames: Iterable[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     """Which strings of the contexts an even earlier document has; rows come in order of key."""
 
     def solve(held: list[pd.DataFrame]) -> pd.DataFrame:
         rows = pd.concat(held, ignore_index=True)
-        least = earliest(list(rows["context"]), rows["first"].to_numpy(), length)
-        bits = [
-            int(((x < f).astype(np.int64) << np.arange(len(x))).sum()) for x, f in zip(least, rows["first"].to_numpy())
-        ]
-        return rows.assign(mask=np.array(bits, dtype=np.int64)).loc[lambda r: r["mask"] != 0, ["key", "hash", "mask"]]
+        # Equal contexts are sorted once, for their smallest document.
+        same, different = pd.factorize(rows["context"])
+        first = rows["first"].to_numpy()
+        smallest = np.full(len(different), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, same, first)
+        least = earliest(list(different), smallest, length)
+        bits = [int(((least[k] < f).astype(np.int64) << np.arange(len(least[k]))).sum()) for k, f in zip(same, first)]
+        sizes = np.array([len(x) for x in least], dtype=np.int32)
+        done = rows.assign(mask=np.array(bits, dtype=np.int64), many=sizes[same])
+        return done.loc[done["mask"] != 0, ["number", "place", "many", "mask"]]
 
     held, size, last = [], 0, None
     for frame in frames:
@@ -255,6 +302,30 @@ def _sorted(frames: Iterable[pd.DataFrame], length: int) -> Iterator[pd.DataFram
         yield solve(held)
 
 
+def _frequent_masks(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for keys of very many contexts: string by string, whatever the key."""
+    strings = contexts.select(
+        "number",
+        "place",
+        "first",
+        (F.octet_length("context") - (length - 1)).alias("many"),
+        F.posexplode(
+            F.transform(
+                F.sequence(F.lit(1), F.octet_length("context") - (length - 1)),
+                lambda p: F.substring("context", p, F.lit(length)),
+            )
+        ).alias("bit", "string"),
+    )
+    least = strings.groupBy("string").agg(F.min("first").alias("least")).withColumn("s", F.xxhash64("string"))
+    return (
+        strings.withColumn("s", F.xxhash64("string"))
+        .join(least.hint("merge"), ["s", "string"])
+        .where("least < first")
+        .groupBy("number", "place", "many")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+    )
+
+
 def repeated_strings(
     docs: DataFrame,
     text: str = "text",
@@ -280,77 +351,60 @@ def repeated_strings(
                 yield found.key
 
     sketch = spark.sparkContext.broadcast(build(source.select("text"), keys, bits, DEPTH))
-    counted = stored(
-        source.mapInArrow(lambda b: _rows(b, length, gram, sketch.value, "id"), "key long, hash long, id long")
-        .groupBy("key", "hash")
-        .agg(F.min("id").alias("first")),
-        "contexts",
+    blocks = stored(
+        source.mapInArrow(
+            lambda b: _blocks(b, length, gram, sketch.value, True), "b1 long, b2 long, id long, block binary"
+        )
+        .groupBy("b1", "b2")
+        .agg(F.min("id").alias("first"), F.first("block").alias("block"))
+        .select(F.monotonically_increasing_id().alias("number"), "first", "block", "b1", "b2"),
+        "blocks",
     )
 
     def keys_again(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in batches:
+        for batch in _block_contexts(batches, length, gram, None):
             yield batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
 
-    # Contexts are a tenth of all keys or less, so a quarter of the counters do.
     several = spark.sparkContext.broadcast(
-        build(counted.select("key"), keys_again, max(bits - 2, SEGMENT_BITS), DEPTH)
+        build(blocks.select("number", "first", "block"), keys_again, max(bits - 2, SEGMENT_BITS), DEPTH)
     )
-    spelled = (
-        source.mapInArrow(
-            lambda b: _rows(b, length, gram, several.value, "text"), "key long, hash long, context binary"
-        )
-        .groupBy("key", "hash")
-        .agg(F.first("context").alias("context"))
+    contexts = blocks.select("number", "first", "block").mapInArrow(
+        lambda b: _block_contexts(b, length, gram, several.value), CONTEXTS
     )
-    # The sketch of distinct contexts reports some keys of one context too; sorting those is harmless.
-    unclear = stored(counted.join(spelled.hint("merge"), ["key", "hash"]), "unclear")
-    frequent = unclear.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
-    usual = unclear.join(frequent.hint("merge"), "key", "left_anti")
+    # At most one key for every ``many`` contexts, most often none.
+    frequent = contexts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    frequent = stored(frequent, "frequent")
+    any_frequent = not frequent.isEmpty()
+    usual = contexts.join(F.broadcast(frequent), "key", "left_anti") if any_frequent else contexts
     masks = (
         usual.repartition("key")
-        .sortWithinPartitions("key", "hash")
-        .mapInPandas(lambda f: _sorted(f, length), "key long, hash long, mask long")
-    )
-    strings = unclear.join(frequent.hint("merge"), "key", "left_semi").select(
-        "key",
-        "hash",
-        "first",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.octet_length("context") - (length - 1)),
-                lambda p: F.substring("context", p, F.lit(length)),
-            )
-        ).alias("place", "string"),
-    )
-    least = strings.groupBy("key", "string").agg(F.min("first").alias("least")).withColumn("s", F.xxhash64("string"))
-    single = (
-        strings.withColumn("s", F.xxhash64("string"))
-        .join(least.hint("merge"), ["key", "s", "string"])
-        .where("least < first")
-        .groupBy("key", "hash")
-        .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask"))
+        .sortWithinPartitions("key")
+        .mapInPandas(lambda f: _sorted(f, length), "number long, place int, many int, mask long")
     )
+    if any_frequent:
+        masks = masks.unionByName(_frequent_masks(contexts.join(F.broadcast(frequent), "key", "left_semi"), length))
+    parts = masks.groupBy("number").agg(F.collect_list(F.struct("place", "many", "mask")).alias("parts"))
     known = (
-        counted.join(masks.unionByName(single).hint("merge"), ["key", "hash"], "left")
-        .select("key", "hash", "first", F.coalesce("mask", F.lit(0)).alias("mask"))
-        .withColumn("k", F.xxhash64("key", "hash"))
+        blocks.select("number", "first", "b1", "b2", (F.octet_length("block") - (length - 1)).alias("many"))
+        .join(parts.hint("merge"), "number", "left")
+        .drop("number")
+        .withColumn("b", F.xxhash64("b1", "b2"))
     )
     places = source.mapInArrow(
-        lambda b: _rows(b, length, gram, sketch.value, "place"),
-        "key long, hash long, id long, mark long, at long, many int",
-    ).withColumn("k", F.xxhash64("key", "hash"))
+        lambda b: _blocks(b, length, gram, sketch.value, False), "b1 long, b2 long, id long, mark long, at long"
+    ).withColumn("b", F.xxhash64("b1", "b2"))
+    whole = F.array(F.struct(F.col("at"), F.col("many"), F.lit(-1).cast("long").alias("mask")))
+    some = F.transform(
+        "parts", lambda p: F.struct((F.col("at") + p["place"]).alias("at"), p["many"].alias("many"), p["mask"].alias("mask"))
+    )
     # The hash as a further key makes both sides be dealt out for the join, so that Spark
-    # can split the part of a frequent context.
+    # can split the part of a frequent block.
     return (
-        places.join(known.hint("merge"), ["k", "key", "hash"])
-        .where("id > first OR mask <> 0")
-        .select(
-            "id",
-            "mark",
-            F.struct("at", "many", F.when(F.col("id") > F.col("first"), F.lit(-1)).otherwise(F.col("mask")).alias("mask")).alias("s"),
-        )
+        places.join(known.hint("merge"), ["b", "b1", "b2"])
+        .where("id > first OR parts IS NOT NULL")
+        .select("id", "mark", F.when(F.col("id") > F.col("first"), whole).otherwise(some).alias("s"))
         .groupBy("id", "mark")
-        .agg(F.collect_list("s").alias("starts"))
+        .agg(F.flatten(F.collect_list("s")).alias("starts"))
     )
 
 
