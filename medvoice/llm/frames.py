@@ -31,7 +31,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: what is there outlives executors, and is computed once.
     """
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +45,9 @@ from medvoice.llm.sketch import SEGMENT_BITS, Sketch, build
 
 LENGTH, GRAM = 50, 20
 BITS, DEPTH = 27, 3
-#: Bytes of text looked at or sorted together.
-PIECE = 1 << 21
+#: Bytes of text looked at together (arrays of that length fit in a cache), taken, and sorted.
+PIECE = 1 << 16
+SLICE = 1 << 20
 SORTED = 1 << 20
 MANY = 10_000
 #: A block ends behind one context in so many, and after the most at the latest.
@@ -76,7 +78,7 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate((one, two))
     # Sort the sampled triples.
-    small = int(s.max()) < 1 << 20
+    small = max(int(s.max()), n) < (1 << 21) - 2
     if small:
         packed = (t[sample] << 42) | (t[sample + 1] << 21) | t[sample + 2]
         named = np.unique(packed, return_inverse=True)[1] + 1
@@ -102,10 +104,13 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
     # Merge: how many sampled suffixes of either kind come before each of the others.
     first, second = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     before = np.searchsorted(t[first] * top + rank[first + 1], t[rest] * top + rank[rest + 1])
-    pairs = _names(np.concatenate((t[second], t[rest])), np.concatenate((t[second + 1], t[rest + 1])))
-    before = before + np.searchsorted(
-        pairs[: len(second)] * top + rank[second + 2], pairs[len(second) :] * top + rank[rest + 2]
-    )
+    if small:
+        before = before + np.searchsorted(*((t[x] << 42) | (t[x + 1] << 21) | rank[x + 2] for x in (second, rest)))
+    else:
+        pairs = _names(np.concatenate((t[second], t[rest])), np.concatenate((t[second + 1], t[rest + 1])))
+        before = before + np.searchsorted(
+            pairs[: len(second)] * top + rank[second + 2], pairs[len(second) :] * top + rank[rest + 2]
+        )
     out = np.empty(n, dtype=np.int64)
     at = before + np.arange(len(rest))
     out[at] = rest
@@ -115,14 +120,13 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def earliest(contexts: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each string of ``length`` in each context the least id among equal strings."""
+def earliest(contexts: list[bytes], ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of ``length`` the least id among equal strings; and each context's first one."""
     sizes = np.array([len(c) for c in contexts], dtype=np.int64)
     text = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     first = np.cumsum(sizes) - sizes
-    starts = np.zeros(len(text), dtype=bool)
     owner = np.repeat(np.arange(len(contexts)), sizes)
-    starts[:] = np.arange(len(text)) - first[owner] <= sizes[owner] - length
+    starts = np.arange(len(text)) - first[owner] <= sizes[owner] - length
     order = suffix_order(text.astype(np.int64) + 1)
     order = order[starts[order]]
     # Compare the prefixes of neighbours, eight bytes at a time.
@@ -136,7 +140,7 @@ def earliest(contexts: list[bytes], ids: np.ndarray, length: int) -> list[np.nda
     least = np.minimum.reduceat(ids[owner[order]], heads)
     out = np.zeros(len(text), dtype=np.int64)
     out[order] = np.repeat(least, np.diff(np.append(heads, len(order))))
-    return [out[a : a + n - length + 1] for a, n in zip(first, sizes)]
+    return out[starts], np.cumsum(sizes - length + 1) - (sizes - length + 1)
 
 
 # -- Contexts ---------------------------------------------------------------------
@@ -154,7 +158,8 @@ class _Contexts:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(data * up[:n], out=sums[1:])
         self.sums, self.down = sums, down
-        grams = arrays.mix((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+        # The upper bits order the runs; only those that are chosen are mixed to keys.
+        grams = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
         place = np.uint64((1 << 24) - 1)
         least = (grams & ~place) | np.arange(len(grams), dtype=np.uint64)
         have, reach = 1, length - gram + 1
@@ -174,7 +179,7 @@ class _Contexts:
         head = np.flatnonzero(new)
         self.many = np.diff(np.append(head, len(start)))
         self.start = start[head]
-        self.key = grams[chosen[head]]
+        self.key = arrays.mix(grams[chosen[head]])
         part = np.searchsorted(begin, self.start, side="right") - 1
         self.doc = np.array([d for d, _, _ in parts], dtype=np.int64)[part]
         self.at = self.start - begin[part] + np.array([a for _, a, _ in parts], dtype=np.int64)[part]
@@ -226,7 +231,7 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 def _blocks(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch, spelled: bool) -> Iterator[pa.RecordBatch]:
     """Blocks of contexts whose keys the sketch reports: with their bytes, or with their places."""
-    for batch, texts in arrays.slices(batches, "text", PIECE):
+    for batch, texts in arrays.slices(batches, "text", SLICE):
         for found in contexts_of(texts, length, gram):
             found = found.only(sketch.repeated(found.key))
             first, many = found.blocks()
@@ -251,7 +256,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: S
 
 def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
     """Contexts of distinct blocks, of all keys or of those that the sketch reports, with their place."""
-    for batch, blocks in arrays.slices(batches, "block", PIECE):
+    for batch, blocks in arrays.slices(batches, "block", SLICE):
         for found in contexts_of(blocks, length, gram):
             found = found if sketch is None else found.only(sketch.repeated(found.key))
             if len(found.key):
@@ -270,36 +275,61 @@ def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, s
 CONTEXTS = "key long, number long, first long, place int, context binary"
 
 
-def _sorted(frames: Iterable[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def masks_of(key: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Strings in each context, and which of them a context of a smaller document has (as bits)."""
+    # Equal contexts are looked at once, for their smallest document.
+    same, different = pd.factorize(np.array(contexts, dtype=object))
+    sizes = np.array([len(c) - length + 1 for c in different], dtype=np.int64)
+    smallest = np.full(len(different), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, same, first)
+    # Only contexts that share a key with others need their suffixes sorted.
+    at = np.zeros(len(different), dtype=key.dtype)
+    at[same] = key
+    _, group, times = np.unique(at, return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(times[group] > 1)
+    begin = np.cumsum(sizes) - sizes
+    least = np.repeat(smallest, sizes)
+    if len(mixed):
+        found, offset = earliest([different[k] for k in mixed], smallest[mixed], length)
+        inside = np.arange(len(found)) - np.repeat(offset, sizes[mixed])
+        least[np.repeat(begin[mixed], sizes[mixed]) + inside] = found
+    many = sizes[same]
+    head = np.cumsum(many) - many
+    bit = np.arange(int(many.sum())) - np.repeat(head, many)
+    earlier = least[np.repeat(begin[same], many) + bit] < np.repeat(first, many)
+    return many, np.add.reduceat(earlier.astype(np.int64) << bit, head)
+
+
+def _sorted(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Which strings of the contexts an even earlier document has; rows come in order of key."""
 
-    def solve(held: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(held, ignore_index=True)
-        # Equal contexts are sorted once, for their smallest document.
-        same, different = pd.factorize(rows["context"])
-        first = rows["first"].to_numpy()
-        smallest = np.full(len(different), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, same, first)
-        least = earliest(list(different), smallest, length)
-        bits = [int(((least[k] < f).astype(np.int64) << np.arange(len(least[k]))).sum()) for k, f in zip(same, first)]
-        sizes = np.array([len(x) for x in least], dtype=np.int32)
-        done = rows.assign(mask=np.array(bits, dtype=np.int64), many=sizes[same])
-        return done.loc[done["mask"] != 0, ["number", "place", "many", "mask"]]
-
-    held, size, last = [], 0, None
-    for frame in frames:
-        cuts = np.flatnonzero(np.diff(frame["key"].to_numpy())) + 1
-        for group in np.split(np.arange(len(frame)), cuts):
-            part = frame.iloc[group]
-            key = part["key"].iloc[0]
-            if size > SORTED and key != last:
-                yield solve(held)
-                held, size = [], 0
-            held.append(part)
-            size += int(part["context"].str.len().sum())
-            last = key
+    def solve(rows: pa.Table) -> pa.RecordBatch:
+        key, number, first, place = (rows.column(i).to_numpy() for i in range(4))
+        many, mask = masks_of(key, first, rows.column(4).to_pylist(), length)
+        yes = np.flatnonzero(mask)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number[yes]), pa.array(place[yes]), pa.array(many[yes].astype(np.int32)), pa.array(mask[yes])],
+            names=["number", "place", "many", "mask"],
+        )
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.column(4).nbytes
+        if size > SORTED:
+            # All but the last key, of which more may come.
+            rows = pa.Table.from_batches(held)
+            key = rows.column(0).to_numpy()
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield solve(rows.slice(0, last))
+            held = rows.slice(last).to_batches()
+            size = sum(b.column(4).nbytes for b in held) if last else 0
     if held:
-        yield solve(held)
+        yield solve(pa.Table.from_batches(held))
 
 
 def _frequent_masks(contexts: DataFrame, length: int) -> DataFrame:
@@ -346,7 +376,7 @@ def repeated_strings(
     source = docs.select(id_of(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for _, texts in arrays.slices(batches, "text", PIECE):
+        for _, texts in arrays.slices(batches, "text", SLICE):
             for found in contexts_of(texts, length, gram):
                 yield found.key
 
@@ -379,7 +409,7 @@ def repeated_strings(
     masks = (
         usual.repartition("key")
         .sortWithinPartitions("key")
-        .mapInPandas(lambda f: _sorted(f, length), "number long, place int, many int, mask long")
+        .mapInArrow(lambda b: _sorted(b, length), "number long, place int, many int, mask long")
     )
     if any_frequent:
         masks = masks.unionByName(_frequent_masks(contexts.join(F.broadcast(frequent), "key", "left_semi"), length))
@@ -439,30 +469,46 @@ def drop_repeated_strings(
     taken gets an underscore at its end.
     """
     added = [unused(docs, n) for n in ("n_bytes", "spans", "kept")]
+    key, mark = unused(docs, "_at_id"), unused(docs, "_at_mark")
     starts = repeated_strings(docs, text, doc_id, length, gram, bits, many).select(
-        F.col("id").alias("_at_id"), F.col("mark").alias("_at_mark"), F.col("starts").alias("_starts")
+        F.col("id").alias(key), F.col("mark").alias(mark), F.col("starts").alias("_starts")
     )
-    joined = docs.join(
-        starts.hint("merge"), (id_of(doc_id) == F.col("_at_id")) & (F.xxhash64(text) == F.col("_at_mark")), "left"
-    ).select(*[docs[c] for c in docs.columns], "_starts")
     at = docs.columns.index(text)
     names = [*docs.columns, *added]
     shape = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    # The texts are all that is large in the last join, so they travel compressed.
+    marked = docs.select("*", id_of(doc_id).alias(key), F.xxhash64(text).alias(mark))
+    packed_schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType) for i, f in enumerate(marked.schema)])
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [None if t is None else squeeze(t) for t in batch.column(at).cast(pa.binary()).to_pylist()]
+            columns = list(batch.columns)
+            columns[at] = pa.array(texts, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    joined = marked.mapInArrow(pack, packed_schema).join(starts.hint("merge"), [key, mark], "left").select(*docs.columns, "_starts")
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts = arrays.texts_of(batch.column(at))
+            packed = batch.column(at).to_pylist()
+            own = [None if t is None else unpack(t) for t in packed]
             kept, ranges = [], []
-            for t, found in zip(texts, batch.column(batch.num_columns - 1).to_pylist()):
+            for t, found in zip(own, batch.column(batch.num_columns - 1).to_pylist()):
+                t = t or b""
                 cut = spans(len(t), found, length) if found else []
                 stops = [0, *(x for pair in cut for x in pair), len(t)]
                 kept.append(b"".join(t[a:b] for a, b in zip(stops[::2], stops[1::2])) if cut else t)
                 ranges.append([{"start": a, "end": b} for a, b in cut])
+            columns = list(batch.columns[:-1])
+            columns[at] = pa.array(own, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(i) for i in range(batch.num_columns - 1)),
-                    pa.array([len(t) for t in texts], pa.int64()),
+                    *columns,
+                    pa.array([len(t or b"") for t in own], pa.int64()),
                     pa.array(ranges, span_type),
                     pa.array(kept, pa.binary()),
                 ],

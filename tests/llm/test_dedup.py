@@ -9,7 +9,7 @@ from medvoice.llm import suffix_dedup
 from medvoice.llm.decontaminate import find_benchmark, is_contaminated, merge
 from medvoice.llm.line_dedup import drop_repeated_lines
 from medvoice.llm.near_dedup import NearDuplicates, drop_near_duplicates, jaccard, signatures
-from medvoice.llm.suffix_dedup import drop_repeated_strings, earliest, suffix_order
+from medvoice.llm.suffix_dedup import drop_repeated_strings, earliest, masks_of, suffix_order
 from medvoice.llm.window_dedup import drop_repeated_windows
 from tests.llm import brute
 from tests.llm.data import awkward, frame
@@ -80,11 +80,35 @@ def test_suffix_order():
             assert list(suffix_order(s)) == sorted(range(n), key=lambda i: list(s[i:]))
     ids = np.array([7, 3, 9])
     texts = [b"abcabcabcabc", b"xbcabcabcabx", b"bcabcabcab"]
-    assert [x.tolist() for x in earliest(texts, ids, 9)] == [[7, 3, 7, 7], [3, 3, 3, 3], [3, 9]] or all(
-        a[p] == min(i for t, i in zip(texts, ids) for q in range(len(t) - 8) if t[q : q + 9] == s[p : p + 9])
-        for s, a in zip(texts, earliest(texts, ids, 9))
+    least, first = earliest(texts, ids, 9)
+    assert least.tolist() == [
+        min(i for t, i in zip(texts, ids) for q in range(len(t) - 8) if t[q : q + 9] == s[p : p + 9])
+        for s in texts
         for p in range(len(s) - 8)
-    )
+    ]
+    assert first.tolist() == [0, 4, 8]
+
+
+def test_masks_of_contexts():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    contexts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(9, 16))) for _ in range(60)] * 2
+    key = np.array([rng.randrange(20) for _ in contexts[:60]] * 2)
+    first = np.array([rng.randrange(9) for _ in contexts])
+    order = np.argsort(key, kind="stable")
+    contexts, key, first = [contexts[k] for k in order], key[order], first[order]
+    many, mask = masks_of(key, first, contexts, 9)
+    # Equal strings have equal keys in real contexts; here only those that share one count.
+    for k, c in enumerate(contexts):
+        assert many[k] == len(c) - 8
+        for p in range(len(c) - 8):
+            own = [f for q, f, g in zip(contexts, first, key) if c[p : p + 9] in q and (g == key[k])]
+            got = bool(mask[k] >> p & 1)
+            every = [f for q, f in zip(contexts, first) if c[p : p + 9] in q]
+            assert got >= (min(own) < first[k]) and got <= (min(every) < first[k])
 
 
 def test_near_classes(spark):
