@@ -31,8 +31,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -120,12 +120,18 @@ def suffix_order(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def earliest(contexts: list[bytes], ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _spelled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, one value after the other, and where each begins and the last ends."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets.astype(np.int64) - offsets[0]
+
+
+def earliest(contexts: pa.Array, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For each string of ``length`` the least id among equal strings; and each context's first one."""
-    sizes = np.array([len(c) for c in contexts], dtype=np.int64)
-    text = np.frombuffer(b"".join(contexts), dtype=np.uint8)
-    first = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(contexts)), sizes)
+    text, offsets = _spelled(contexts)
+    first, sizes = offsets[:-1], np.diff(offsets)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     starts = np.arange(len(text)) - first[owner] <= sizes[owner] - length
     order = suffix_order(text.astype(np.int64) + 1)
     order = order[starts[order]]
@@ -158,8 +164,10 @@ class _Contexts:
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(data * up[:n], out=sums[1:])
         self.sums, self.down = sums, down
-        # The upper bits order the runs; only those that are chosen are mixed to keys.
+        # Stirred enough to order the runs by; only those that are chosen are mixed to keys.
         grams = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
+        grams ^= grams >> np.uint64(32)
+        grams *= np.uint64(arrays.BYTE_BASES[1])
         place = np.uint64((1 << 24) - 1)
         least = (grams & ~place) | np.arange(len(grams), dtype=np.uint64)
         have, reach = 1, length - gram + 1
@@ -275,11 +283,12 @@ def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, s
 CONTEXTS = "key long, number long, first long, place int, context binary"
 
 
-def masks_of(key: np.ndarray, first: np.ndarray, contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+def masks_of(key: np.ndarray, first: np.ndarray, contexts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Strings in each context, and which of them a context of a smaller document has (as bits)."""
     # Equal contexts are looked at once, for their smallest document.
-    same, different = pd.factorize(np.array(contexts, dtype=object))
-    sizes = np.array([len(c) - length + 1 for c in different], dtype=np.int64)
+    encoded = contexts.dictionary_encode()
+    same, different = encoded.indices.to_numpy(), encoded.dictionary
+    sizes = np.diff(_spelled(different)[1]) - length + 1
     smallest = np.full(len(different), np.iinfo(np.int64).max)
     np.minimum.at(smallest, same, first)
     # Only contexts that share a key with others need their suffixes sorted.
@@ -290,7 +299,7 @@ def masks_of(key: np.ndarray, first: np.ndarray, contexts: list[bytes], length:
     begin = np.cumsum(sizes) - sizes
     least = np.repeat(smallest, sizes)
     if len(mixed):
-        found, offset = earliest([different[k] for k in mixed], smallest[mixed], length)
+        found, offset = earliest(different.take(pa.array(mixed)), smallest[mixed], length)
         inside = np.arange(len(found)) - np.repeat(offset, sizes[mixed])
         least[np.repeat(begin[mixed], sizes[mixed]) + inside] = found
     many = sizes[same]
@@ -305,7 +314,7 @@ def _sorted(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         key, number, first, place = (rows.column(i).to_numpy() for i in range(4))
-        many, mask = masks_of(key, first, rows.column(4).to_pylist(), length)
+        many, mask = masks_of(key, first, rows.column(4).combine_chunks(), length)
         yes = np.flatnonzero(mask)
         return pa.RecordBatch.from_arrays(
             [pa.array(number[yes]), pa.array(place[yes]), pa.array(many[yes].astype(np.int32)), pa.array(mask[yes])],
@@ -333,12 +342,11 @@ def _sorted(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 
 
 def _frequent_masks(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for keys of very many contexts: string by string, whatever the key."""
-    strings = contexts.select(
-        "number",
-        "place",
-        "first",
-        (F.octet_length("context") - (length - 1)).alias("many"),
+    """The same for keys of very many contexts: string by string of their different contexts, whatever the key."""
+    different = contexts.groupBy("context").agg(F.min("first").alias("smallest"))
+    strings = different.select(
+        "context",
+        "smallest",
         F.posexplode(
             F.transform(
                 F.sequence(F.lit(1), F.octet_length("context") - (length - 1)),
@@ -346,13 +354,28 @@ def _frequent_masks(contexts: DataFrame, length: int) -> DataFrame:
             )
         ).alias("bit", "string"),
     )
-    least = strings.groupBy("string").agg(F.min("first").alias("least")).withColumn("s", F.xxhash64("string"))
-    return (
+    least = strings.groupBy("string").agg(F.min("smallest").alias("least")).withColumn("s", F.xxhash64("string"))
+    # Strings whose smallest document holds another context: what equal contexts do not tell.
+    others = (
         strings.withColumn("s", F.xxhash64("string"))
         .join(least.hint("merge"), ["s", "string"])
-        .where("least < first")
-        .groupBy("number", "place", "many")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
+        .where("least < smallest")
+        .groupBy("context")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bit", "least"))).alias("others"))
+    )
+    known = different.join(others.hint("merge"), "context", "left").withColumn("c", F.xxhash64("context"))
+    many = F.octet_length("context") - (length - 1)
+    bits = F.transform(
+        F.sequence(F.lit(0), many - 1),
+        lambda k: F.when(
+            F.coalesce(F.try_element_at("others", k), F.col("smallest")) < F.col("first"), F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        ).otherwise(F.lit(0).cast("long")),
+    )
+    return (
+        contexts.withColumn("c", F.xxhash64("context"))
+        .join(known.hint("merge"), ["c", "context"])
+        .select("number", "place", many.alias("many"), F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a + b).alias("mask"))
+        .where("mask <> 0")
     )
 
 
@@ -412,7 +435,8 @@ def repeated_strings(
         .mapInArrow(lambda b: _sorted(b, length), "number long, place int, many int, mask long")
     )
     if any_frequent:
-        masks = masks.unionByName(_frequent_masks(contexts.join(F.broadcast(frequent), "key", "left_semi"), length))
+        shared = stored(contexts.join(F.broadcast(frequent), "key", "left_semi"), "frequent-contexts")
+        masks = masks.unionByName(_frequent_masks(shared, length))
     parts = masks.groupBy("number").agg(F.collect_list(F.struct("place", "many", "mask")).alias("parts"))
     known = (
         blocks.select("number", "first", "b1", "b2", (F.octet_length("block") - (length - 1)).alias("many"))
@@ -438,20 +462,27 @@ def repeated_strings(
     )
 
 
-def spans(n: int, starts: list[dict], length: int) -> list[tuple[int, int]]:
-    """The ranges of bytes that the strings cover, merged."""
-    change = np.zeros(n + length + 1, dtype=np.int32)
-    for s in starts:
-        if s["mask"] == -1:
-            change[s["at"]] += 1
-            change[s["at"] + s["many"] + length - 1] -= 1
-        else:
-            at = s["at"] + np.flatnonzero((s["mask"] >> np.arange(s["many"])) & 1)
-            np.add.at(change, at, 1)
-            np.add.at(change, at + length, -1)
-    covered = np.concatenate(([0], (np.cumsum(change[:n]) > 0).astype(np.int8), [0]))
-    edge = np.diff(covered)
-    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
+def spans(sizes: np.ndarray, doc: np.ndarray, at: np.ndarray, many: np.ndarray, mask: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ranges of bytes that the strings of some texts cover, merged: text number, start, end."""
+    begin = np.cumsum(sizes) - sizes
+    whole = mask == -1
+    first = begin[doc] + at
+    bits = np.where(whole, 0, mask)
+    single = [first[(bits >> k) & 1 == 1] + k for k in range(int(many[~whole].max(initial=0)))]
+    start = np.concatenate((first[whole], *single))
+    stop = np.concatenate((first[whole] + many[whole] + length - 1, *(x + length for x in single)))
+    change = np.zeros(int(sizes.sum()) + 1, dtype=np.int32)
+    np.add.at(change, start, 1)
+    np.add.at(change, stop, -1)
+    covered = np.cumsum(change[:-1]) > 0
+    edge = np.diff(covered.astype(np.int8), prepend=0)
+    heads = np.zeros(len(covered) + 1, dtype=bool)
+    heads[begin] = True  # a range ends with its text
+    heads = heads[:-1]
+    starts = np.flatnonzero((edge == 1) | (covered & heads))
+    ends = np.flatnonzero(np.concatenate((covered[:-1] & (~covered[1:] | heads[1:]), covered[-1:]))) + 1
+    owner = np.searchsorted(begin, starts, side="right") - 1
+    return owner, starts - begin[owner], ends - begin[owner]
 
 
 def drop_repeated_strings(
@@ -476,7 +507,6 @@ def drop_repeated_strings(
     at = docs.columns.index(text)
     names = [*docs.columns, *added]
     shape = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     # The texts are all that is large in the last join, so they travel compressed.
     marked = docs.select("*", id_of(doc_id).alias(key), F.xxhash64(text).alias(mark))
     packed_schema = T.StructType([T.StructField(f.name, T.BinaryType() if i == at else f.dataType) for i, f in enumerate(marked.schema)])
@@ -494,25 +524,31 @@ def drop_repeated_strings(
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            packed = batch.column(at).to_pylist()
-            own = [None if t is None else unpack(t) for t in packed]
-            kept, ranges = [], []
-            for t, found in zip(own, batch.column(batch.num_columns - 1).to_pylist()):
-                t = t or b""
-                cut = spans(len(t), found, length) if found else []
-                stops = [0, *(x for pair in cut for x in pair), len(t)]
-                kept.append(b"".join(t[a:b] for a, b in zip(stops[::2], stops[1::2])) if cut else t)
-                ranges.append([{"start": a, "end": b} for a, b in cut])
+            own = [None if t is None else unpack(t) for t in batch.column(at).to_pylist()]
+            sizes = np.array([len(t or b"") for t in own], dtype=np.int64)
+            found = batch.column(batch.num_columns - 1)
+            parts = found.flatten()
+            doc = np.repeat(np.arange(len(own)), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+            fields = [np.asarray(f).astype(np.int64) for f in parts.flatten()]
+            # Empty texts have no place of their own, and no strings.
+            full = np.flatnonzero(sizes > 0)
+            rank = np.zeros(len(own), dtype=np.int64)
+            rank[full] = np.arange(len(full))
+            owner, start, end = spans(sizes[full], rank[doc], *fields, length) if len(doc) else (doc, doc, doc)
+            cuts = np.searchsorted(full[owner], np.arange(len(own) + 1)) if len(doc) else np.zeros(len(own) + 1, dtype=np.int64)
+            kept = []
+            low, high = start.tolist(), end.tolist()
+            for i, t in enumerate(own):
+                t, a, b = t or b"", int(cuts[i]), int(cuts[i + 1])
+                kept.append(t if a == b else b"".join(t[x:y] for x, y in zip([0, *high[a:b]], [*low[a:b], len(t)])))
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(own, pa.binary()).cast(pa.string())
+            ranges = pa.ListArray.from_arrays(
+                pa.array(cuts.astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(start), pa.array(end)], names=["start", "end"]),
+            )
             yield pa.RecordBatch.from_arrays(
-                [
-                    *columns,
-                    pa.array([len(t or b"") for t in own], pa.int64()),
-                    pa.array(ranges, span_type),
-                    pa.array(kept, pa.binary()),
-                ],
-                names=names,
+                [*columns, pa.array(sizes), ranges, pa.array(kept, pa.binary())], names=names
             )
 
     schema = with_fields(docs.schema, (added[0], T.LongType()), (added[1], shape), (added[2], T.BinaryType()))

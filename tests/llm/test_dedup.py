@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def test_suffix_order():
             assert list(suffix_order(s)) == sorted(range(n), key=lambda i: list(s[i:]))
     ids = np.array([7, 3, 9])
     texts = [b"abcabcabcabc", b"xbcabcabcabx", b"bcabcabcab"]
-    least, first = earliest(texts, ids, 9)
+    least, first = earliest(pa.array(texts, pa.binary()), ids, 9)
     assert least.tolist() == [
         min(i for t, i in zip(texts, ids) for q in range(len(t) - 8) if t[q : q + 9] == s[p : p + 9])
         for s in texts
@@ -100,7 +101,7 @@ def test_masks_of_contexts():
     first = np.array([rng.randrange(9) for _ in contexts])
     order = np.argsort(key, kind="stable")
     contexts, key, first = [contexts[k] for k in order], key[order], first[order]
-    many, mask = masks_of(key, first, contexts, 9)
+    many, mask = masks_of(key, first, pa.array(contexts, pa.binary()), 9)
     # Equal strings have equal keys in real contexts; here only those that share one count.
     for k, c in enumerate(contexts):
         assert many[k] == len(c) - 8
