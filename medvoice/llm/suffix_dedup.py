@@ -474,7 +474,7 @@ def spans(sizes: np.ndarray, doc: np.ndarray, at: np.ndarray, many: np.ndarray,
     change = np.zeros(int(sizes.sum()) + 1, dtype=np.int32)
     np.add.at(change, start, 1)
     np.add.at(change, stop, -1)
-    covered = np.cumsum(change[:-1]) > 0
+    covered = np.cumsum(change[:-1], dtype=np.int32) > 0
     edge = np.diff(covered.astype(np.int8), prepend=0)
     heads = np.zeros(len(covered) + 1, dtype=bool)
     heads[begin] = True  # a range ends with its text
@@ -523,8 +523,9 @@ def drop_repeated_strings(
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            own = [None if t is None else unpack(t) for t in batch.column(at).to_pylist()]
+        for batch, packed in arrays.slices(batches, text, SLICE):
+            # A packed text has bytes, be it empty.
+            own = [unpack(t) if t else None for t in packed]
             sizes = np.array([len(t or b"") for t in own], dtype=np.int64)
             found = batch.column(batch.num_columns - 1)
             parts = found.flatten()
