@@ -49,7 +49,8 @@ BITS, DEPTH = 27, 3
 PIECE = 1 << 16
 SLICE = 1 << 20
 SORTED = 1 << 20
-MANY = 10_000
+#: Contexts of one key that a task sorts at once, some 3 MB of them.
+MANY = 50_000
 #: A block ends behind one context in so many, and after the most at the latest.
 CUT, MOST = 8, 64
 
