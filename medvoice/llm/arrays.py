@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # Bytes handled at once; the arrays made for a piece take about 60 times as much.
 PIECE = 1 << 20
@@ -27,6 +28,10 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
+# Words of more bytes are named by xxh3: a polynomial modulo 2**64 gives some pairs of long
+# strings one value whatever its base (the shortest known have 1,024 bytes).
+LONG = 64
+
 # Odd multipliers of the two polynomial hashes over bytes and of the two over words.
 BYTE_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 WORD_BASES = (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)
@@ -67,12 +72,13 @@ def rolling(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray)
 
 @dataclass
 class Words:
-    """Words of some texts: text number, first byte and end within that text, hash."""
+    """Words of some texts: text number, first byte and end within that text, hash, and another one if asked for."""
 
     doc: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
+    other: np.ndarray | None = None
 
     def of_doc(self, n: int) -> np.ndarray:
         """Offsets of each text's words: text d has words offsets[d] to offsets[d + 1]."""
@@ -105,10 +111,24 @@ def _pieces(texts: list[bytes], table: np.ndarray) -> Iterator[list[tuple[int, i
         yield parts
 
 
+def word_hashes(data: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``."""
+    hashed = rolling(data.astype(np.uint64) + np.uint64(1), base, start, end)
+    for i in np.flatnonzero(end - start > LONG):
+        hashed[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes(), seed=base & _MASK)
+    return hashed
+
+
 def words(
-    texts: list[bytes], table: np.ndarray = VISIBLE, lower: bool = False, base: int = BYTE_BASES[0]
+    texts: list[bytes],
+    table: np.ndarray = VISIBLE,
+    lower: bool = False,
+    bases: tuple[int, ...] = BYTE_BASES[:1],
 ) -> Words:
-    """All words of the texts, in order; a word is a longest run of bytes in ``table``."""
+    """All words of the texts, in order; a word is a longest run of bytes in ``table``.
+
+    Two ``bases`` give a second, independent hash of each word.
+    """
     if lower:
         texts = [t.translate(LOWER) for t in texts]
     out: list[tuple[np.ndarray, ...]] = []
@@ -116,15 +136,15 @@ def words(
         data = np.frombuffer(b"\n".join(texts[d][a:b] for d, a, b in parts), dtype=np.uint8)
         edge = np.diff(np.concatenate(([False], table[data], [False])).view(np.int8))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        hashed = rolling(data.astype(np.uint64) + np.uint64(1), base, start, end)
+        hashed = [word_hashes(data, base, start, end) for base in bases]
         number, at, to = (np.array(x, dtype=np.int64) for x in zip(*parts))
         first = np.concatenate(([0], np.cumsum(to - at + 1)[:-1]))
         part = np.searchsorted(first, start, side="right") - 1
         shift = (at - first)[part]
-        out.append((number[part], start + shift, end + shift, hashed))
+        out.append((number[part], start + shift, end + shift, *hashed))
     if not out:
         none = np.zeros(0, dtype=np.int64)
-        return Words(none, none, none, np.zeros(0, dtype=np.uint64))
+        return Words(none, none, none, *(np.zeros(0, dtype=np.uint64) for _ in bases))
     return Words(*(np.concatenate(x) for x in zip(*out)))
 
 

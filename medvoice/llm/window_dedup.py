@@ -8,7 +8,8 @@ is an overestimate of that, so no repeated window is lost. Partitions build thei
 and the parts are merged by range.
 
 Pass 2, exact grouping of what is estimated repeated. Neighbouring windows of one chosen
-run form a block, identified by 128 bits of its words. Equal blocks are counted first,
+run form a block, identified by 128 bits: two hashes of 64, each made of a hash of its words
+that is independent of the other's. Equal blocks are counted first,
 which reduces copies of any number to one row; then the windows of the distinct blocks
 are counted, a block's count being the weight of its windows.
 
@@ -40,8 +41,8 @@ class _Windows:
 
     def __init__(self, texts: list[bytes], width: int):
         run = (width + 1) // 2
-        found = arrays.words(texts)
-        self.hash, self.width = found.hash, width
+        found = arrays.words(texts, bases=arrays.BYTE_BASES)
+        self.hash, self.other, self.width = found.hash, found.other, width
         self.offsets = found.of_doc(len(texts))
         self.start, _ = self._starts(width)
         where, self.runs = arrays.windows(self.hash, self.offsets, run)
@@ -60,7 +61,8 @@ class _Windows:
         return first, np.diff(np.concatenate((first, [len(self.chosen)])))
 
     def hashed(self, start: np.ndarray, length: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(arrays.rolling(self.hash, b, start, start + length) for b in arrays.WORD_BASES)
+        both = zip((self.hash, self.other), arrays.WORD_BASES)
+        return tuple(arrays.rolling(h, b, start, start + length) for h, b in both)
 
 
 def _occurrences(

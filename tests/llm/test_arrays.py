@@ -88,3 +88,53 @@ def test_sketch_misses_no_repeat(spark):
 
         assert (pickle.loads(pickle.dumps(built)).repeated(every) == said).all()
     assert isinstance(table.limit(1).toArrow(), pa.Table)
+
+
+def unlike_words():
+    """Two words of 1,024 letters that polynomials modulo 2**64 cannot tell apart."""
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_are_told_apart():
+    import numpy as np
+
+    from medvoice.llm import arrays
+
+    a, b = (w.encode() for w in unlike_words())
+    plain = [np.frombuffer(w, dtype=np.uint8).astype(np.uint64) + np.uint64(1) for w in (a, b)]
+    ends = np.array([0]), np.array([1024])
+    assert arrays.rolling(plain[0], arrays.BYTE_BASES[0], *ends) == arrays.rolling(plain[1], arrays.BYTE_BASES[0], *ends)
+    found = arrays.words([a + b" x", b"x " + b, a + a, a], bases=arrays.BYTE_BASES)
+    for hashes in (found.hash, found.other):
+        assert hashes[0] == hashes[5] != hashes[3] and hashes[1] == hashes[2] and len(set(hashes.tolist())) == 4
+
+
+def test_queries_with_long_words(spark, tmp_path):
+    """The registered queries over texts that differ in such words only."""
+    from medvoice.llm.queries import QUERIES
+
+    a, b = unlike_words()
+    tail = " ".join(f"w{i}" for i in range(34))
+    docs = [(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, a), (4, b), (5, "else " * 20), (6, f"{b} {tail}")]
+    folder = str(tmp_path)
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    items = [("i", a), ("j", "q " * 13)]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+    def rows(name):
+        return {r.doc_id: r for r in QUERIES[name](spark, folder).collect()}
+
+    windows = rows("op9_substring_dedup")
+    assert {k: r.n_removed for k, r in windows.items()} == {1: 0, 2: 35, 3: 0, 4: 0, 5: 0, 6: 35}
+    classes = rows("op10_minhash_near_dedup")
+    assert classes[3].class_id == 3 and classes[4].class_id == 4 and classes[6].class_id == classes[2].class_id
+    hits = rows("op5_benchmark_decontamination")
+    assert {k: r.n_hit for k, r in hits.items()} == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0, 6: 0}
+    import zlib
+
+    train = [(i, t) for i, t in docs if zlib.crc32(str(i).encode()) % 5 != 1]
+    known = {w for _, t in train for w in t.split()}
+    scored = rows("op4_lm_scoring")
+    for i, t in docs:
+        assert scored[i].n_known == sum(w in known for w in t.split()) + 1
