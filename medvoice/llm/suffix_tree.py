@@ -1,18 +1,23 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Symbols are the words that make up at least ``SYMBOL`` of the training tokens (so there
-are at most 1 / ``SYMBOL`` of them), the end of a text, and one symbol for all other
-words. The tree's root is the smoothed unigram distribution; inside the symbol for other
-words they keep their unigram proportions, so a tree of nothing but the root gives
-exactly the base score.
-
-A context of one to ``DEPTH`` symbols is a candidate if it makes up ``CONTEXT`` of the
-training tokens, and a next symbol after it if both together make up ``JOINT``; that
-bounds the tree, whatever the size of the corpus. A context is kept if the distribution
-after it diverges from the one after its longest kept suffix by enough to gain ``GAIN``
-nats on the training tokens. Next symbols have their counts smoothed by the distribution
-of the suffix, the rest of the probability goes to the other symbols as the suffix has
-them. A text's words are scored by the longest kept context before each.
+Symbols are the words that occur often enough in the training texts, the end of a text,
+and one symbol for all other words. The tree's root is the smoothed unigram distribution;
+inside the symbol for other words they keep their unigram proportions, so a tree of
+nothing but the root gives exactly the base score.
+
+A context of one to ``depth`` symbols is tested if it occurs often enough, with the next
+symbols that occur often enough after it. It is kept if the distribution after it diverges
+from the one after its longest kept suffix by enough to gain ``GAIN`` nats on the training
+tokens. Next symbols have their counts smoothed by the distribution of the suffix, the rest
+of the probability goes to the other symbols as the suffix has them. A text's words are
+scored by the longest kept context before each.
+
+"Often enough" is a number of times that rises more slowly than the corpus: a constant
+(``SYMBOL``, ``CONTEXT``, ``JOINT``) times the training tokens to the power of ``POWER``,
+and a few at least. So symbols, contexts and next symbols grow without end, with the power
+of 0.4 of the tokens: 16 times as many for a corpus 1,000 times as large. They are part of
+what every task holds: of 10**13 tokens at most 3 * 10**7 next symbols of one length, of 16
+bytes each, and a tenth of that where words are as uneven as in natural text.
 
 All counts are over all training texts: those of symbols and contexts are summed in the
 tasks and then by key, those of other words meet the documents in one shuffle by word.
@@ -33,7 +38,7 @@ from pyspark.sql import functions as F
 from medvoice.llm import arrays
 from medvoice.llm.frames import forget, stored
 
-SYMBOL, CONTEXT, JOINT = 2e-6, 2e-4, 1e-6
+SYMBOL, CONTEXT, JOINT, POWER = 0.002, 0.02, 0.005, 0.6
 DEPTH, LEAST, GAIN, SMOOTH = 3, 5, 20.0, 5.0
 HELD = 4_000_000
 
@@ -42,6 +47,11 @@ def is_held_out(doc_id: str, folds: int = 5, fold: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def often_enough(tokens: int, factor: float, least: float) -> float:
+    """How often something must occur among so many tokens to be part of the tree."""
+    return max(least, factor * tokens**POWER)
+
+
 def _summed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Different keys and their summed counts."""
     keys = np.concatenate([k for k, _ in pairs])
@@ -50,7 +60,11 @@ def _summed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counts(batch_keys: Iterable[np.ndarray], least_share: float = 0.0) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's keys; with a share, only of keys of at least that share of them."""
+    """Counts of a task's keys; with a share, only of keys of at least that share of them.
+
+    A key that has a share of all keys has it in one of their parts at least, so a share
+    loses none of those; their counts are to be made by another pass.
+    """
     held, size, total = [], 0, 0
 
     def out() -> pa.RecordBatch:
@@ -199,19 +213,18 @@ class Model:
         training = self.source.where("train").select("text")
         spark = docs.sparkSession
 
-        def word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            return _counts((arrays.words(t, lower=True).hash for _, t in arrays.slices(batches, "text")), symbol)
-
         sizes = training.agg(F.count("*").alias("docs"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("n")).first()
         self.ends = sizes["docs"]
         self.tokens = (sizes["n"] or 0) + self.ends
-        often = (
-            training.mapInArrow(word_counts, "key long, n long")
-            .groupBy("key")
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= max(2.0, symbol * self.tokens))
-        ).toArrow()
-        words = np.sort(often.column("key").to_numpy().view(np.uint64))
+        least = {k: often_enough(self.tokens, f, low) for k, f, low in (("word", symbol, 2), ("context", context, LEAST), ("joint", joint, LEAST))}
+        share = least["word"] / max(1, self.tokens)
+
+        def word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _counts((arrays.words(t, lower=True).hash for _, t in arrays.slices(batches, "text")), share)
+
+        # Words that may be often enough; the pass over symbols counts them.
+        named = training.mapInArrow(word_counts, "key long, n long").select("key").distinct().toArrow()
+        words = np.sort(named.column("key").to_numpy().view(np.uint64))
         none = np.zeros(0)
         self.tree = Tree(words, none, none)
         size = self.tree.size
@@ -241,14 +254,20 @@ class Model:
                 got = counted.toArrow()
                 counts = np.zeros(size, dtype=np.int64)
                 counts[got.column("key").to_numpy()] = got.column("n").to_numpy()
-                self.tree.counts = counts
                 forget(counted)
+                # Named words that are not often enough after all are other words.
+                often = counts[:-2] >= least["word"]
+                rare = counts[:-2][~often].sum()
+                words = words[often]
+                counts = np.concatenate((counts[:-2][often], [counts[-2], counts[-1] + rare]))
+                self.tree = Tree(words, counts, none)
+                size = self.tree.size
                 self._count_other_words()
-                usable = np.flatnonzero(counts >= max(LEAST, context * self.tokens)).astype(np.int64)
+                usable = np.flatnonzero(counts >= least["context"]).astype(np.int64)
                 usable = usable[usable != len(words)]  # nothing follows the end
                 continue
             totals = counted.groupBy(F.expr(f"key div {size}").alias("c")).agg(F.sum("n").alias("n")).toArrow()
-            pairs = counted.where(F.col("n") >= max(LEAST, joint * self.tokens)).toArrow()
+            pairs = counted.where(F.col("n") >= least["joint"]).toArrow()
             forget(counted)
             order = np.argsort(pairs.column("key").to_numpy())
             key, n = pairs.column("key").to_numpy()[order], pairs.column("n").to_numpy()[order]
@@ -257,7 +276,7 @@ class Model:
                 break
             whole = usable[key // size]
             _grow(self.tree, whole, key % size, n, all_)
-            longer = (n >= max(LEAST, context * self.tokens)) & (key % size != len(words))
+            longer = (n >= least["context"]) & (key % size != len(words))
             # Longer contexts end with a context that was a candidate; keys stay ascending.
             usable = np.sort(whole[longer] * size + key[longer] % size)
             if not len(usable):

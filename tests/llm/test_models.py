@@ -93,7 +93,7 @@ def test_lm(spark):
     rows = ROWS + [(i, " ".join(["red blue green gold"] * rng.randrange(3, 9)) + " " + sentence(rng, 9)) for i in range(200, 300)]
     rows = [r for r in rows if rows.count(r) == 1 or r[0] == 80]
     table = frame(spark, rows, more=("row", "score"))
-    model = Model(table, ~is_held_out("doc_id"), context=1e-3, joint=1e-4)
+    model = Model(table, ~is_held_out("doc_id"))
     tokens = [[*brute.VISIBLE.findall(brute.utf8(t).translate(brute.LOWER)), None] for _, t in rows]
     held = [i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
     counts = Counter(w for own, h in zip(tokens, held) if not h for w in own)
@@ -115,6 +115,97 @@ def test_lm(spark):
     assert patterned and all(r.score > r.base_score for r in patterned)
 
 
+def brute_tree(texts, train):
+    """log10 probability of each text by a suffix tree in dictionaries."""
+    from medvoice.llm import suffix_tree as S
+
+    tokens = [[w.decode() for w in brute.VISIBLE.findall(brute.utf8(t).translate(brute.LOWER))] + [None] for t in texts]
+    counts = Counter(w for own, yes in zip(tokens, train) if yes for w in own)
+    n, v = sum(counts.values()), len(counts)
+    least = [S.often_enough(n, f, low) for f, low in ((S.SYMBOL, 2), (S.CONTEXT, S.LEAST), (S.JOINT, S.LEAST))]
+    named = {w for w, c in counts.items() if c >= least[0] or w is None}
+    other = "<other>"
+    whole = n + 0.5 * (v + 1)
+    root = {w: (counts[w] + 0.5) / whole for w in named}
+    other_whole = max(whole - sum(counts[w] + 0.5 for w in named), 0.5)
+    root[other] = other_whole / whole
+    texts_ = [[w if w in named else other for w in own] for own in tokens]
+    follows = {}
+    for own, yes in zip(texts_, train):
+        for i, w in enumerate(own if yes else []):
+            for k in range(1, S.DEPTH + 1):
+                if i >= k:
+                    follows.setdefault(tuple(own[i - k : i]), Counter())[w] += 1
+    tree = {(): root}
+    tested = {(w,) for w in root if sum(x.count(w) for x, yes in zip(texts_, train) if yes) >= least[1] and w is not None}
+
+    def prob(context, w):
+        while context not in tree:
+            context = context[1:]
+        if context == ():
+            return root[w]
+        own, rest = tree[context]
+        return own[w] if w in own else rest * prob(context[1:], w)
+
+    for _ in range(S.DEPTH):
+        new, found = set(), {}
+        for context in tested:
+            after = {w: c for w, c in follows.get(context, {}).items() if c >= least[2]}
+            total = sum(follows.get(context, {}).values())
+            if not after:
+                continue
+            new |= {context + (w,) for w, c in after.items() if c >= least[1] and w is not None}
+            before = {w: prob(context[1:], w) for w in after}
+            own = {w: (c + S.SMOOTH * before[w]) / (total + S.SMOOTH) for w, c in after.items()}
+            left, was = 1 - min(sum(own.values()), 1 - 1e-12), 1 - min(sum(before.values()), 1 - 1e-12)
+            gain = total * (sum(p * math.log(p / before[w]) for w, p in own.items()) + left * math.log(left / was))
+            if gain >= S.GAIN:
+                found[context] = (own, left / was)
+        tree.update(found)
+        tested = new
+    out = []
+    for own, raw in zip(texts_, tokens):
+        score = 0.0
+        for i, w in enumerate(own):
+            score += math.log10(prob(tuple(own[max(0, i - S.DEPTH) : i]), w))
+            if w == other:
+                score += math.log10((counts[raw[i]] + 0.5) / other_whole)
+        out.append(score)
+    return out, len(tree) - 1
+
+
+def lm_rows(n, seed=11):
+    rng = random.Random(seed)
+    words = [f"w{int(1 / (0.0003 + rng.random()))}" for _ in range(20_000)]
+    return [
+        (i, " ".join([rng.choice(["red blue", "green gold blue", "so it goes on"])] * rng.randrange(4) + rng.choices(words, k=rng.randrange(60))))
+        for i in range(n)
+    ]
+
+
+def test_lm_against_a_tree_in_dictionaries(spark):
+    rows = ROWS[:40] + lm_rows(500)
+    rows = [(1000 + k, t) for k, (_, t) in enumerate(rows)]
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows]
+    want, kept = brute_tree([t for _, t in rows], train)
+    assert kept > 10
+    scores = []
+    for parts in (1, 7):  # the layout changes nothing
+        model = Model(frame(spark, rows, parts=parts), ~is_held_out("doc_id"))
+        assert len(model.tree.parents) == kept
+        scores.append({r.id: r.score for r in model.scores().collect()})
+        for (i, _), w in zip(rows, want):
+            assert scores[-1][i] == pytest.approx(w, abs=1e-6)
+
+
+def test_lm_grows_with_the_input(spark):
+    sizes = []
+    for n in (300, 1500, 6000):
+        tree = Model(frame(spark, lm_rows(n)), ~is_held_out("doc_id")).tree
+        sizes.append((len(tree.words), len(tree.parents), len(tree.entries)))
+    assert all(a < b for one, two in zip(sizes, sizes[1:]) for a, b in zip(one, two)), sizes
+
+
 def test_lm_of_nothing(spark):
     assert Model(frame(spark, []), ~is_held_out("doc_id")).scores().count() == 0
     found = Model(frame(spark, [(1, None), (2, "")]), ~is_held_out("doc_id")).scores().collect()
