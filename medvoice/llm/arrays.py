@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-# Bytes handled at once; the arrays made for a piece take about 60 times as much.
-PIECE = 1 << 20
+# Bytes handled at once, so few that the arrays made for them stay near the processor; and
+# bytes of text taken at once, for which arrays of 60 times as much may be made.
+PIECE = 1 << 17
+SLICE = 4 << 20
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -161,7 +163,7 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 * PIECE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Row ranges of the batches with about ``most`` bytes of text (at least one row) each."""
     for batch in batches:
         texts = texts_of(batch.column(batch.schema.get_field_index(column)))

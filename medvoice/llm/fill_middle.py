@@ -36,7 +36,7 @@ RATE, SPM_RATE = 90, 20
 ERROR = 120
 # Boundaries fitted at once, and bytes of text handed on at once.
 STEP = 256
-SLICE = 8 * arrays.PIECE
+SLICE = 8 << 20
 
 
 def boundaries(text: str) -> np.ndarray:

@@ -97,6 +97,8 @@ class Tree:
     words: np.ndarray
     counts: np.ndarray
     root: np.ndarray
+    #: Symbols that contexts may end with.
+    last: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=bool))
     #: Per kept context: its key, parent (-1: root), and log10 of what unkept symbols get.
     contexts: list[np.ndarray] = field(default_factory=list)
     first: list[int] = field(default_factory=list)
@@ -122,19 +124,20 @@ class Tree:
         return found, every, doc, np.arange(len(every)) - begin[doc]
 
     def keys(self, symbols: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Key of the ``length`` symbols before each place, and whether there are so many."""
+        """Key of the ``length`` symbols before each place, and where they may be a context."""
         key = np.zeros(len(symbols), dtype=np.int64)
         for back in range(length, 0, -1):
             key = key * self.size + np.concatenate((np.zeros(min(back, len(symbols)), dtype=np.int64), symbols[:-back]))
-        return key, place >= length
+        before = np.concatenate((np.zeros(min(1, len(symbols)), dtype=np.int64), symbols[:-1]))
+        return key, np.flatnonzero((place >= length) & self.last[before])
 
     def states(self, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The longest kept context before each place, -1 for the root."""
         state = np.full(len(symbols), -1, dtype=np.int64)
         for length, contexts in enumerate(self.contexts, 1):
-            key, whole = self.keys(symbols, place, length)
-            at = place_in(contexts, key)
-            state = np.where(whole & (at >= 0), at + self.first[length - 1], state)
+            key, some = self.keys(symbols, place, length)
+            at = place_in(contexts, key[some])
+            state[some[at >= 0]] = at[at >= 0] + self.first[length - 1]
         return state
 
     def log10(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -241,9 +244,9 @@ class Model:
                         if not length:
                             yield every
                             continue
-                        key, whole = tree.keys(every, place, length)
-                        at = np.where(whole, place_in(candidates, key), -1)
-                        yield at[at >= 0] * tree.size + every[at >= 0]
+                        key, some = tree.keys(every, place, length)
+                        at = place_in(candidates, key[some])
+                        yield at[at >= 0] * tree.size + every[some[at >= 0]]
 
                 return _counts(keys())
 
@@ -265,6 +268,7 @@ class Model:
                 self._count_other_words()
                 usable = np.flatnonzero(counts >= least["context"]).astype(np.int64)
                 usable = usable[usable != len(words)]  # nothing follows the end
+                self.tree.last = np.isin(np.arange(size), usable)
                 continue
             totals = counted.groupBy(F.expr(f"key div {size}").alias("c")).agg(F.sum("n").alias("n")).toArrow()
             pairs = counted.where(F.col("n") >= least["joint"]).toArrow()

@@ -39,7 +39,7 @@ PARTS = 1 + len(HEADS) + len(TAILS)
 #: A part is taken if at least so many toxic documents (and that share of them) hold it,
 #: so many times as often as others, and too often for chance among all parts tried.
 RATIO, LEAST, SHARE = 4.0, 3, 1e-3
-SLICE = 2 * arrays.PIECE
+SLICE = 2 << 20
 
 
 def is_held_out(doc_id: str, folds: int = 5, fold: int = 0) -> Column:
