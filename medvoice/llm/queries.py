@@ -160,7 +160,7 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from medvoice.llm.secrets import fit
+    from medvoice.llm.secrets import find, fit_found
 
     def labelled(found: DataFrame) -> DataFrame:
         """Findings whose nature is plain: values given to a key-like name, and known harmless forms, ordinary words among them."""
@@ -175,9 +175,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return found.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label IS NOT NULL")
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, words = find(docs)
     return (
-        fit(docs, labelled)
-        .scan(docs)
+        fit_found(found, words, labelled)
+        .judge(found)
         .select(
             F.col("id").alias("doc_id"), "at", "value", "probability", (F.col("probability") >= 0.5).alias("is_secret")
         )

@@ -256,6 +256,58 @@ def test_secret_candidates(spark):
     assert all(marks[i] == (1, 1) for i in (1, 2, 3, 7))
 
 
+def test_secret_forms(spark):
+    rows = [
+        (1, "password = P@ssw0rd!23x", "P@ssw0rd!23x"), (2, "DB_PASSWORD='x9$kL2#mQ7'", "x9$kL2#mQ7"),
+        (3, "password = s3cr3t#tail99", "s3cr3t#tail99"), (4, "Authorization: Bearer abcd1234efgh", "abcd1234efgh"),
+        (5, "passwort = geheim12345", "geheim12345"), (6, 'das "Kennwort": "süß&gut77"', "süß&gut77"),
+        (7, "la contraseña: lobo#verde9, y más", "lobo#verde9"), (8, "le jeton:  a1b2c3d4e5", "a1b2c3d4e5"),
+        (9, "send Bearer zz11yy22xx33.", "zz11yy22xx33"), (10, "a\u0001b token=abcd\u0001efgh\u0001 x", "abcd\u0002efgh\u0002"),
+        (11, "keyboard = something", None), (12, "the password was long", None), (13, "at 12:30:45:59:10 sharp", None),
+    ]
+    found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string, want string")).collect()
+    assert sorted((r.id, r.value) for r in found) == [(i, v) for i, _, v in rows if v]
+    assert all(rows[r.id - 1][1][r.at :].replace("\u0001", "\u0002").startswith(r.value) for r in found)
+    marks = secrets.described(secrets.candidates(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")), []).collect()
+    assert all((r.key_word, r.assigned) == (1, 1) for r in marks)
+
+
+def test_very_many_candidates_in_a_text(spark):
+    import time
+
+    text = " ".join(f"x{i:020d}" for i in range(200_000))
+    begun = time.time()
+    row = secrets.candidates(frame(spark, [(1, text)])).agg(F.count("*"), F.max("at"), F.min("at")).first()
+    assert tuple(row) == (200_000, 199_999 * 22, 0) and time.time() - begun < 10
+
+
+def test_planted_secrets(spark):
+    """Recall and precision on held-out documents with secrets of several forms."""
+    rng = random.Random(21)
+    kinds = ['token = "{}"', "api_key={}", "my password: {}", "Authorization: Bearer {}", "passwort = {}"]
+    rows, truth = [], {}
+    for i in range(400):
+        words, more = sentence(rng, 15), sentence(rng, 15)
+        if i % 2:
+            size = rng.choice([12, 20, 32])
+            truth[i] = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNP23456789") for _ in range(size))
+            words += " " + rng.choice(kinds).format(truth[i])
+        else:
+            words += rng.choice([" https://www.example.org/a/long/page", " 1234567890123456", " counterrevolutionary", " key: important"])
+        rows.append((i, f"{words} {more}"))
+    table = frame(spark, rows)
+
+    def labelled(found):
+        yes = F.col("id") % 2 == 1
+        known = F.col("value").isin(*truth.values())
+        return found.where("id < 200").withColumn("label", F.when(yes & known, 1.0).otherwise(0.0))
+
+    found = [r for r in secrets.fit(table, labelled).scan(table).collect() if r.id >= 200 and r.probability >= 0.5]
+    want = {(i, v) for i, v in truth.items() if i >= 200}
+    got = {(r.id, r.value) for r in found}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(want)
+
+
 def test_secrets_without_labels(spark):
     table = frame(spark, [(1, "x 1234567890123456789 y"), (2, None)])
     model = secrets.fit(table, lambda found: found.withColumn("label", F.lit(1.0)).where("false"))
