@@ -25,13 +25,13 @@ def id_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The table, written once to the shared folder and read from there.
 
     Cuts the lineage: what is there outlives executors, and is computed once.
     """
     folder = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

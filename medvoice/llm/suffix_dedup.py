@@ -413,6 +413,7 @@ def repeated_strings(
         .agg(F.min("id").alias("first"), F.first("block").alias("block"))
         .select(F.monotonically_increasing_id().alias("number"), "first", "block", "b1", "b2"),
         "blocks",
+        "zstd",
     )
 
     def keys_again(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
