@@ -54,7 +54,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i below n, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, PIECE + 64)
+        size = max(n, (1 << 20) + 64)  # enough for most slices, so that it is made once
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b & _MASK, dtype=np.uint64)
