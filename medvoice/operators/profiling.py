@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medvoice.workspace import materialize
-
 # Fixed values of the two product reports.
 MIN_USEFUL = 100
 TOP_CONDITIONS = 5
@@ -71,26 +69,23 @@ def crosstab(
 
     NULL keys are left out and an absent pair counts 0. One conditional count per
     value needs a single shuffle; a pivot would need two. Give ``values`` when
-    they are known, or only some are wanted. Otherwise the pairs are counted and written
-    first, the values looked up in that small table, and those in ``always`` added: the
-    rows are read once in either case.
+    they are known, or only some are wanted; otherwise they are looked up first, and
+    those in ``always`` are added.
     """
-    if values is not None:
-        kept = df.where(F.col(row).isNotNull() & F.col(column).isin(list(values)))
-        return kept.groupBy(row).agg(
-            *[F.count_if(F.col(column) == F.lit(v)).alias(_label(v)) for v in values]
-        )
-    pairs = materialize(crosstab_long(df, row, column), "pairs")
-    head = pairs.select(column).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
-    if len(head) > MAX_CROSSTAB_COLUMNS:
-        raise ValueError(
-            f"{column} has over {MAX_CROSSTAB_COLUMNS} values; crosstab_long has no such bound"
-        )
-    found = sorted({*(r[0] for r in head), *always})
-    if not found:
-        return pairs.select(row)
-    return pairs.groupBy(row).agg(
-        *[F.sum(F.when(F.col(column) == F.lit(v), F.col("n")).otherwise(0)).alias(_label(v)) for v in found]
+    kept = df.where(F.col(row).isNotNull() & F.col(column).isNotNull())
+    if values is None:
+        head = kept.select(column).distinct().limit(MAX_CROSSTAB_COLUMNS + 1).collect()
+        if len(head) > MAX_CROSSTAB_COLUMNS:
+            raise ValueError(
+                f"{column} has over {MAX_CROSSTAB_COLUMNS} values; crosstab_long has no such bound"
+            )
+        values = sorted({*(r[0] for r in head), *always})
+    else:
+        kept = kept.where(F.col(column).isin(list(values)))
+    if not values:
+        return kept.select(row).distinct()
+    return kept.groupBy(row).agg(
+        *[F.count_if(F.col(column) == F.lit(v)).alias(_label(v)) for v in values]
     )
 
 
