@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-# Bytes handled at once, so few that the arrays made for them stay near the processor; and
-# bytes of text taken at once, for which arrays of 60 times as much may be made.
-PIECE = 1 << 17
+# Bytes handled at once, for which arrays of 60 times as much are made; and bytes of text
+# taken at once. Smaller pieces are quicker, but leave a worker's memory in fragments.
+PIECE = 1 << 20
 SLICE = 4 << 20
 
 WHITE = np.zeros(256, dtype=bool)
@@ -54,7 +54,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i below n, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, (1 << 20) + 64)  # enough for most slices, so that it is made once
+        size = max(n, PIECE + 64)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b & _MASK, dtype=np.uint64)
