@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Bytes handled at once, for which arrays of 60 times as much are made; and bytes of text
-# taken at once. Smaller pieces are quicker, but leave a worker's memory in fragments.
-PIECE = 1 << 20
-SLICE = 4 << 20
+# taken at once, with about 50 times as much in arrays. Both bound what a worker needs.
+PIECE = 1 << 19
+SLICE = 2 << 20
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -54,7 +55,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64 for i below n, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, PIECE + 64)
+        size = max(n, 2 * len(have[0]) if have else 1 << 16)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b & _MASK, dtype=np.uint64)
@@ -166,14 +167,14 @@ def texts_of(column: pa.Array) -> list[bytes]:
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Row ranges of the batches with about ``most`` bytes of text (at least one row) each."""
     for batch in batches:
-        texts = texts_of(batch.column(batch.schema.get_field_index(column)))
+        values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(sizes, dtype=np.int64)
         at = 0
-        while at < len(texts):
-            end, size = at + 1, len(texts[at])
-            while end < len(texts) and size + len(texts[end]) <= most:
-                size += len(texts[end])
-                end += 1
-            yield batch.slice(at, end - at), texts[at:end]
+        while at < len(sizes):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] - sizes[at] + most, side="right")))
+            # Only the texts of this slice are copied, however large the batch is.
+            yield batch.slice(at, end - at), texts_of(values.slice(at, end - at))
             at = end
 
 

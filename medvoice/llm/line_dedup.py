@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medvoice.llm.arrays import LOWER, slices, texts_of
+from medvoice.llm.arrays import LOWER, slices
 from medvoice.llm.frames import id_of, rows, unused, with_fields
 from medvoice.llm.sketch import build
 
@@ -113,8 +113,8 @@ def drop_repeated_lines(
     names = [*docs.columns, n_lines, n_dropped]
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, gone = texts_of(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist()
+        for batch, texts in slices(batches, names[at]):
+            gone = batch.column(batch.num_columns - 1).to_pylist()
             kept, total, lost = [], [], []
             missing = batch.column(at).is_null().to_pylist()
             for t, g, null in zip(texts, gone, missing):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -138,3 +139,16 @@ def test_queries_with_long_words(spark, tmp_path):
     scored = rows("op4_lm_scoring")
     for i, t in docs:
         assert scored[i].n_known == sum(w in known for w in t.split()) + 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.none(), TEXT), max_size=8), max_size=3), st.integers(1, 80))
+def test_slices_hold_all_rows_in_order(batches, most):
+    made = [pa.RecordBatch.from_pydict({"n": list(range(len(b))), "text": pa.array(b, pa.string())}) for b in batches]
+    # A batch that is itself a part of another one has offsets of its own.
+    made = [b.slice(1) if b.num_rows > 2 else b for b in made]
+    got = list(arrays.slices(made, "text", most))
+    want = [(n, (t or "").encode()) for b in made for n, t in zip(*(c.to_pylist() for c in b.columns))]
+    assert [(n, t) for b, texts in got for n, t in zip(b.column("n").to_pylist(), texts, strict=True)] == want
+    for _, texts in got:
+        assert len(texts) == 1 or sum(map(len, texts)) <= most
