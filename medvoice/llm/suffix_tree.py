@@ -21,6 +21,8 @@ bytes each, and a tenth of that where words are as uneven as in natural text.
 
 All counts are over all training texts: those of symbols and contexts are summed in the
 tasks and then by key, those of other words meet the documents in one shuffle by word.
+Texts are cut into words twice: to name the words that may be symbols, and to write each
+text's symbols and other words as numbers, which all that follows reads.
 Words are told apart by 64 bits, rows by 64 bits of id and text; equal rows share counts.
 A null text has no words and one end. A missing id is held out of nothing.
 """
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -59,18 +62,29 @@ def _summed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return values, np.bincount(number, weights=np.concatenate([n for _, n in pairs]), minlength=len(values)).astype(np.int64)
 
 
-def _counts(batch_keys: Iterable[np.ndarray], least_share: float = 0.0) -> Iterator[pa.RecordBatch]:
+def _counts(batch_keys: Iterable[np.ndarray], least_share: float | None = None) -> Iterator[pa.RecordBatch]:
     """Counts of a task's keys; with a share, only of keys of at least that share of them.
 
     A key that has a share of all keys has it in one of their parts at least, so a share
-    loses none of those; their counts are to be made by another pass.
+    loses none of those; their counts are to be made by another pass. With a share each
+    count has the number of keys in its part, ``total``, which a row without a key has too.
     """
     held, size, total = [], 0, 0
 
     def out() -> pa.RecordBatch:
         keys, n = _summed(held)
+        if least_share is None:
+            return pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": n})
         yes = n >= least_share * total
-        return pa.RecordBatch.from_pydict({"key": keys[yes].view(np.int64), "n": n[yes]})
+        keys, n = keys[yes].view(np.int64), n[yes]
+        no_key = pa.nulls(1, pa.int64())
+        return pa.RecordBatch.from_pydict(
+            {
+                "key": pa.concat_arrays([pa.array(keys), no_key]),
+                "n": pa.concat_arrays([pa.array(n), no_key]),
+                "total": np.full(len(n) + 1, total, dtype=np.int64),
+            }
+        )
 
     for keys in batch_keys:
         values, n = np.unique(keys, return_counts=True)
@@ -87,6 +101,33 @@ def _counts(batch_keys: Iterable[np.ndarray], least_share: float = 0.0) -> Itera
         yield out()
 
 
+@dataclass
+class Contexts:
+    """Keys of contexts of one length, ascending; and which symbols they have 1, 2, ... places back."""
+
+    keys: np.ndarray
+    size: int
+    marks: list[np.ndarray]
+
+    @classmethod
+    def of(cls, keys: np.ndarray, size: int, length: int) -> Contexts:
+        marks = [np.zeros(size, dtype=bool) for _ in range(length)]
+        for back, mark in enumerate(marks):
+            mark[keys // size**back % size] = True
+        return cls(keys, size, marks)
+
+    def before(self, symbols: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the contexts that stand before places of a text, and these places."""
+        some = np.flatnonzero(place >= len(self.marks))
+        for back, mark in enumerate(self.marks, 1):
+            some = some[mark[symbols[some - back]]]
+        key = np.zeros(len(some), dtype=np.int64)
+        for back in range(len(self.marks), 0, -1):
+            key = key * self.size + symbols[some - back]
+        at = place_in(self.keys, key)
+        return at[at >= 0], some[at >= 0]
+
+
 @dataclass
 class Tree:
     """Known words (ascending hashes) and the tree over symbol numbers.
@@ -97,8 +138,6 @@ class Tree:
     words: np.ndarray
     counts: np.ndarray
     root: np.ndarray
-    #: Symbols that contexts may end with.
-    last: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=bool))
     #: Per kept context: its key, parent (-1: root), and log10 of what unkept symbols get.
     contexts: list[np.ndarray] = field(default_factory=list)
     first: list[int] = field(default_factory=list)
@@ -112,32 +151,25 @@ class Tree:
     def size(self) -> int:
         return len(self.words) + 2
 
-    def symbols(self, texts: list[bytes]) -> tuple[arrays.Words, np.ndarray, np.ndarray, np.ndarray]:
-        """Words; and the symbols of the texts, each ended, with their text and place in it."""
+    def symbols(self, texts: list[bytes]) -> tuple[arrays.Words, np.ndarray, np.ndarray]:
+        """Words; and the symbols of the texts, each ended, with the offsets of the texts."""
         found = arrays.words(texts, lower=True)
         known = place_in(self.words, found.hash)
         number = np.where(known >= 0, known, len(self.words) + 1)
         offsets = found.of_doc(len(texts))
         every = np.insert(number, offsets[1:], len(self.words))
-        doc = np.repeat(np.arange(len(texts)), np.diff(offsets) + 1)
-        begin = offsets[:-1] + np.arange(len(texts))
-        return found, every, doc, np.arange(len(every)) - begin[doc]
-
-    def keys(self, symbols: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Key of the ``length`` symbols before each place, and where they may be a context."""
-        key = np.zeros(len(symbols), dtype=np.int64)
-        for back in range(length, 0, -1):
-            key = key * self.size + np.concatenate((np.zeros(min(back, len(symbols)), dtype=np.int64), symbols[:-back]))
-        before = np.concatenate((np.zeros(min(1, len(symbols)), dtype=np.int64), symbols[:-1]))
-        return key, np.flatnonzero((place >= length) & self.last[before])
+        return found, every, offsets + np.arange(len(texts) + 1)
+
+    @cached_property
+    def known(self) -> list[Contexts]:
+        return [Contexts.of(c, self.size, length) for length, c in enumerate(self.contexts, 1)]
 
     def states(self, symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The longest kept context before each place, -1 for the root."""
         state = np.full(len(symbols), -1, dtype=np.int64)
-        for length, contexts in enumerate(self.contexts, 1):
-            key, some = self.keys(symbols, place, length)
-            at = place_in(contexts, key[some])
-            state[some[at >= 0]] = at[at >= 0] + self.first[length - 1]
+        for known, first in zip(self.known, self.first):
+            at, some = known.before(symbols, place)
+            state[some] = at + first
         return state
 
     def log10(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -165,6 +197,43 @@ def place_in(ascending: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(ascending[at] == values, at, -1)
 
 
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The bytes of ``values[offsets[i]:offsets[i + 1]]`` as row i."""
+    ends = (offsets * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _numbers(rows: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that rows of bytes hold, in one array, and the row of each."""
+    values = np.frombuffer(b"".join(rows), dtype=kind)
+    sizes = np.fromiter((len(r) for r in rows), dtype=np.int64, count=len(rows)) // kind.itemsize
+    return values, np.repeat(np.arange(len(rows)), sizes)
+
+
+@dataclass
+class Coded:
+    """How the written symbols are read: their type, and the symbol of the tree for each."""
+
+    kind: np.dtype
+    words: np.ndarray
+    symbol: np.ndarray
+
+    def read(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+        """Row ranges of the batches with the symbols as written, the row of each and its place in it."""
+        for batch, rows in arrays.slices(batches, "symbols", arrays.PIECE * self.kind.itemsize):
+            written, doc = _numbers(rows, self.kind)
+            begin = np.searchsorted(doc, np.arange(len(rows)))
+            yield batch, written, doc, np.arange(len(doc)) - begin[doc]
+
+    def others(self, batch: pa.RecordBatch, written: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words that are no symbols of the tree, and the row of each."""
+        hashed, of = _numbers(arrays.texts_of(batch.column(batch.schema.get_field_index("others"))), np.dtype(np.uint64))
+        rare = self.symbol == self.symbol[-1]
+        rare[-1] = False
+        again = np.flatnonzero(rare[written])
+        return np.concatenate((hashed, self.words[written[again]])), np.concatenate((of, doc[again]))
+
+
 def _grow(tree: Tree, key: np.ndarray, symbol: np.ndarray, n: np.ndarray, all_: dict[int, int]) -> None:
     """Add the contexts of one more symbol that diverge enough; pairs are in order of key, symbol."""
     length = len(tree.contexts) + 1
@@ -216,37 +285,47 @@ class Model:
         training = self.source.where("train").select("text")
         spark = docs.sparkSession
 
-        sizes = training.agg(F.count("*").alias("docs"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("n")).first()
+        # A text has a word in two bytes at most; the words that may be often enough among so
+        # many are counted, and those kept that are among as many as there are.
+        sizes = training.agg(F.count("*").alias("docs"), F.sum((F.octet_length("text") + 1).cast("long")).alias("bytes")).first()
         self.ends = sizes["docs"]
-        self.tokens = (sizes["n"] or 0) + self.ends
-        least = {k: often_enough(self.tokens, f, low) for k, f, low in (("word", symbol, 2), ("context", context, LEAST), ("joint", joint, LEAST))}
-        share = least["word"] / max(1, self.tokens)
+
+        def word_share(tokens: int) -> float:
+            return often_enough(tokens, symbol, 2) / max(1, tokens)
+
+        share = word_share((sizes["bytes"] or 0) // 2 + self.ends)
 
         def word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return _counts((arrays.words(t, lower=True).hash for _, t in arrays.slices(batches, "text")), share)
 
+        counted = stored(training.mapInArrow(word_counts, "key long, n long, total long"), "words")
+        self.tokens = (counted.where("key IS NULL").agg(F.sum("total")).first()[0] or 0) + self.ends
+        least = {k: often_enough(self.tokens, f, low) for k, f, low in (("word", symbol, 2), ("context", context, LEAST), ("joint", joint, LEAST))}
         # Words that may be often enough; the pass over symbols counts them.
-        named = training.mapInArrow(word_counts, "key long, n long").select("key").distinct().toArrow()
+        named = counted.where(F.col("n") >= word_share(self.tokens) * F.col("total")).select("key").distinct().toArrow()
+        forget(counted)
         words = np.sort(named.column("key").to_numpy().view(np.uint64))
         none = np.zeros(0)
         self.tree = Tree(words, none, none)
         size = self.tree.size
+        self.coded = Coded(np.dtype(np.uint16 if size <= 1 << 16 else np.uint32), words, np.arange(size))
+        self._write_symbols()
+        training = self.written.where("train").select("symbols")
         usable = np.ones(0, dtype=np.int64)
         for length in range(depth + 1):
             # Symbols alone, then next symbols after the candidates of each length.
-            held = spark.sparkContext.broadcast((self.tree, usable))
+            held = spark.sparkContext.broadcast((self.coded, Contexts.of(usable, size, length)))
 
             def pair_counts(batches: Iterable[pa.RecordBatch], length: int = length, held=held) -> Iterator[pa.RecordBatch]:
                 def keys() -> Iterator[np.ndarray]:
-                    tree, candidates = held.value
-                    for _, texts in arrays.slices(batches, "text"):
-                        _, every, _, place = tree.symbols(texts)
+                    coded, candidates = held.value
+                    for _, written, _, place in coded.read(batches):
                         if not length:
-                            yield every
+                            yield written.astype(np.int64)
                             continue
-                        key, some = tree.keys(every, place, length)
-                        at = place_in(candidates, key[some])
-                        yield at[at >= 0] * tree.size + every[some[at >= 0]]
+                        every = coded.symbol[written]
+                        at, some = candidates.before(every, place)
+                        yield at * candidates.size + every[some]
 
                 return _counts(keys())
 
@@ -262,13 +341,14 @@ class Model:
                 often = counts[:-2] >= least["word"]
                 rare = counts[:-2][~often].sum()
                 words = words[often]
+                symbol_of = np.where(often, np.cumsum(often) - 1, len(words) + 1)
+                self.coded.symbol = np.concatenate((symbol_of, [len(words), len(words) + 1]))
                 counts = np.concatenate((counts[:-2][often], [counts[-2], counts[-1] + rare]))
                 self.tree = Tree(words, counts, none)
                 size = self.tree.size
                 self._count_other_words()
                 usable = np.flatnonzero(counts >= least["context"]).astype(np.int64)
                 usable = usable[usable != len(words)]  # nothing follows the end
-                self.tree.last = np.isin(np.arange(size), usable)
                 continue
             totals = counted.groupBy(F.expr(f"key div {size}").alias("c")).agg(F.sum("n").alias("n")).toArrow()
             pairs = counted.where(F.col("n") >= least["joint"]).toArrow()
@@ -286,16 +366,37 @@ class Model:
             if not len(usable):
                 break
 
+    def _write_symbols(self) -> None:
+        """All rows with their symbols and the hashes of their other words, as bytes."""
+        held = self.source.sparkSession.sparkContext.broadcast((self.tree, self.coded.kind))
+
+        def symbols(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tree, kind = held.value
+            for batch, texts in arrays.slices(batches, "text"):
+                found, every, offsets = tree.symbols(texts)
+                other = every == tree.size - 1
+                upto = np.concatenate(([0], np.cumsum(other)))[offsets]
+                # Words stand in the order of the symbols, without the ends.
+                hashed = found.hash[other[every != tree.size - 2]]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in range(3)), _binary(every.astype(kind), offsets), _binary(hashed, upto)],
+                    names=["id", "row", "train", "symbols", "others"],
+                )
+
+        kind = self.source.schema["id"].dataType.simpleString()
+        rows = self.source.select("id", "row", "train", "text").mapInArrow(
+            symbols, f"id {kind}, row long, train boolean, symbols binary, others binary"
+        )
+        self.written = stored(rows, "symbols")
+
     def _count_other_words(self) -> None:
         """Sums over the other words of each row; distinct training words; the root."""
-        held = self.source.sparkSession.sparkContext.broadcast(self.tree)
+        held = self.source.sparkSession.sparkContext.broadcast(self.coded)
         names = ["word", "row", "n", "train"]
 
         def others(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in arrays.slices(batches, "text"):
-                found = arrays.words(texts, lower=True)
-                rare = place_in(held.value.words, found.hash) < 0
-                doc, hashed = found.doc[rare], found.hash[rare]
+            for batch, written, of, _ in held.value.read(batches):
+                hashed, doc = held.value.others(batch, written, of)
                 order = np.lexsort((hashed, doc))
                 doc, hashed = doc[order], hashed[order]
                 new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (hashed[1:] != hashed[:-1])))) if len(doc) else doc
@@ -306,14 +407,14 @@ class Model:
                         pa.array(hashed[new].view(np.int64)),
                         batch.column(0).take(at),
                         pa.array(n.astype(np.int32)),
-                        batch.column(2).take(at),
+                        batch.column(1).take(at),
                     ],
                     names=names,
                 )
 
         word = Window.partitionBy("word")
         counted = (
-            self.source.select("row", "text", "train")
+            self.written.select("row", "train", "symbols", "others")
             .mapInArrow(others, "word long, row long, n int, train boolean")
             .withColumn("c", F.sum(F.when(F.col("train"), F.col("n")).otherwise(0)).over(word))
             .withColumn("turn", F.row_number().over(word.orderBy("row")))
@@ -339,15 +440,15 @@ class Model:
 
     def scores(self) -> DataFrame:
         """``(id, n_tokens, n_known, train_tokens, base_score, score)`` for every row."""
-        held = self.source.sparkSession.sparkContext.broadcast(self.tree)
+        held = self.source.sparkSession.sparkContext.broadcast((self.tree, self.coded))
 
         def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tree = held.value
+            tree, coded = held.value
             named_log = np.append(np.log10(tree.counts[:-1] + 0.5), 0.0)
             known = np.append(tree.counts[:-1] > 0, False)
-            for batch, texts in arrays.slices(batches, "text"):
-                _, every, doc, place = tree.symbols(texts)
-                n = len(texts)
+            for batch, written, doc, place in coded.read(batches):
+                every = coded.symbol[written]
+                n = batch.num_rows
                 by_doc = lambda w: np.bincount(doc, weights=w, minlength=n)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -362,7 +463,7 @@ class Model:
                 )
 
         kind = self.source.schema["id"].dataType.simpleString()
-        rows = self.source.select("id", "row", "text").mapInArrow(
+        rows = self.written.select("id", "row", "symbols").mapInArrow(
             score, f"id {kind}, row long, n_tokens long, known long, named_log double, symbol_log double"
         )
         same = F.count("*").over(Window.partitionBy("row"))

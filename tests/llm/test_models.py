@@ -212,6 +212,30 @@ def test_lm_of_nothing(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in found] == [(1, 1, 2)] * 2
 
 
+def test_lm_reads_the_texts_three_times(spark):
+    """For their sizes, for the words that may be symbols, and to write them as symbols."""
+    rows, read = lm_rows(400), spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    noted = F.udf(seen).asNondeterministic()
+    docs = frame(spark, rows).withColumn("text", noted("text"))
+    assert Model(docs, ~is_held_out("doc_id")).scores().count() == len(rows)
+    assert read.value <= 3 * len(rows)
+
+
+def test_lm_words_named_by_mistake_are_other_words(spark):
+    # Frequent in one part each, and not often enough in all: named, then counted among the rest.
+    rows = [(i, " ".join([f"only{i}"] * 5 + ["common"] * 30 + [f"w{i % 7}"])) for i in range(400)]
+    least = Model(frame(spark, rows, parts=40), ~is_held_out("doc_id"), symbol=0.5)
+    assert len(least.tree.words) < len(least.coded.words)
+    got = {r.id: r.score for r in least.scores().collect()}
+    one = {r.id: r.score for r in Model(frame(spark, rows, parts=1), ~is_held_out("doc_id"), symbol=0.5).scores().collect()}
+    assert got == pytest.approx(one, abs=1e-9)
+
+
 # -- Secrets ----------------------------------------------------------------------
 
 
