@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from medvoice.functions.columns import review_sent
 from medvoice.functions.lexicon import STOPWORDS
 from medvoice.functions.text import tokens
-from medvoice.operators.joins import lookup_join
+from medvoice.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from medvoice.workspace import materialize
 
 # Fixed value: terms in one cloud.
@@ -71,6 +71,9 @@ def term_frequency_by_sentiment(
 # and the floor of the logarithms in that score.
 COLLOCATION_THRESHOLD = 30.0
 LOG_FLOOR = 1e-10
+# How often the last term of a cloud may occur, as shares of the count of the last one by
+# words alone: guesses that are checked, from each of which fewer words are left out.
+SHARES = (1 / 2, 1 / 16)
 
 
 def word_pairs(
@@ -100,15 +103,14 @@ def word_pairs(
     def paired(words: Column) -> Column:
         # One text per pair, since words hold no blanks: a cheaper key to group by.
         def pair(word: Column, i: Column) -> Column:
-            follower = F.get(words, i + 1)
-            return F.when(
-                counted(word), F.concat_ws(" ", word, F.when(counted(follower), follower))
-            )
+            return F.when(word.isNotNull(), F.concat_ws(" ", word, F.get(words, i + 1)))
 
         return F.transform(words, pair)
 
     words = F.filter(F.transform(tokens(column), bare), lambda t: ~is_number(t))
-    bound = F.transform(F.array(words), paired)
+    # Each word is looked up among the stop words once; those stay as NULL between the others.
+    own = F.transform(words, lambda t: F.when(counted(t), t))
+    bound = F.transform(F.array(own), paired)
     return (
         df.select(*by, *([weight] if weight else []), F.explode(F.get(bound, F.lit(0))).alias("pair"))
         .where(F.col("pair").isNotNull())
@@ -145,6 +147,17 @@ def log_likelihood(both: Column, first: Column, second: Column, total: Column) -
     )
 
 
+def _about(both: Column, first: Column, second: Column, total: Column) -> Column:
+    """The same score by sums of x ln x, which is quick and right to a thousandth below 10**10 words."""
+
+    def part(x: Column) -> Column:
+        x = x.cast("double")
+        return x * F.log(F.greatest(x, F.lit(1e-300)))
+
+    cells = part(both) + part(first - both) + part(second - both) + part(total - first - second + both)
+    return 2 * (cells + part(total) - part(first) - part(second) - part(total - first) - part(total - second))
+
+
 def cloud_terms(
     df: DataFrame,
     column: str,
@@ -170,7 +183,11 @@ def cloud_of_pairs(
     max_terms: int | None = MAX_TERMS,
     threshold: float = COLLOCATION_THRESHOLD,
 ) -> DataFrame:
-    """The cloud of a written table of pair counts, or of some of its rows."""
+    """The cloud of a written table of pair counts, or of some of its rows.
+
+    With ``max_terms`` the counts that may be among them are settled first, and all others
+    only if that does not give the terms (:func:`_frequent_terms`).
+    """
     # A group holds at most a word and its plural.
     group = Window.partitionBy("base")
     merged = F.max(F.col("term") == F.col("base")).over(group)
@@ -187,23 +204,14 @@ def cloud_of_pairs(
         "words",
     )
     words = known.groupBy(F.col("form").alias("term")).agg(F.sum("n").alias("n"))
+    if max_terms:
+        few = words.orderBy(F.desc("n")).limit(max_terms).agg(F.count(F.lit(1)).alias("terms"), F.min("n").alias("n")).first()
+        for part in SHARES if few["terms"] == max_terms else ():
+            found = _frequent_terms(pairs, known, max_terms, threshold, int(few["n"] * part))
+            if found is not None:
+                return found
     total = known.agg(F.sum("n").cast("double")).scalar()
-
-    phrases = (
-        pairs.where(F.col("w2").isNotNull())
-        .withColumn("base", F.coalesce(_singular("w2"), "w2"))
-        .groupBy("w1", "base")
-        .agg(
-            F.sum("n").alias("n"),
-            F.max(F.col("w2") == F.col("base")).alias("merged"),
-        )
-        # Without its singular the group is a plural alone.
-        .select(
-            "w1",
-            F.when(F.col("merged"), F.col("base")).otherwise(F.concat("base", F.lit("s"))).alias("w2"),
-            "n",
-        )
-    )
+    phrases = _phrases(pairs.where(F.col("w2").isNotNull()))
     first = known.select(F.col("term").alias("w1"), F.col("form").alias("f1"), F.col("form_n").alias("n1"))
     second = known.select(F.col("term").alias("w2"), F.col("form").alias("f2"), F.col("form_n").alias("n2"))
     # A common word begins or ends many different phrases.
@@ -212,9 +220,34 @@ def cloud_of_pairs(
         F.col("n").cast("double"), F.col("n1").cast("double"), F.col("n2").cast("double"), total
     )
     phrase_terms = scored.where(score > threshold).select("w1", "w2", "f1", "f2", "n")
+    counts = _settled(words, phrase_terms)
+    if max_terms is None:
+        return counts
+    return counts.orderBy(F.desc("n"), F.asc("term")).limit(max_terms)
 
-    # Each phrase takes its occurrences from both words and adds itself; one
-    # grouping settles all three.
+
+def _phrases(pairs: DataFrame, *more: Column) -> DataFrame:
+    """``(w1, w2, n)`` and more aggregates of pairs of words, a plural counted for its singular."""
+    return (
+        pairs.withColumn("base", F.coalesce(_singular("w2"), "w2"))
+        .groupBy("w1", "base")
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.col("w2") == F.col("base")).alias("merged"),
+            *more,
+        )
+        # Without its singular the group is a plural alone.
+        .withColumn("w2", F.when(F.col("merged"), F.col("base")).otherwise(F.concat("base", F.lit("s"))))
+        .drop("base", "merged")
+    )
+
+
+def _settled(words: DataFrame, phrase_terms: DataFrame) -> DataFrame:
+    """Counts of words and phrases.
+
+    Each phrase takes its occurrences from both words and adds itself; one
+    grouping settles all three.
+    """
     taken = phrase_terms.select(
         F.explode(
             F.array(
@@ -224,15 +257,67 @@ def cloud_of_pairs(
             )
         ).alias("t")
     ).select("t.term", "t.n")
-    counts = (
+    return (
         words.unionByName(taken)
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") > 0)
     )
-    if max_terms is None:
-        return counts
-    return counts.orderBy(F.desc("n"), F.asc("term")).limit(max_terms)
+
+
+def _frequent_terms(
+    pairs: DataFrame, known: DataFrame, max_terms: int, threshold: float, least: int
+) -> DataFrame | None:
+    """The most frequent terms if all of them occur ``least`` times or more, else None.
+
+    Such terms are words that occur so often before phrases are taken from them, and
+    phrases of two of these words. To settle their counts, only phrases with one of these
+    words are needed. Of a phrase with a rarer word the score lies below the larger of
+    those for the least and the most that the rarer word may occur, as it falls up to the
+    count that chance would give and rises from there; most need no look-up of the rarer
+    word. Words of a phrase that are rarer occur less than ``least`` times, so they make no
+    hot keys.
+    """
+    if least < 2:
+        return None
+    frequent = known.where(F.col("form_n") >= least)
+    if frequent.limit(MAX_BROADCAST_ROWS + 1).count() > MAX_BROADCAST_ROWS:
+        return None
+    total = known.agg(F.sum("n").cast("double")).scalar()
+
+    def of(words: DataFrame, i: int) -> DataFrame:
+        return words.select(*[F.col(c).alias(f"{to}{i}") for c, to in (("term", "w"), ("form", "f"), ("form_n", "n"))])
+
+    def score(first: Column, second: Column) -> Column:
+        return log_likelihood(F.col("n").cast("double"), first.cast("double"), second.cast("double"), total)
+
+    one, two = F.broadcast(of(frequent, 1)), F.broadcast(of(frequent, 2))
+    some = (
+        pairs.where(F.col("w2").isNotNull())
+        .select("w1", "w2", "n")
+        .join(one.drop("f1"), "w1", "left")
+        .join(two.drop("f2"), "w2", "left")
+        .where(F.col("n1").isNotNull() | F.col("n2").isNotNull())
+    )
+    most = F.lit(least - 1).cast("long")
+    ends = [_about(F.col("n"), F.coalesce("n1", end), F.coalesce("n2", end), total) for end in (F.col("n"), most)]
+    # Where counts are cut off or near to all words, the score is another function of them.
+    plain = (F.coalesce("n1", most) + F.coalesce("n2", most) <= total) & (total < 1 / LOG_FLOOR)
+    may = ~plain | (F.greatest(*ends) > threshold - 0.01)
+    phrases = _phrases(some, F.max("n1").alias("n1"), F.max("n2").alias("n2")).where(may).select("w1", "w2", "n")
+    phrases = materialize(phrases, "phrases").join(one, "w1", "left").join(two, "w2", "left")
+    above = score(F.col("n1"), F.col("n2")) > threshold
+    parts = [phrases.where(F.col("n1").isNotNull() & F.col("n2").isNotNull()).where(above)]
+    for i in (1, 2):
+        rare = phrases.where(F.col(f"n{i}").isNull()).drop(f"f{i}", f"n{i}").join(of(known, i), f"w{i}")
+        parts.append(rare.where(above))
+    columns = ("w1", "w2", "f1", "f2", "n")
+    taken = parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(parts[2].select(*columns))
+    words = frequent.select(F.col("form").alias("term"), F.col("form_n").alias("n")).distinct()
+    order = [F.desc("n"), F.asc("term")]
+    top = materialize(_settled(words, taken).orderBy(*order).limit(max_terms), "cloud")
+    last = top.agg(F.count(F.lit(1)).alias("terms"), F.min("n").alias("n")).first()
+    return top.orderBy(*order) if last["terms"] == max_terms and last["n"] >= least else None
 
 
 def _occurrences(weight: str | None) -> Column:

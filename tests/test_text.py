@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -6,7 +7,7 @@ import pytest
 
 from medvoice.functions.lexicon import LEXICON, STOPWORDS
 from medvoice.functions.text import polarity, tokens
-from medvoice.operators import classifier, joins
+from medvoice.operators import classifier, joins, terms
 from medvoice.operators import polarity as polarity_operators
 from medvoice.operators.terms import cloud_terms, term_frequency, term_frequency_by_sentiment
 
@@ -182,3 +183,37 @@ def test_lexicon_with_a_word_twice(spark):
     for score in (polarity_operators.score_reviews, polarity_operators.polarity_by_join):
         with pytest.raises(ValueError):
             score(df, table).collect()
+
+
+def _zipf_texts(seed, n=300):
+    rng = random.Random(seed)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+    words += [f"{w}s" for w in words[::3]]
+    weights = [1 / (1 + i % 400) for i in range(len(words))]
+    fixed = ["white house", "wine glass", "wine glasses", "wa wb"]
+    return [
+        " ".join(rng.choices(words, weights, k=rng.randrange(60)) + rng.choices(fixed, k=rng.randrange(3)) + [f"only{rng.random()}"])
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cloud_of_some_terms_needs_no_look_up_of_all_pairs(spark, monkeypatch, seed):
+    df = spark.createDataFrame([(t,) for t in _zipf_texts(seed)], "t string")
+    whole = sorted(map(tuple, cloud_terms(df, "t", (), None).collect()), key=lambda r: (-r[1], r[0]))
+    assert any(" " in term for term, _ in whole[:60])
+    seen = []
+    real = terms.lookup_join
+    monkeypatch.setattr(terms, "lookup_join", lambda *a, **k: (seen.append(a), real(*a, **k))[1])
+    for k in (1, 7, 60):
+        assert [tuple(r) for r in cloud_terms(df, "t", (), k).collect()] == whole[:k]
+    assert not seen
+
+
+def test_cloud_whose_words_all_become_phrases(spark, monkeypatch):
+    """Fewer terms are as frequent as the words alone would let expect: all are settled."""
+    names = [chr(97 + i) for i in range(12)]
+    df = spark.createDataFrame([(f"x{c} y{c}",) for c in names for _ in range(100)], "t string")
+    want = [(f"x{c} y{c}", 100) for c in names]
+    for k in (3, 12, 20):
+        assert [tuple(r) for r in cloud_terms(df, "t", (), k).collect()] == want[:k]
