@@ -85,20 +85,20 @@ def land_messages(
             _publish(spark, writer, root, place)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        month = batch.select("month_dir").first()
+        if month is None:
+            return
+        place = f"month_dir={month[0]}/stream_id={stream}/batch_id={batch_id}"
+        # Kept once, for both writes: usable messages as landed, the others as received.
+        received = F.when(~F.col("usable"), F.col("data")).alias("data")
+        scored = landed_columns(batch, lexicon).select(received, "usable", *LANDED.fieldNames()).persist()
         try:
-            month = batch.select("month_dir").first()
-            if month is None:
-                return
-            place = f"month_dir={month[0]}/stream_id={stream}/batch_id={batch_id}"
-            scored = landed_columns(batch, lexicon).persist()
             good = scored.where("usable").select(*LANDED.fieldNames())
             publish(csv_writer(good, LANDED_DELIMITER).format("csv"), landed_path, place, batch_id)
             bad = scored.where(~F.col("usable")).select("data")
             publish(bad.write.format("text"), rejects_path, place, batch_id)
-            scored.unpersist()
         finally:
-            batch.unpersist()
+            scored.unpersist()
 
     writer = (
         messages.select("data", month_dir(F.current_timestamp()).alias("month_dir"))

@@ -97,6 +97,22 @@ def test_landing(spark, folders):
     )
 
 
+def test_a_batch_is_kept_once_without_the_bodies_of_usable_messages(spark, folders, monkeypatch):
+    kind, kept = type(spark.range(0)), []
+    real = kind.persist
+
+    def persist(df, *args, **more):
+        kept.append(sorted(r.data or "" for r in df.select("data").collect()))
+        return real(df, *args, **more)
+
+    monkeypatch.setattr(kind, "persist", persist)
+    publish(folders["messages"], "a.txt", encode(GOOD), encode("garbage"), encode(BAD))
+    land(spark, folders)
+    assert kept == [["", "", encode("garbage")]]
+    assert files.read_landed(spark, str(folders["landed"])).count() == 2
+    assert [r.value for r in spark.read.text(str(folders["rejects"]) + "/*/*").collect()] == [encode("garbage")]
+
+
 def test_repeated_batch_lands_once(spark, folders):
     publish(folders["messages"], "a.txt", encode(GOOD), encode(BAD))
     land(spark, folders)
