@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,8 @@ from medvoice.workspace import new_folder
 #: Missing ids sort after all others and count as one document.
 NO_ID = (1 << 63) - 1
 
+SHUFFLES_DELETED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that is no column of the table yet."""
@@ -43,6 +48,21 @@ def forget(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside delete their shuffle files as they end.
+
+    Else these stay until the driver collects its garbage, which may be long after the
+    disk is full. For the steps of a large job that are stored and not run again.
+    """
+    before = spark.conf.get(SHUFFLES_DELETED, "false")
+    spark.conf.set(SHUFFLES_DELETED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_DELETED, before)
+
+
 def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in fields])
 

@@ -10,7 +10,8 @@ The work is divided so that equal strings always meet. A string's key is the run
 shifts of a difference cover are shared, but with one place in sixteen. Strings of one
 key that start next to each other form a context.
 
-1. A sketch of all keys drops strings whose key occurs once: they are unique.
+1. All keys are counted; strings whose key occurs once are unique, and are dropped by a
+   filter of the other keys.
 2. Neighbouring contexts that are left form blocks, which end where a key's hash says so
    (about every eighth), so that equal passages have equal blocks but at their ends. Blocks
    are grouped by 128 bits of their bytes: copies, however many, become one row with their
@@ -22,13 +23,15 @@ key that start next to each other form a context.
 4. Every occurrence of a block learns its smallest document and, if that is its own, the
    strings to remove; overlapping ones are merged to spans.
 
+What a step shuffled and stored is deleted before the next ones need the disk.
+
 Texts are UTF-8 bytes, null is empty. Rows of one id are one document; a missing id
 comes last. Other columns are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +43,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medvoice.llm import arrays
-from medvoice.llm.frames import id_of, stored, unused, with_fields
-from medvoice.llm.sketch import SEGMENT_BITS, Sketch, build
+from medvoice.llm.frames import forget, id_of, shuffles_deleted, stored, unused, with_fields
+from medvoice.llm.repeats import TOLD, Repeated, build
 
 LENGTH, GRAM = 50, 20
+#: A task holds so many times 2**BITS bits of the filter of keys at once.
 BITS, DEPTH = 27, 3
 #: Bytes of text looked at together (arrays of that length fit in a cache), taken, and sorted.
 PIECE = 1 << 16
@@ -154,7 +158,7 @@ def earliest(contexts: pa.Array, ids: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 class _Contexts:
-    """The contexts of some texts: text number, first byte, strings in it, key, hash."""
+    """The contexts of some texts: text number, first byte, strings in it, key."""
 
     def __init__(self, parts: list[tuple[int, int, bytes]], length: int, gram: int):
         joined = b"".join(p for _, _, p in parts)
@@ -164,7 +168,6 @@ class _Contexts:
         up, down = arrays.powers(arrays.BYTE_BASES[0], n + 1)
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(data * up[:n], out=sums[1:])
-        self.sums, self.down = sums, down
         # Stirred enough to order the runs by; only those that are chosen are mixed to keys.
         grams = (sums[gram:] - sums[:-gram]) * down[: n - gram + 1]
         grams ^= grams >> np.uint64(32)
@@ -198,10 +201,6 @@ class _Contexts:
             setattr(self, name, getattr(self, name)[yes])
         return self
 
-    def hashes(self) -> np.ndarray:
-        end = self.start + self.many + self.length - 1
-        return arrays.mix(((self.sums[end] - self.sums[self.start]) * self.down[self.start]) ^ self.many.astype(np.uint64))
-
     def texts(self) -> list[bytes]:
         return [self.joined[s : s + m + self.length - 1] for s, m in zip(self.start, self.many)]
 
@@ -238,47 +237,53 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _blocks(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch, spelled: bool) -> Iterator[pa.RecordBatch]:
-    """Blocks of contexts whose keys the sketch reports: with their bytes, or with their places."""
-    for batch, texts in arrays.slices(batches, "text", SLICE):
-        for found in contexts_of(texts, length, gram):
-            found = found.only(sketch.repeated(found.key))
-            first, many = found.blocks()
-            if not len(first):
-                continue
-            start = found.start[first]
-            spell = [found.joined[s : s + m + length - 1] for s, m in zip(start, many)]
-            digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in spell), dtype=np.int64).reshape(-1, 2)
-            doc = pa.array(found.doc[first])
-            columns = {
-                "b1": pa.array(np.ascontiguousarray(digest[:, 0])),
-                "b2": pa.array(np.ascontiguousarray(digest[:, 1])),
-                "id": batch.column(0).take(doc),
-            }
-            if spelled:
-                columns["block"] = pa.array(spell, pa.binary())
-            else:
-                columns["mark"] = batch.column(1).take(doc)
-                columns["at"] = pa.array(found.at[first])
-            yield pa.RecordBatch.from_pydict(columns)
-
-
-def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, sketch: Sketch | None) -> Iterator[pa.RecordBatch]:
-    """Contexts of distinct blocks, of all keys or of those that the sketch reports, with their place."""
-    for batch, blocks in arrays.slices(batches, "block", SLICE):
-        for found in contexts_of(blocks, length, gram):
-            found = found if sketch is None else found.only(sketch.repeated(found.key))
-            if len(found.key):
-                block = pa.array(found.doc)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "key": _signed(found.key),
-                        "number": batch.column(0).take(block),
-                        "first": batch.column(1).take(block),
-                        "place": pa.array(found.at.astype(np.int32)),
-                        "context": pa.array(found.texts(), pa.binary()),
-                    }
-                )
+def _repeated(batches: Iterable[pa.RecordBatch], column: str, length: int, gram: int, repeated: Repeated) -> Iterator[tuple[pa.RecordBatch, _Contexts]]:
+    """The rows' contexts whose keys are reported, in pieces, each with the batch of its rows."""
+    every = ((batch, found) for batch, texts in arrays.slices(batches, column, SLICE) for found in contexts_of(texts, length, gram))
+    for some in repeated.together(every, lambda x: len(x[1].key)):
+        ends = np.cumsum([len(found.key) for _, found in some])
+        yes = np.split(repeated(np.concatenate([found.key for _, found in some])), ends[:-1])
+        for (batch, found), own in zip(some, yes):
+            yield batch, found.only(own)
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], length: int, gram: int, repeated: Repeated, spelled: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks of contexts whose keys are reported: with their bytes, or with their places."""
+    for batch, found in _repeated(batches, "text", length, gram, repeated):
+        first, many = found.blocks()
+        if not len(first):
+            continue
+        start = found.start[first]
+        spell = [found.joined[s : s + m + length - 1] for s, m in zip(start, many)]
+        digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in spell), dtype=np.int64).reshape(-1, 2)
+        doc = pa.array(found.doc[first])
+        columns = {
+            "b1": pa.array(np.ascontiguousarray(digest[:, 0])),
+            "b2": pa.array(np.ascontiguousarray(digest[:, 1])),
+            "id": batch.column(0).take(doc),
+        }
+        if spelled:
+            columns["block"] = pa.array(spell, pa.binary())
+        else:
+            columns["mark"] = batch.column(1).take(doc)
+            columns["at"] = pa.array(found.at[first])
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def _block_contexts(batches: Iterable[pa.RecordBatch], length: int, gram: int, repeated: Repeated) -> Iterator[pa.RecordBatch]:
+    """Contexts of distinct blocks whose keys are reported, with their place."""
+    for batch, found in _repeated(batches, "block", length, gram, repeated):
+        if len(found.key):
+            block = pa.array(found.doc)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": _signed(found.key),
+                    "number": batch.column(0).take(block),
+                    "first": batch.column(1).take(block),
+                    "place": pa.array(found.at.astype(np.int32)),
+                    "context": pa.array(found.texts(), pa.binary()),
+                }
+            )
 
 
 CONTEXTS = "key long, number long, first long, place int, context binary"
@@ -399,64 +404,60 @@ def repeated_strings(
     spark = docs.sparkSession
     source = docs.select(id_of(doc_id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
 
-    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for _, texts in arrays.slices(batches, "text", SLICE):
-            for found in contexts_of(texts, length, gram):
-                yield found.key
+    def keys_of(column: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[np.ndarray]]:
+        def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+            for _, texts in arrays.slices(batches, column, SLICE):
+                for found in contexts_of(texts, length, gram):
+                    yield found.key
 
-    sketch = spark.sparkContext.broadcast(build(source.select("text"), keys, bits, DEPTH))
-    blocks = stored(
+        return keys
+
+    most = DEPTH << bits >> 3
+    repeated = build(source.select("text"), keys_of("text"), most)
+    distinct = (
         source.mapInArrow(
-            lambda b: _blocks(b, length, gram, sketch.value, True), "b1 long, b2 long, id long, block binary"
+            lambda b: _blocks(b, length, gram, repeated, True), "b1 long, b2 long, id long, block binary"
         )
         .groupBy("b1", "b2")
         .agg(F.min("id").alias("first"), F.first("block").alias("block"))
-        .select(F.monotonically_increasing_id().alias("number"), "first", "block", "b1", "b2"),
-        "blocks",
-        "zstd",
-    )
-
-    def keys_again(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in _block_contexts(batches, length, gram, None):
-            yield batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-
-    several = spark.sparkContext.broadcast(
-        build(blocks.select("number", "first", "block"), keys_again, max(bits - 2, SEGMENT_BITS), DEPTH)
+        .select(F.monotonically_increasing_id().alias("number"), "first", "block", "b1", "b2")
     )
+    with shuffles_deleted(spark):
+        blocks = stored(distinct, "blocks", "zstd")
+    several = build(blocks.select("block"), keys_of("block"), most, many)
     contexts = blocks.select("number", "first", "block").mapInArrow(
-        lambda b: _block_contexts(b, length, gram, several.value), CONTEXTS
+        lambda b: _block_contexts(b, length, gram, several), CONTEXTS
     )
-    # At most one key for every ``many`` contexts, most often none.
-    frequent = contexts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
-    frequent = stored(frequent, "frequent")
-    any_frequent = not frequent.isEmpty()
-    usual = contexts.join(F.broadcast(frequent), "key", "left_anti") if any_frequent else contexts
+    usual, shared = contexts, None
+    if several.often is not None:
+        # At most one key for every ``many`` contexts, most often none.
+        often = F.broadcast(several.often), F.shiftrightunsigned("key", 64 - TOLD) == F.col("told")
+        usual = contexts.join(*often, "left_anti")
+        shared = stored(contexts.join(*often, "left_semi"), "frequent-contexts")
     masks = (
         usual.repartition("key")
         .sortWithinPartitions("key")
         .mapInArrow(lambda b: _sorted(b, length), "number long, place int, many int, mask long")
     )
-    if any_frequent:
-        shared = stored(contexts.join(F.broadcast(frequent), "key", "left_semi"), "frequent-contexts")
+    if shared is not None:
         masks = masks.unionByName(_frequent_masks(shared, length))
     parts = masks.groupBy("number").agg(F.collect_list(F.struct("place", "many", "mask")).alias("parts"))
-    known = (
-        blocks.select("number", "first", "b1", "b2", (F.octet_length("block") - (length - 1)).alias("many"))
-        .join(parts.hint("merge"), "number", "left")
-        .drop("number")
-        .withColumn("b", F.xxhash64("b1", "b2"))
-    )
+    sizes = blocks.select("number", "first", "b1", "b2", (F.octet_length("block") - (length - 1)).alias("many"))
+    with shuffles_deleted(spark):
+        known = stored(sizes.join(parts.hint("merge"), "number", "left").drop("number"), "known", "zstd")
+    for done in (blocks, shared):
+        if done is not None:
+            forget(done)
     places = source.mapInArrow(
-        lambda b: _blocks(b, length, gram, sketch.value, False), "b1 long, b2 long, id long, mark long, at long"
-    ).withColumn("b", F.xxhash64("b1", "b2"))
+        lambda b: _blocks(b, length, gram, repeated, False), "b1 long, b2 long, id long, mark long, at long"
+    )
     whole = F.array(F.struct(F.col("at"), F.col("many"), F.lit(-1).cast("long").alias("mask")))
     some = F.transform(
         "parts", lambda p: F.struct((F.col("at") + p["place"]).alias("at"), p["many"].alias("many"), p["mask"].alias("mask"))
     )
-    # The hash as a further key makes both sides be dealt out for the join, so that Spark
-    # can split the part of a frequent block.
+    # Both sides are dealt out for the join, so that Spark can split the part of a frequent block.
     return (
-        places.join(known.hint("merge"), ["b", "b1", "b2"])
+        places.join(known.hint("merge"), ["b1", "b2"])
         .where("id > first OR parts IS NOT NULL")
         .select("id", "mark", F.when(F.col("id") > F.col("first"), whole).otherwise(some).alias("s"))
         .groupBy("id", "mark")

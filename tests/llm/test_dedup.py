@@ -69,6 +69,89 @@ def test_strings_of_frequent_keys_and_long_texts(spark, monkeypatch):
     assert strings_of(got) == tidy(brute.strings(ROWS, 50))
 
 
+def test_strings_that_do_not_repeat_are_not_stored(spark, monkeypatch):
+    import random
+
+    # Far more keys than there are counters in 2**20, of which three hundred occur twice.
+    rng = random.Random(8)
+    texts = [rng.randbytes(3000).hex() for _ in range(3000)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(9000 + i, t[:200]) for i, t in enumerate(texts[:300])]
+    tables = {}
+
+    def kept(df, name, *more):
+        tables[name] = df.persist()
+        return tables[name]
+
+    monkeypatch.setattr(suffix_dedup, "stored", kept)
+    monkeypatch.setattr(suffix_dedup, "forget", lambda table: None, raising=False)
+    starts = suffix_dedup.repeated_strings(frame(spark, rows), bits=BITS)
+    assert starts.count() >= 300
+    # About one in sixty of the other 1.1 million keys is reported too, as a block of 65 bytes.
+    assert tables["blocks"].agg(F.sum(F.octet_length("block"))).first()[0] < 0.12 * 18_000_000
+
+
+def test_strings_by_a_filter_in_parts(spark, monkeypatch):
+    from medvoice.llm import repeats
+
+    made = []
+    monkeypatch.setattr(suffix_dedup, "build", lambda *a: made.append(repeats.build(*a)) or made[-1])
+    got = drop_repeated_strings(frame(spark, ROWS), bits=10, many=2)
+    assert strings_of(got) == tidy(brute.strings(ROWS, 50))
+    assert len(made[0].parts) > 1
+
+
+def test_strings_leave_little_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    import itertools
+    import os
+
+    from medvoice.llm import frames
+
+    numbers = itertools.count()
+    monkeypatch.setattr(frames, "new_folder", lambda spark, name: f"{tmp_path}/{name}-{next(numbers)}")
+    got = drop_repeated_strings(frame(spark, ROWS), bits=BITS, many=2)
+    assert strings_of(got) == tidy(brute.strings(ROWS, 50))
+    assert {n.rsplit("-", 1)[0] for n in os.listdir(tmp_path)} == {"repeated", "known"}
+
+
+def test_repeated_hashes(spark):
+    import numpy as np
+
+    from medvoice.llm import repeats
+
+    rng = np.random.default_rng(6)
+    once = rng.integers(0, 1 << 63, 300_000, dtype=np.uint64) << np.uint64(1)
+    twice = rng.integers(0, 1 << 63, 2_000, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    every = rng.permutation(np.concatenate((once, twice, twice, np.repeat(twice[:3], 50))))
+    docs = spark.createDataFrame([(p,) for p in range(8)], "p long").repartition(8)
+
+    def some(batches):
+        for batch in batches:
+            for p in batch.column(0).to_pylist():
+                for part in np.array_split(every[p::8], 3):
+                    yield part
+
+    for most, parts in ((1 << 20, 1), (1500, 2)):
+        found = repeats.build(docs, some, most, 40)
+        assert len(found.parts) >= parts and (len(found.parts) == 1) == (parts == 1)
+        assert found(twice).all() and found(once).mean() < 0.03
+        assert {r["told"] for r in found.often.collect()} == set((twice[:3] >> np.uint64(64 - repeats.TOLD)).tolist())
+        groups = list(found.together(range(5), lambda n: 400_000))
+        assert groups == ([[n] for n in range(5)] if parts == 1 else [[0, 1, 2], [3, 4]])
+    none = repeats.build(docs, lambda batches: iter(()), 1 << 20)
+    assert not none(once).any() and none.often is None
+
+
+def test_bytes_by_place():
+    import numpy as np
+
+    from medvoice.llm.repeats import from_planes, planes
+
+    for values in ([0], [0, 0, 0], [1, 255, 0], [256, 3], [(1 << 44) - 1, 0, 70_000], [(1 << 64) - 1]):
+        array = np.array(values, dtype=np.uint64)
+        assert from_planes(planes(array), len(array)).tolist() == values
+    assert len(planes(np.array([7, 300], dtype=np.uint64))) == 4
+
+
 def test_suffix_order():
     import random
 
